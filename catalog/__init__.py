@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["preparation"]
+_MODULES = ["preparation", "profiles", "ranking", "quality", "sampling"]
 
 
 def load():

@@ -20,13 +20,20 @@ from tenura.functions import yes_no
 from tenura.operators import encoding, integrity, quality, sampling
 from tenura.plans import prepare
 from tenura.sources import tables as sources
-from tenura.sources.workspace import new_path, replace_table
+from tenura.sources.workspace import new_path, replace_table, store
 
 
 def features(spark, sf_dir):
     return prepare.feature_table(raw_tables(spark, sf_dir))
 
 
+def split_features(spark, sf_dir):
+    """The feature table with its part; written once, as the fits below read it again."""
+    return sampling.stratified_split(
+        store(features(spark, sf_dir), "features"), prepare.ID, prepare.TARGET
+    )
+
+
 def outcome(spark, sf_dir):
     status = prepare.stage(raw_status(spark, sf_dir))
     return prepare.target(prepare.clean(status, prepare.YES_NO_COLUMNS["status"]))
@@ -145,7 +152,7 @@ def yes_no_to_boolean(spark, sf_dir):
     status = F.col("o_orderstatus")
     answer = F.when(status == "F", "Yes").when(status == "O", "No").otherwise("Maybe")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", answer.alias("answer"))
-    return orders.withColumn("flag", yes_no(F.col("answer")))
+    return orders.withColumn("flag", yes_no("answer"))
 
 
 @query("clean_services", _with(TARGET_SQL, "SELECT * FROM cln_services"))
@@ -242,7 +249,7 @@ def select_model_columns(spark, sf_dir):
     ),
 )
 def scoring_population(spark, sf_dir):
-    split = sampling.stratified_split(features(spark, sf_dir), prepare.ID, prepare.TARGET)
+    split = split_features(spark, sf_dir)
     return split.where("part = 'test'").select(prepare.ID, *_INPUTS)
 
 
@@ -475,7 +482,7 @@ _HOT = {
     ),
 )
 def one_hot(spark, sf_dir):
-    split = sampling.stratified_split(features(spark, sf_dir), prepare.ID, prepare.TARGET)
+    split = split_features(spark, sf_dir)
     filled = encoding.fill_sentinels(split)
     categories = encoding.fit_categories(filled.where("part = 'train'"), list(_HOT))
     return encoding.one_hot(filled, categories, ["customer_id"])
@@ -499,7 +506,7 @@ _SCALED = ["age", "tenure_in_months", "monthly_charge", "total_charges", "under_
     ),
 )
 def standard_scale(spark, sf_dir):
-    split = sampling.stratified_split(features(spark, sf_dir), prepare.ID, prepare.TARGET)
+    split = split_features(spark, sf_dir)
     scaler = encoding.fit_scaler(split.where("part = 'train'"), _SCALED)
     scaled = encoding.scale(split, scaler, ["customer_id"])
     return scaled.select("customer_id", *[r6(c).alias(c) for c in _SCALED])
@@ -509,7 +516,7 @@ def standard_scale(spark, sf_dir):
 def preprocess_model_inputs(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
 
-    split = sampling.stratified_split(features(spark, sf_dir), prepare.ID, prepare.TARGET)
+    split = split_features(spark, sf_dir)
     model = encoding.fit_preprocessor(split.where("part = 'train'").drop("part"))
     encoded = encoding.assemble(model, split, ["customer_id", "part"])
     return encoded.select("customer_id", "part", vector_to_array("features").alias("features"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -11,58 +12,58 @@ TABLES = (
 ).split()
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is read from the file once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def _flag(condition):
-    return F.when(condition, "Yes").otherwise("No")
+def _titled(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{expression} AS `{name}`" for name, expression in names.items()])
 
 
-def _titled(df: DataFrame, names: dict) -> DataFrame:
-    return df.select(*[expr.alias(name) for name, expr in names.items()])
+def _flag(condition: str) -> str:
+    return f"CASE WHEN {condition} THEN 'Yes' ELSE 'No' END"
 
 
 def raw_demographics(spark, sf_dir) -> DataFrame:
-    key = F.col("c_custkey")
-    age = F.lit(18) + key % 63
     return _titled(
         table(spark, sf_dir, "customer"),
         {
-            "Customer ID": key.cast("string"),
-            "Count": F.lit(1).cast("bigint"),
-            "Gender": F.when(key % 2 == 0, "Female").otherwise("Male"),
-            "Age": age.cast("int"),
-            "Under 30": _flag(age < 30),
-            "Senior Citizen": _flag(age >= 65),
-            "Married": _flag(F.col("c_nationkey") % 2 == 0),
-            "Dependents": _flag(key % 5 == 0),
-            "Number of Dependents": F.when(key % 5 == 0, 1 + key % 3).otherwise(0).cast("int"),
+            "Customer ID": "CAST(c_custkey AS STRING)",
+            "Count": "1L",
+            "Gender": "CASE WHEN c_custkey % 2 = 0 THEN 'Female' ELSE 'Male' END",
+            "Age": "CAST(18 + c_custkey % 63 AS INT)",
+            "Under 30": _flag("18 + c_custkey % 63 < 30"),
+            "Senior Citizen": _flag("18 + c_custkey % 63 >= 65"),
+            "Married": _flag("c_nationkey % 2 = 0"),
+            "Dependents": _flag("c_custkey % 5 = 0"),
+            "Number of Dependents": "CAST(IF(c_custkey % 5 = 0, 1 + c_custkey % 3, 0) AS INT)",
         },
     )
 
 
-def _zip(column: str):
-    return F.lpad(F.col(column).cast("string"), 5, "0")
-
-
 def raw_location(spark, sf_dir) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    here = F.col("c_nationkey")
+    places = nation.join(region, F.expr("n_regionkey = r_regionkey"))
     return _titled(
-        table(spark, sf_dir, "customer").join(places, here == F.col("n_nationkey")),
+        table(spark, sf_dir, "customer").join(places, F.expr("c_nationkey = n_nationkey")),
         {
-            "Customer ID": F.col("c_custkey").cast("string"),
-            "Count": F.lit(1).cast("bigint"),
-            "Country": F.lit("United States"),
-            "State": F.col("r_name"),
-            "City": F.col("n_name"),
-            "Zip Code": _zip("c_nationkey"),
-            "Lat Long": F.concat_ws(", ", here.cast("string"), (-here).cast("string")),
-            "Latitude": 32.0 + here * 0.25,
-            "Longitude": -120.0 + here * 0.5,
+            "Customer ID": "CAST(c_custkey AS STRING)",
+            "Count": "1L",
+            "Country": "'United States'",
+            "State": "r_name",
+            "City": "n_name",
+            "Zip Code": "lpad(CAST(c_nationkey AS STRING), 5, '0')",
+            "Lat Long": "concat_ws(', ', c_nationkey, -c_nationkey)",
+            "Latitude": "32.0D + c_nationkey * 0.25D",
+            "Longitude": "-120.0D + c_nationkey * 0.5D",
         },
     )
 
@@ -71,146 +72,133 @@ def raw_population(spark, sf_dir) -> DataFrame:
     return _titled(
         table(spark, sf_dir, "nation"),
         {
-            "ID": (F.col("n_nationkey") + 1).cast("int"),
-            "Zip Code": _zip("n_nationkey"),
-            "Population": ((F.col("n_nationkey") + 1) * 1000 + F.col("n_regionkey")).cast("int"),
+            "ID": "CAST(n_nationkey + 1 AS INT)",
+            "Zip Code": "lpad(CAST(n_nationkey AS STRING), 5, '0')",
+            "Population": "CAST((n_nationkey + 1) * 1000 + n_regionkey AS INT)",
         },
     )
 
 
-def _snapshot(spark, sf_dir):
-    return table(spark, sf_dir, "orders").agg(F.max("o_orderdate")).scalar()
+def _named(**expressions: str):
+    return [F.expr(f"{e} AS {name}") for name, e in expressions.items()]
 
 
 def _orders_by_customer(spark, sf_dir) -> DataFrame:
-    last = F.max(F.struct("o_orderdate", "o_orderkey", "o_orderpriority"))
+    orders = table(spark, sf_dir, "orders")
     return (
-        table(spark, sf_dir, "orders")
-        .groupBy("o_custkey")
+        orders.groupBy("o_custkey")
         .agg(
-            last.alias("last"),
-            F.min("o_orderdate").alias("first_dt"),
-            F.count("*").alias("n_orders"),
-            F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("n_u"),
-            F.count_if(F.col("o_orderpriority") == "2-HIGH").alias("n_h"),
-            F.count_if(F.col("o_orderstatus") == "P").alias("n_p"),
+            *_named(
+                last="max(struct(o_orderdate, o_orderkey, o_orderpriority))",
+                first_dt="min(o_orderdate)",
+                n_orders="count(*)",
+                n_u="count_if(o_orderpriority = '1-URGENT')",
+                n_h="count_if(o_orderpriority = '2-HIGH')",
+                n_p="count_if(o_orderstatus = 'P')",
+            )
         )
-        .withColumn("snap", _snapshot(spark, sf_dir))
+        .withColumn("snap", orders.agg(F.max("o_orderdate")).scalar())
     )
 
 
 def _lines_by_customer(spark, sf_dir) -> DataFrame:
     """Line facts per customer; reduced per order first, so a large order is one row."""
-    line = table(spark, sf_dir, "lineitem")
     facts = {
-        "n_r": F.count_if(F.col("l_returnflag") == "R"),
-        "n_a": F.count_if(F.col("l_returnflag") == "A"),
-        "n_n": F.count_if(F.col("l_returnflag") == "N"),
-        "n_f": F.count_if(F.col("l_linestatus") == "F"),
-        "n_bulk": F.count_if(F.col("l_quantity") >= 40),
-        "n_lines": F.count("*"),
-        "spend": F.sum(F.col("l_extendedprice").cast("decimal(18,2)")),
+        "n_r": "count_if(l_returnflag = 'R')",
+        "n_a": "count_if(l_returnflag = 'A')",
+        "n_n": "count_if(l_returnflag = 'N')",
+        "n_f": "count_if(l_linestatus = 'F')",
+        "n_bulk": "count_if(l_quantity >= 40)",
+        "spend": "sum(CAST(l_extendedprice AS DECIMAL(18,2)))",
     }
-    per_order = line.groupBy("l_orderkey").agg(*[e.alias(n) for n, e in facts.items()])
+    per_order = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(*_named(**facts))
     owner = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return (
-        per_order.join(owner, F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy(F.col("o_custkey").alias("lk"))
-        .agg(*[F.sum(n).alias(n) for n in facts])
+        per_order.join(owner, F.expr("l_orderkey = o_orderkey"))
+        .groupBy(F.expr("o_custkey AS lk"))
+        .agg(*_named(**{n: f"sum({n})" for n in facts}))
     )
 
 
 def raw_services(spark, sf_dir) -> DataFrame:
-    lines = _lines_by_customer(spark, sf_dir)
-    orders = _orders_by_customer(spark, sf_dir).drop("last")
     online = (
         table(spark, sf_dir, "events")
-        .where(F.col("event_type") != "error")
-        .select(F.col("user_id").alias("ek"))
+        .where("event_type <> 'error'")
+        .selectExpr("user_id AS ek")
         .distinct()
     )
-    key, segment = F.col("c_custkey"), F.col("c_mktsegment")
     joined = (
         table(spark, sf_dir, "customer")
-        .join(lines, key == F.col("lk"), "left")
-        .join(orders, key == F.col("o_custkey"), "left")
-        .join(online, key == F.col("ek"), "left")
-    )
-    has_net = F.col("ek").isNotNull()
-    n_orders = F.coalesce(F.col("n_orders"), F.lit(0))
-    n_returned = F.coalesce(F.col("n_r"), F.lit(0))
-    n_bulk = F.coalesce(F.col("n_bulk"), F.lit(0))
-    spend = F.coalesce(F.col("spend").cast("double"), F.lit(0.0))
-    tenure = F.least(
-        F.lit(72), F.floor(F.datediff("snap", "first_dt") / F.lit(30.0)).cast("int")
+        .join(_lines_by_customer(spark, sf_dir), F.expr("c_custkey = lk"), "left")
+        .join(
+            _orders_by_customer(spark, sf_dir).drop("last"), F.expr("c_custkey = o_custkey"), "left"
+        )
+        .join(online, F.expr("c_custkey = ek"), "left")
     )
-    distance = F.when(key % 10 != 0, (key % 50) * 0.25).otherwise(0.0)
+    orders, returned = "coalesce(n_orders, 0)", "coalesce(n_r, 0)"
+    spend = "coalesce(CAST(spend AS DOUBLE), 0.0D)"
+    tenure = "least(72, CAST(floor(datediff(snap, first_dt) / 30.0D) AS INT))"
+    distance = "IF(c_custkey % 10 <> 0, (c_custkey % 50) * 0.25D, 0.0D)"
     return _titled(
         joined,
         {
-            "Customer ID": key.cast("string"),
-            "Count": F.lit(1).cast("bigint"),
-            "Quarter": F.lit("Q3"),
-            "Referred a Friend": _flag(n_orders % 4 > 0),
-            "Number of Referrals": (n_orders % 4).cast("int"),
+            "Customer ID": "CAST(c_custkey AS STRING)",
+            "Count": "1L",
+            "Quarter": "'Q3'",
+            "Referred a Friend": _flag(f"{orders} % 4 > 0"),
+            "Number of Referrals": f"CAST({orders} % 4 AS INT)",
             "Tenure in Months": tenure,
-            "Offer": F.when(F.col("c_acctbal") >= 0, segment),
-            "Phone Service": _flag(key % 10 != 0),
+            "Offer": "CASE WHEN c_acctbal >= 0 THEN c_mktsegment END",
+            "Phone Service": _flag("c_custkey % 10 <> 0"),
             "Avg Monthly Long Distance Charges": distance,
-            "Multiple Lines": _flag(n_orders >= 10),
-            "Internet Service": _flag(has_net),
-            "Internet Type": F.when(has_net, F.concat(F.lit("T"), (key % 3).cast("string"))),
-            "Avg Monthly GB Download": F.when(has_net, key % 60).otherwise(0).cast("int"),
-            "Online Security": F.when(F.col("lk").isNotNull(), _flag(F.col("n_r") >= 14)),
-            "Online Backup": _flag(F.col("n_a") >= 14),
-            "Device Protection Plan": _flag(F.col("n_n") >= 14),
-            "Premium Tech Support": _flag(F.col("n_f") >= 20),
-            "Streaming TV": _flag(F.col("n_bulk") >= 8),
-            "Streaming Movies": _flag(F.col("n_u") >= 2),
-            "Streaming Music": _flag(F.col("n_h") >= 2),
-            "Unlimited Data": _flag(F.col("n_p") >= 3),
-            "Contract": F.when(segment.isin("BUILDING", "MACHINERY"), "Month-to-Month")
-            .when(segment == "FURNITURE", "One Year")
-            .otherwise("Two Year"),
-            "Paperless Billing": _flag(key % 3 != 0),
-            "Payment Method": F.when(key % 3 == 0, "Bank Withdrawal")
-            .when(key % 3 == 1, "Credit Card")
-            .otherwise("Mailed Check"),
-            "Monthly Charge": F.col("c_acctbal"),
+            "Multiple Lines": _flag(f"{orders} >= 10"),
+            "Internet Service": _flag("ek IS NOT NULL"),
+            "Internet Type": "CASE WHEN ek IS NOT NULL THEN concat('T', c_custkey % 3) END",
+            "Avg Monthly GB Download": "CAST(IF(ek IS NOT NULL, c_custkey % 60, 0) AS INT)",
+            "Online Security": f"CASE WHEN lk IS NOT NULL THEN {_flag('n_r >= 14')} END",
+            "Online Backup": _flag("n_a >= 14"),
+            "Device Protection Plan": _flag("n_n >= 14"),
+            "Premium Tech Support": _flag("n_f >= 20"),
+            "Streaming TV": _flag("n_bulk >= 8"),
+            "Streaming Movies": _flag("n_u >= 2"),
+            "Streaming Music": _flag("n_h >= 2"),
+            "Unlimited Data": _flag("n_p >= 3"),
+            "Contract": "CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'Month-to-Month' "
+            "WHEN c_mktsegment = 'FURNITURE' THEN 'One Year' ELSE 'Two Year' END",
+            "Paperless Billing": _flag("c_custkey % 3 <> 0"),
+            "Payment Method": "CASE c_custkey % 3 WHEN 0 THEN 'Bank Withdrawal' "
+            "WHEN 1 THEN 'Credit Card' ELSE 'Mailed Check' END",
+            "Monthly Charge": "c_acctbal",
             "Total Charges": spend,
-            "Total Refunds": n_returned * 2.5,
-            "Total Extra Data Charges": (n_bulk * 10).cast("int"),
-            "Total Long Distance Charges": distance * tenure,
-            "Total Revenue": spend + n_returned * 2.5,
+            "Total Refunds": f"{returned} * 2.5D",
+            "Total Extra Data Charges": "CAST(coalesce(n_bulk, 0) * 10 AS INT)",
+            "Total Long Distance Charges": f"{distance} * {tenure}",
+            "Total Revenue": f"{spend} + {returned} * 2.5D",
         },
     )
 
 
 def raw_status(spark, sf_dir) -> DataFrame:
-    priority = F.col("last.o_orderpriority")
-    churned = F.col("last.o_orderdate") < F.expr("snap - INTERVAL 365 DAYS")
-    joined = F.col("first_dt") > F.expr("snap - INTERVAL 365 DAYS")
-    key = F.col("o_custkey")
-    category = (
-        F.when(priority.isin("1-URGENT", "2-HIGH"), "Competitor")
-        .when(priority == "3-MEDIUM", "Dissatisfaction")
-        .otherwise("Other")
-    )
-    reason = F.when(priority == "4-NOT SPECIFIED", "Deceased").otherwise(priority)
+    priority = "last.o_orderpriority"
+    churned = "last.o_orderdate < snap - INTERVAL 365 DAYS"
     return _titled(
         _orders_by_customer(spark, sf_dir),
         {
-            "Customer ID": key.cast("string"),
-            "Count": F.lit(1).cast("bigint"),
-            "Quarter": F.lit("Q3"),
-            "Satisfaction Score": F.when(churned, 1 + key % 2).otherwise(3 + key % 3).cast("int"),
-            "Customer Status": F.when(churned, "Churned").when(joined, "Joined").otherwise("Stayed"),
+            "Customer ID": "CAST(o_custkey AS STRING)",
+            "Count": "1L",
+            "Quarter": "'Q3'",
+            "Satisfaction Score": f"CAST(IF({churned}, 1 + o_custkey % 2, 3 + o_custkey % 3) AS INT)",
+            "Customer Status": f"CASE WHEN {churned} THEN 'Churned' "
+            "WHEN first_dt > snap - INTERVAL 365 DAYS THEN 'Joined' ELSE 'Stayed' END",
             "Churn Label": _flag(churned),
-            "Churn Value": churned.cast("int"),
-            "Churn Score": (key % 100).cast("int"),
-            "CLTV": (F.col("n_orders") * 100).cast("int"),
-            "Churn Category": F.when(churned, category),
-            "Churn Reason": F.when(churned, reason),
+            "Churn Value": f"CAST({churned} AS INT)",
+            "Churn Score": "CAST(o_custkey % 100 AS INT)",
+            "CLTV": "CAST(n_orders * 100 AS INT)",
+            "Churn Category": f"CASE WHEN NOT ({churned}) THEN NULL "
+            f"WHEN {priority} IN ('1-URGENT', '2-HIGH') THEN 'Competitor' "
+            f"WHEN {priority} = '3-MEDIUM' THEN 'Dissatisfaction' ELSE 'Other' END",
+            "Churn Reason": f"CASE WHEN NOT ({churned}) THEN NULL "
+            f"WHEN {priority} = '4-NOT SPECIFIED' THEN 'Deceased' ELSE {priority} END",
         },
     )
 

@@ -10,9 +10,9 @@ RUN_ID_PATTERN = "^[0-9]{8}T[0-9]{6}Z$"
 RUN_ID_FORMAT = "yyyyMMdd'T'HHmmss'Z'"
 
 
-def yes_no(column: Column) -> Column:
+def yes_no(column: str) -> Column:
     """'Yes' is true, 'No' is false, any other text is NULL."""
-    return F.when(column == "Yes", True).when(column == "No", False)
+    return F.expr(f"CASE `{column}` WHEN 'Yes' THEN true WHEN 'No' THEN false END")
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

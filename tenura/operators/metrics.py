@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tenura.functions import check_fraction, count_where, log_loss_term, ratio, top_k_count
 from tenura.operators.ranking import quantile_bins, rank_scores, running_totals
+from tenura.sources.workspace import store
 
 CANDIDATE = "candidate"
 
@@ -115,7 +116,8 @@ def evaluate(
     scored = df.select(CANDIDATE, id_column, "y", "score")
     ranked = rank_scores(scored, "score", id_column, [CANDIDATE])
     rates = with_rates(counts_at_k(ranked, fractions))
-    return rates.join(average_precision(scored), CANDIDATE)
+    # A few rows that later steps read several times, so they are computed once.
+    return store(rates.join(average_precision(scored), CANDIDATE), "evaluation")
 
 
 def sensitivity(df: DataFrame, fractions: Sequence[float], id_column: str = "id") -> DataFrame:

@@ -85,14 +85,6 @@ def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str]) -> Dat
     return df.groupBy(row).pivot(column, list(values)).count().fillna(0, subset=list(values))
 
 
-def present_values(df: DataFrame, column: str, limit: int = 1000) -> list:
-    """The distinct present values of a column with few values, sorted."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} distinct values")
-    return sorted(r[0] for r in rows)
-
-
 def present_by_group(df: DataFrame, group: str, column: str) -> DataFrame:
     return df.groupBy(group).agg(
         F.count(column).alias("non_null_count"), F.count("*").alias("total_count")

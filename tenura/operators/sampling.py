@@ -2,75 +2,81 @@
 
 Rows are ordered by a hash of their id. Per label, a histogram of the leading
 hash bits tells in which slice of the order each boundary lies; only the rows
-of those slices (one in 65,536 for each boundary) are ranked to find the exact
+of those slices (one in 4,096 for each boundary) are ranked to find the exact
 boundary. The assignment is then a plain expression over a few boundaries.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenura.functions import hash_order
+from tenura.sources.workspace import store
 
-MAX_LABELS = 1000
-_SLICE_BITS = 16
+MAX_LABELS = 64
+_SLICE_BITS = 12
 
 
-def _slices(df: DataFrame, id_column: str, label: str, salt: int) -> DataFrame:
-    return df.select(
-        F.col(label).alias("label"),
-        F.col(id_column).alias("id"),
-        hash_order(F.col(id_column), salt).alias("h"),
-    ).withColumn("slice", F.shiftright("h", 32 - _SLICE_BITS))
-
-
-def label_counts(df: DataFrame, label: str) -> dict:
-    """Rows per label, for a label with few values."""
-    rows = df.groupBy(label).count().limit(MAX_LABELS + 1).collect()
-    if len(rows) > MAX_LABELS:
-        raise ValueError(f"{label} has more than {MAX_LABELS} values; not a class label")
-    return {r[0]: r[1] for r in rows}
+def _histogram(keyed: DataFrame) -> dict:
+    """Rows per label and slice: at most 4,096 numbers per label."""
+    labels = keyed.select("label").distinct().limit(MAX_LABELS + 1).count()
+    if labels > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels; not a class label")
+    found: dict = {}
+    for row in keyed.groupBy("label", "slice").agg(F.count("*").alias("n")).collect():
+        found.setdefault(row.label, {})[row.slice] = row.n
+    return found
 
 
 def boundaries(
-    df: DataFrame, id_column: str, label: str, salt: int, ranks: Mapping[object, Sequence[int]]
+    df: DataFrame,
+    id_column: str,
+    label: str,
+    salt: int,
+    ranks_for: Callable[[dict], Mapping[object, Sequence[int]]],
 ) -> dict:
-    """Per label, the ``(hash, id)`` of the rows at the given ranks of the hash order."""
+    """Per label, the ``(hash, id)`` of the rows at chosen ranks of the hash order.
+
+    ``ranks_for`` gets the row count per label and returns the ranks per label.
+    """
     spark = df.sparkSession
-    wanted = [(value, int(r)) for value, rs in ranks.items() for r in rs if r >= 1]
-    if not wanted:
+    keyed = store(
+        df.select(
+            F.col(label).alias("label"),
+            F.col(id_column).alias("id"),
+            hash_order(F.col(id_column), salt).alias("h"),
+        ).withColumn("slice", F.shiftright("h", 32 - _SLICE_BITS)),
+        "keys",
+    )
+    histogram = _histogram(keyed)
+    wanted = ranks_for({v: sum(slices.values()) for v, slices in histogram.items()})
+    hits = []
+    for value, ranks in wanted.items():
+        for rank in sorted({r for r in ranks if r >= 1}):
+            before = 0
+            for piece, n in sorted(histogram[value].items()):
+                if before < rank <= before + n:
+                    hits.append((value, piece, rank, rank - before))
+                before += n
+    if not hits:
         return {}
     label_type = df.schema[label].dataType.simpleString()
-    targets = spark.createDataFrame(wanted, f"label {label_type}, target BIGINT")
-    keyed = _slices(df, id_column, label, salt)
-    upto = Window.partitionBy("label").orderBy("slice")
-    # At most 65,536 slices per label, whatever the number of rows.
-    histogram = (
-        keyed.groupBy("label", "slice")
-        .agg(F.count("*").alias("n"))
-        .withColumn("upto", F.sum("n").over(upto))
-    )
-    hit = (
-        histogram.join(F.broadcast(targets), "label")
-        .where((F.col("target") <= F.col("upto")) & (F.col("target") > F.col("upto") - F.col("n")))
-        .select("label", "slice", "target", (F.col("upto") - F.col("n")).alias("before"))
-        .collect()
-    )
-    hits = spark.createDataFrame(
-        hit, f"label {label_type}, slice BIGINT, target BIGINT, before BIGINT"
-    )
-    nth = F.row_number().over(
-        Window.partitionBy("label", "target").orderBy("h", "id")
+    # One row per boundary: labels times parts, both bounded.
+    near = F.broadcast(
+        spark.createDataFrame(
+            hits, f"label {label_type}, slice BIGINT, target BIGINT, nth_here BIGINT"
+        )
     )
+    nth = F.row_number().over(Window.partitionBy("label", "target").orderBy("h", "id"))
     cuts = (
-        keyed.join(F.broadcast(hits), ["label", "slice"])
+        keyed.join(near, ["label", "slice"])
         .withColumn("nth", nth)
-        .where(F.col("nth") == F.col("target") - F.col("before"))
+        .where(F.col("nth") == F.col("nth_here"))
         .select("label", "target", "h", "id")
         .collect()
     )
@@ -117,8 +123,13 @@ def stratified_split(
     part: str = "part",
 ) -> DataFrame:
     """Add the part, 'test' for an exact share of every label and 'train' for the rest."""
-    quota = quotas(label_counts(df, label), fraction)
-    cuts = boundaries(df, id_column, label, seed, {v: [q] for v, q in quota.items()})
+    cuts = boundaries(
+        df,
+        id_column,
+        label,
+        seed,
+        lambda counts: {v: [q] for v, q in quotas(counts, fraction).items()},
+    )
     # A label whose quota is zero has no boundary: all its rows train.
     passed = _passed(cuts, label, id_column, seed)
     has_cut = F.col(label).isin(list(cuts)) if cuts else F.lit(False)
@@ -134,13 +145,12 @@ def stratified_folds(
     fold: str = "fold",
 ) -> DataFrame:
     """Add the fold 0..folds-1; the folds of a label differ by one row at most."""
-    counts = label_counts(df, label)
-    ranks = {
-        v: sorted({-(-n * i // folds) for i in range(1, folds)}) for v, n in counts.items()
-    }
-    if any(n < folds for n in counts.values()):
-        raise ValueError(f"every label needs at least {folds} rows, got {counts}")
-    cuts = boundaries(df, id_column, label, seed, ranks)
+    def ranks_for(counts):
+        if any(n < folds for n in counts.values()):
+            raise ValueError(f"every label needs at least {folds} rows, got {counts}")
+        return {v: [-(-n * i // folds) for i in range(1, folds)] for v, n in counts.items()}
+
+    cuts = boundaries(df, id_column, label, seed, ranks_for)
     return df.withColumn(fold, _passed(cuts, label, id_column, seed))
 
 

@@ -117,15 +117,13 @@ def snake_case(header: str) -> str:
 
 def stage(raw: DataFrame, artifacts: Sequence[str] = ("Count",)) -> DataFrame:
     """Rename the file headers to snake case and leave out constant artifacts."""
-    kept = [c for c in raw.columns if c not in artifacts]
-    return raw.select(*[F.col(f"`{c}`").alias(snake_case(c)) for c in kept])
+    kept = raw.drop(*artifacts)
+    return kept.toDF(*[snake_case(c) for c in kept.columns])
 
 
 def clean(staged: DataFrame, flags: Sequence[str]) -> DataFrame:
     """Turn the Yes/No text columns into booleans; keep the rest."""
-    return staged.select(
-        *[yes_no(F.col(c)).alias(c) if c in flags else F.col(c) for c in staged.columns]
-    )
+    return staged.withColumns({c: yes_no(c) for c in flags})
 
 
 def target(status: DataFrame, excluded_reason: str = EXCLUDED_REASON) -> DataFrame:
