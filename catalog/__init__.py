@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["preparation", "profiles", "ranking", "quality", "sampling"]
+_MODULES = ["preparation", "profiles", "ranking", "quality", "sampling", "modeling", "outputs"]
 
 
 def load():
