@@ -107,6 +107,24 @@ def average_precision(
     )
 
 
+def average_precision_of_ranked(
+    ranked: DataFrame, group: Sequence[str] = (CANDIDATE,)
+) -> DataFrame:
+    """The same from ranked rows: the last rank of a score is its cumulative row count.
+
+    Only scores that some positive holds go on to the cumulative sum; a group
+    without positives has no row.
+    """
+    by_score = (
+        ranked.groupBy(*group, "score")
+        .agg(F.max("rank").alias("cum_n"), F.sum("y").cast("bigint").alias("pos"))
+        .where("pos > 0")
+    )
+    steps = running_totals(by_score, F.col("score").desc(), ["pos"], group)
+    gain = F.col("pos") * ratio(F.col("cum_pos"), F.col("cum_n"))
+    return steps.groupBy(*group).agg(ratio(F.sum(gain), F.max("all_pos")).alias("pr_auc"))
+
+
 def evaluate(
     df: DataFrame,
     fractions: Sequence[float] = K_SWEEP,
@@ -117,7 +135,9 @@ def evaluate(
     ranked = rank_scores(scored, "score", id_column, [CANDIDATE])
     rates = with_rates(counts_at_k(ranked, fractions))
     # A few rows that later steps read several times, so they are computed once.
-    return store(rates.join(average_precision(scored), CANDIDATE), "evaluation")
+    return store(
+        rates.join(average_precision_of_ranked(ranked), CANDIDATE, "left"), "evaluation"
+    )
 
 
 def sensitivity(df: DataFrame, fractions: Sequence[float], id_column: str = "id") -> DataFrame:

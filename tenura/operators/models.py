@@ -191,12 +191,7 @@ def fit_sigmoid(scored: DataFrame) -> Sigmoid:
         F.struct(F.lit(1.0).alias("side"), t.alias(WEIGHT)),
         F.struct(F.lit(0.0).alias("side"), (1 - t).alias(WEIGHT)),
     )
-    # Equal scores are one weighted row, so a score that many rows share is cheap.
-    rows = (
-        scored.select("score", F.inline(sides))
-        .groupBy("score", "side")
-        .agg(F.sum(WEIGHT).alias(WEIGHT))
-    )
+    rows = scored.select("score", F.inline(sides))
     vectors = VectorAssembler(inputCols=["score"], outputCol="x").transform(rows)
     model = LogisticRegression(
         featuresCol="x", labelCol="side", weightCol=WEIGHT, regParam=0.0

@@ -131,16 +131,14 @@ def _id_rule(df: DataFrame, id_column: str) -> Column:
 
 def value_report(df: DataFrame, id_column: str, specs: Sequence[InputColumn]) -> DataFrame:
     """Per column and rule that some value breaks: rows, and the smallest id among them."""
-    ordered = [F.struct(F.lit(id_column).alias("column"), _id_rule(df, id_column).alias("rule"))]
-    ordered += [
-        F.struct(
-            F.lit(spec.name).alias("column"),
-            _broken_rule(spec, df.schema[spec.name].dataType).alias("rule"),
-        )
-        for spec in specs
-    ]
-    broken = F.filter(F.array(*ordered), lambda cell: cell["rule"].isNotNull())
-    cells = df.select(F.col(id_column).cast("string").alias("_id"), F.inline(broken))
+    rules = {id_column: _id_rule(df, id_column)}
+    rules |= {s.name: _broken_rule(s, df.schema[s.name].dataType) for s in specs}
+    cells = [F.struct(F.lit(c).alias("column"), r.alias("rule")) for c, r in rules.items()]
+    # Rows that break nothing leave before the cells are unfolded.
+    dirty = df.where(F.coalesce(*rules.values()).isNotNull())
+    cells = dirty.select(
+        F.col(id_column).cast("string").alias("_id"), F.inline(F.array(*cells))
+    ).where("rule IS NOT NULL")
     found = cells.groupBy("rule", "column").agg(
         F.count("*").alias("offending"), F.min("_id").alias("first_id")
     )
@@ -289,6 +287,18 @@ def probability_report(inputs: DataFrame, scored: DataFrame, id_column: str, p:
     )
 
 
+def probability_counts(scored: DataFrame, id_column: str, p: str) -> DataFrame:
+    """One row, without a shuffle of rows: rows, bad probabilities, and the smallest bad id."""
+    value = F.col(p)
+    finite = value.isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))
+    bad = ~F.coalesce(finite & value.between(0.0, 1.0), F.lit(False))
+    return scored.agg(
+        F.count("*").alias("n_rows"),
+        count_where(bad).alias("bad"),
+        F.min(F.when(bad, F.col(id_column))).alias("first_id"),
+    )
+
+
 RANKED_COLUMNS = ["customer_id", "churn_probability", "rank", "in_top_k"]
 _RANK_BLOCK = 1_000_000
 

@@ -45,10 +45,12 @@ def score_batch(
     valid = quality.require_valid(df, ID, specs)
     inputs = valid.select(ID, *[s.name for s in specs])
     scored = store(model.transform(inputs).select(ID, PROBABILITY), "scored")
-    problems = quality.probability_report(inputs, scored, ID, PROBABILITY).collect()
-    if problems:
+    found = quality.probability_counts(scored, ID, PROBABILITY).first()
+    rows = inputs.count()
+    if found.bad or found.n_rows != rows:
         raise ValueError(
-            "; ".join(f"{p.rule}: {p.offending} row(s), first {p.first_id!r}" for p in problems)
+            f"{found.bad} unusable probabilities, first {found.first_id!r}; "
+            f"{found.n_rows} rows scored of {rows}"
         )
     return rank_customers(scored, fraction)
 

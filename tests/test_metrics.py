@@ -89,3 +89,13 @@ def test_baseline_has_no_delta(spark):
     lines = {r.candidate: r for r in metrics.comparison_lines(compared).collect()}
     assert lines["base"].lift_delta == "n/a"
     assert lines["m"].precision_delta.startswith("+")
+
+
+def test_average_precision_from_ranks_is_the_same(spark):
+    df = spark.range(5_000).selectExpr(
+        "IF(id % 3 = 0, 'a', 'b') AS candidate", "id", "CAST(hash(id) % 7 = 0 AS INT) AS y",
+        "CAST(pmod(hash(id, 1), IF(id % 3 = 0, 2, 900)) AS DOUBLE) AS score",
+    )
+    direct = {r.candidate: r.pr_auc for r in metrics.average_precision(df).collect()}
+    from_ranks = {r.candidate: r.pr_auc for r in metrics.evaluate(df, [0.1]).collect()}
+    assert from_ranks == pytest.approx(direct)

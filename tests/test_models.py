@@ -171,6 +171,13 @@ def test_bad_input_is_not_scored(ready, published):
         scoring.score_batch(population.drop("age"), published, ready.schema, 0.1)
 
 
+def test_bad_probabilities_are_not_ranked(spark):
+    rows = [("a", 0.5), ("b", float("nan")), ("c", 1.5), ("d", None), ("e", float("inf"))]
+    df = spark.createDataFrame(rows, "customer_id STRING, churn_probability DOUBLE")
+    found = quality.probability_counts(df, "customer_id", "churn_probability").first()
+    assert (found.n_rows, found.bad, found.first_id) == (5, 4, "b")
+
+
 def test_published_outputs(spark, ready, published, tmp_path):
     population = scoring.scoring_population(ready.features, ready.schema)
     health = {"trained_at_utc": "2026-01-01T00:00:00Z", "package_version": "1",
