@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from catalog.preparation import features, fitted_schema
 from catalog.registry import query, r6
 from catalog.sql import FEATURE_SQL, TARGET_SQL, split_sql
-from tenura.operators import encoding, metrics, models, selection, tuning
+from tenura.operators import encoding, metrics, models, quality, selection, tuning
 from tenura.plans import scoring, training
 from tenura.plans.prepare import ID
 from tenura.sources import outputs, registry
@@ -233,11 +233,11 @@ def model_save_load(spark, sf_dir):
     return both.select(ID, r6("fitted").alias("fitted"), (F.col("fitted") == F.col("loaded")).alias("same"))
 
 
-def _record():
+def example_record():
     return dict.fromkeys(["precision_at_k", "lift_at_k", "pr_auc", "brier_score"], 0.5) | {
         "k": 0.1,
         "training_rows": 1,
-        "estimate_type": outputs.ESTIMATE_TYPE,
+        "estimate_type": quality.ESTIMATE_TYPE,
     }
 
 
@@ -252,7 +252,7 @@ def model_registry_row(spark, sf_dir):
         RUN_ID,
         schema_hash,
         BOOSTED.params,
-        _record(),
+        example_record(),
         {k: str(v) for k, v in fingerprint.asDict().items()},
     )
     path = new_path(spark, "registry")
@@ -316,7 +316,7 @@ def score_run(spark, sf_dir):
         {
             "trained_at_utc": "2026-01-01T00:00:00Z",
             "package_version": "1",
-            "training_cv_metrics": _record(),
+            "training_cv_metrics": example_record(),
         },
     )
     summary = spark.read.json(summary_path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from catalog.modeling import example_record
 from catalog.preparation import features, fitted_schema, schema_sql
 from catalog.ranking import CUSTOMERS_SQL, candidates, customers_scored
 from catalog.registry import query, r6
@@ -42,7 +43,7 @@ def run_summary(spark, sf_dir):
     health = {
         "trained_at_utc": "2026-01-01T00:00:00Z",
         "package_version": "1",
-        "training_cv_metrics": {"k": 0.1, "pr_auc": 0.5},
+        "training_cv_metrics": example_record(),
     }
     summary = outputs.run_summary(ranked, 0.10, "20260101T000000Z", "20260102T000000Z", health)
     path = new_path(spark, "summary")

@@ -245,7 +245,9 @@ def dq_probabilities(spark, sf_dir):
   SELECT user_id AS record, count(*) AS n, avg(value) AS v FROM events GROUP BY user_id),
 rows_ AS (
   SELECT record, name, CASE
-      WHEN name = 'estimate_type' THEN CASE WHEN record % 5 = 1 THEN ' ' ELSE 'oof' END
+      WHEN name = 'estimate_type' THEN CASE WHEN record % 5 = 1 THEN ' ' ELSE '"""
+    + quality.ESTIMATE_TYPE
+    + """' END
       WHEN name = 'training_rows' AND record % 6 = 1 THEN concat(CAST(n AS VARCHAR), '.5')
       WHEN name = 'pr_auc' AND record % 4 = 1 THEN 'NaN'
       WHEN name = 'lift_at_k' AND record % 8 = 1 THEN 'high'
@@ -255,7 +257,7 @@ rows_ AS (
   WHERE NOT (name = 'brier_score' AND record % 7 = 1)
     AND NOT (name = 'accuracy' AND record % 3 <> 0))
 SELECT record, name, CASE WHEN name = 'accuracy' THEN 'unexpected'
-    WHEN name = 'estimate_type' THEN 'blank'
+    WHEN name = 'estimate_type' THEN 'wrong_text'
     WHEN name = 'training_rows' THEN 'not_whole' ELSE 'not_finite' END AS problem
 FROM rows_ WHERE name = 'accuracy' OR (name = 'estimate_type' AND value = ' ')
   OR (name = 'training_rows' AND value LIKE '%.5') OR value IN ('NaN', 'high')
@@ -273,7 +275,7 @@ def dq_metrics_record(spark, sf_dir):
         .selectExpr(
             "record",
             "name",
-            """CASE WHEN name = 'estimate_type' THEN IF(record % 5 = 1, ' ', 'oof')
+            f"""CASE WHEN name = 'estimate_type' THEN IF(record % 5 = 1, ' ', '{quality.ESTIMATE_TYPE}')
               WHEN name = 'training_rows' AND record % 6 = 1 THEN concat(n, '.5')
               WHEN name = 'pr_auc' AND record % 4 = 1 THEN 'NaN'
               WHEN name = 'lift_at_k' AND record % 8 = 1 THEN 'high'

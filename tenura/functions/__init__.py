@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,6 +52,17 @@ def is_run_id(text: Column) -> Column:
     return F.coalesce(text.rlike(RUN_ID_PATTERN) & real, F.lit(False))
 
 
+def require_run_id(text: str) -> str:
+    """The text itself, or an error unless it is a run id."""
+    shape = "%Y%m%dT%H%M%SZ"
+    try:
+        if datetime.strptime(text, shape).strftime(shape) == text:
+            return text
+    except (TypeError, ValueError):
+        pass
+    raise ValueError(f"not a run id: {text!r}")
+
+
 def log_loss_term(label: Column, probability: Column, clip: float = 1e-15) -> Column:
     p = F.greatest(F.lit(clip), F.least(F.lit(1.0 - clip), probability))
     return -F.when(label == 1, F.log(p)).otherwise(F.log(F.lit(1.0) - p))

@@ -5,7 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    OneHotEncoder,
+    SQLTransformer,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -133,6 +139,13 @@ def fit_preprocessor(
     return PipelineModel(stages=[fill, index, hot, scaling, assemble])
 
 
+def fitted_categories(model: PipelineModel) -> dict[str, list[str]]:
+    """The sorted categories that a fitted preprocessor learned, sentinels among them."""
+    index = next(s for s in model.stages if isinstance(s, StringIndexerModel))
+    names = [c.removeprefix("_cat_") for c in index.getInputCols()]
+    return {c: sorted(labels) for c, labels in zip(names, index.labelsArray, strict=True)}
+
+
 def assemble(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
     return model.transform(df).select(*keep, "features")
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenura.functions import count_where, ratio
+from tenura.sources.workspace import store
 
 MAX_CLASSES = 1000
 
@@ -190,7 +191,8 @@ def correlations(df: DataFrame, columns: Sequence[str], threshold: float = 0.6)
 
     The matrix has one cell per pair of columns, whatever the number of rows.
     """
-    numeric = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    # The matrix takes several passes over the rows, so the few columns are written first.
+    numeric = store(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "numeric")
     vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(numeric)
     matrix = Correlation.corr(vectors.select("v"), "v").first()[0].toArray()
     pairs = []

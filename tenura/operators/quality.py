@@ -211,9 +211,8 @@ def report(df: DataFrame, id_column: str, specs: Sequence[InputColumn]) -> DataF
     spark = df.sparkSession
     problems = column_problems(df.columns, [id_column, *[s.name for s in specs]])
     if problems:
-        shape = [
-            (rule, column, COLUMN_RULES.index(rule), None, None) for rule, column in problems
-        ]
+        # One failure that names all column problems.
+        shape = [(rule, column, 0, None, None) for rule, column in problems]
         found = spark.createDataFrame(shape, REPORT)
     else:
         empty = df.agg(F.count("*").alias("n")).where("n = 0").select(
@@ -390,19 +389,42 @@ METRIC_KEYS = [
     "pr_auc",
     "brier_score",
 ]
-TEXT_KEYS = ["estimate_type"]
 WHOLE_KEYS = ["training_rows"]
+ESTIMATE_TYPE = (
+    "Five-fold out-of-fold estimates on the training split, using the same folds as tuning; "
+    "potentially mildly optimistic."
+)
+
+
+def check_metrics(metrics: Mapping[str, object]) -> None:
+    """An error unless the record has the exact keys, finite numbers and the exact wording."""
+    if set(metrics) != set(METRIC_KEYS):
+        raise ValueError(f"metrics must have the keys {METRIC_KEYS}, got {sorted(metrics)}")
+    if metrics["estimate_type"] != ESTIMATE_TYPE:
+        raise ValueError(f"wrong estimate type {metrics['estimate_type']!r}")
+    for name, value in metrics.items():
+        kinds = int if name in WHOLE_KEYS else (int, float)
+        if name != "estimate_type" and (
+            isinstance(value, bool) or not isinstance(value, kinds) or not math.isfinite(value)
+        ):
+            raise ValueError(f"{name} must be a finite number, got {value!r}")
 
 
 def metrics_record_report(records: DataFrame, keys: Iterable[str] = METRIC_KEYS) -> DataFrame:
-    """Problems of ``(record, name, value)`` rows: missing, unexpected, not finite, not whole."""
+    """Problems of ``(record, name, value)`` rows.
+
+    A key may be missing or unexpected, a number not finite or not whole, the text wrong.
+    """
     keys = list(keys)
     number = F.expr("try_cast(value AS DOUBLE)")
     finite = number.isNotNull() & ~F.isnan(number) & (F.abs(number) != math.inf)
     known = F.col("name").isin(keys)
     problem = (
         F.when(~known, "unexpected")
-        .when(F.col("name").isin(TEXT_KEYS), F.when(is_blank(F.col("value")), "blank"))
+        .when(
+            F.col("name") == "estimate_type",
+            F.when(~F.col("value").eqNullSafe(ESTIMATE_TYPE), "wrong_text"),
+        )
         .when(~finite, "not_finite")
         .when(F.col("name").isin(WHOLE_KEYS) & (number != F.floor(number)), "not_whole")
     )

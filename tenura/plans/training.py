@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 
 from tenura.operators import encoding, metrics, models, sampling, tuning
 from tenura.operators.models import ID, Candidate
-from tenura.operators.quality import InputColumn
+from tenura.operators.quality import ESTIMATE_TYPE, InputColumn
 from tenura.operators.selection import require_equal_parameters
 from tenura.sources import registry
-from tenura.sources.outputs import ESTIMATE_TYPE
 from tenura.sources.workspace import store
 
 HEURISTIC = "business_heuristic"
@@ -38,16 +37,13 @@ def prepare(
     features: DataFrame, fraction: float = 0.2, folds: int = 5, seed: int = 42
 ) -> Prepared:
     """Split the feature table, fit the preprocessor on its training rows, assign the folds."""
-    table = store(
-        sampling.stratified_split(store(features, "features"), ID, encoding.TARGET, fraction, seed),
-        "split",
+    # Written once; the part is an expression over the id, so it is not stored.
+    table = sampling.stratified_split(
+        store(features, "features"), ID, encoding.TARGET, fraction, seed
     )
     train = table.where("part = 'train'").drop("part")
     preprocessor = encoding.fit_preprocessor(train)
-    categories = encoding.fit_categories(
-        encoding.fill_sentinels(train), encoding.CATEGORICAL_COLUMNS
-    )
-    schema = encoding.input_schema(train, categories)
+    schema = encoding.input_schema(train, encoding.fitted_categories(preprocessor))
     labelled = train.withColumn("label", F.col(encoding.TARGET).cast("double"))
     encoded = encoding.assemble(preprocessor, labelled, [ID, "label", "is_month_to_month"])
     frame = models.model_frame(

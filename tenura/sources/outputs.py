@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.functions import check_fraction, count_where
+from tenura.functions import check_fraction, count_where, require_run_id
+from tenura.operators.quality import check_metrics
 
 # The columns of the list and the texts of the summary.
 LIST_COLUMNS = ["customer_id", "churn_probability", "rank", "in_top_k"]
@@ -16,10 +19,7 @@ SNAPSHOT_NOTICE = (
     "It is not a live outreach list."
 )
 HELD_OUT_REFERENCE = "ADR-0014"
-ESTIMATE_TYPE = (
-    "Five-fold out-of-fold estimates on the training split, using the same folds as tuning; "
-    "potentially mildly optimistic."
-)
+HEALTH_KEYS = ["trained_at_utc", "package_version", "training_cv_metrics"]
 
 
 def write_list(ranked: DataFrame, path: str) -> None:
@@ -45,13 +45,23 @@ def read_list(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def check_health(health: dict) -> None:
+    """The training facts that the summary repeats: exact keys, usable values."""
+    if set(health) != set(HEALTH_KEYS):
+        raise ValueError(f"model health must have the keys {HEALTH_KEYS}, got {sorted(health)}")
+    datetime.strptime(health["trained_at_utc"], "%Y-%m-%dT%H:%M:%SZ")
+    if not health["package_version"]:
+        raise ValueError("the package version must not be empty")
+    check_metrics(health["training_cv_metrics"])
+
+
 def run_summary(
     ranked: DataFrame, fraction: float, model_run_id: str, scoring_run_id: str, health: dict
 ) -> DataFrame:
     """One row: how many customers were scored and flagged, by which model, and its health."""
-    keys = {"trained_at_utc", "package_version", "training_cv_metrics"}
-    if set(health) != keys:
-        raise ValueError(f"model health must have the keys {sorted(keys)}, got {sorted(health)}")
+    require_run_id(model_run_id)
+    require_run_id(scoring_run_id)
+    check_health(health)
     metrics = F.struct(
         *[F.lit(v).alias(k) for k, v in health["training_cv_metrics"].items()]
     )

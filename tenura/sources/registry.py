@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.functions import is_run_id
-from tenura.operators.quality import METRIC_KEYS
+from tenura.functions import is_run_id, require_run_id
+from tenura.operators.quality import check_metrics
 
 MODEL_ROW = (
     "run_id STRING, input_schema_hash STRING, hyperparameters MAP<STRING, STRING>, "
@@ -34,13 +34,13 @@ def model_row(
     fingerprints: Mapping[str, str],
 ) -> DataFrame:
     """One row that describes a published model; its metrics must have the exact keys."""
-    if set(metrics) != set(METRIC_KEYS):
-        raise ValueError(f"metrics must have the keys {METRIC_KEYS}, got {sorted(metrics)}")
+    require_run_id(run_id)
+    check_metrics(metrics)
 
     def texts(values):
         return {k: None if v is None else str(v) for k, v in values.items()}
 
-    row = spark.createDataFrame(
+    return spark.createDataFrame(
         [
             (
                 run_id,
@@ -53,9 +53,6 @@ def model_row(
         ],
         MODEL_ROW,
     )
-    if row.where(~is_run_id(F.col("run_id"))).count():
-        raise ValueError(f"not a run id: {run_id!r}")
-    return row
 
 
 def run_problem() -> Column:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from catalog.modeling import example_record
 from tenura.operators import encoding, metrics, models, quality, selection, tuning
 from tenura.plans import scoring, training
 from tenura.sources import outputs, registry
@@ -181,7 +182,7 @@ def test_bad_probabilities_are_not_ranked(spark):
 def test_published_outputs(spark, ready, published, tmp_path):
     population = scoring.scoring_population(ready.features, ready.schema)
     health = {"trained_at_utc": "2026-01-01T00:00:00Z", "package_version": "1",
-              "training_cv_metrics": {"k": 0.1}}
+              "training_cv_metrics": example_record()}
     paths = str(tmp_path / "list"), str(tmp_path / "summary")
     ranked = scoring.score_run(
         population, published, ready.schema, 0.1, *paths, RUN, LATER, health
@@ -210,7 +211,7 @@ def test_list_files_are_in_rank_order(spark, tmp_path):
 
 
 def test_registry(spark, tmp_path):
-    record = dict.fromkeys(quality.METRIC_KEYS, 1)
+    record = example_record()
     path = str(tmp_path / "registry")
     for run in (LATER, RUN):
         registry.append_rows(registry.model_row(spark, run, "h", {"depth": None}, record, {}), path)
@@ -223,8 +224,9 @@ def test_registry(spark, tmp_path):
         if bad != "20260103T000000Z":
             with pytest.raises(ValueError, match="not a run id"):
                 registry.model_row(spark, bad, "h", {}, record, {})
-    with pytest.raises(ValueError, match="must have the keys"):
-        registry.model_row(spark, RUN, "h", {}, {"k": 1}, {})
+    for change in ({"k": float("nan")}, {"training_rows": 1.5}, {"estimate_type": "x"}, {"z": 1}):
+        with pytest.raises(ValueError):
+            registry.model_row(spark, RUN, "h", {}, {**record, **change}, {})
 
 
 def test_fingerprints_do_not_depend_on_order(spark):
