@@ -5,12 +5,13 @@ from __future__ import annotations
 from functools import partial
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
-from catalog.preparation import features, fitted_schema
+from catalog.preparation import features, fitted_schema, schema_sql
 from catalog.registry import query, r6
 from catalog.sql import FEATURE_SQL, TARGET_SQL, split_sql
-from tenura.operators import encoding, metrics, models, quality, selection, tuning
+from tenura.operators import encoding, metrics, models, quality, sampling, selection, tuning
 from tenura.plans import scoring, training
 from tenura.plans.prepare import ID
 from tenura.sources import outputs, registry
@@ -20,7 +21,7 @@ RUN_ID = "20260101T000000Z"
 SCORING_RUN_ID = "20260102T000000Z"
 FOLDS = 2
 
-LOGISTIC = models.logistic_regression(max_iter=25)
+LOGISTIC = models.logistic_regression(max_iter=15)
 FOREST = models.random_forest(trees=10, depth=5)
 BOOSTED = models.boosted_trees(trees=5, depth=3)
 
@@ -93,6 +94,7 @@ def _search(draw, budget=2):
     return run
 
 
+DRAW_LOGISTIC = partial(tuning.draw_logistic, max_iter=15)
 DRAW_BOOSTED = partial(tuning.draw_boosted, trees=(3, 6), depth=(2, 4))
 
 
@@ -101,19 +103,23 @@ def _draw_forest(rng):
     return models.random_forest(**{**drawn.params, "depth": min(drawn.params["depth"] or 6, 6)})
 
 
-query("tune_logistic")(_search(tuning.draw_logistic, budget=3))
+query("tune_logistic")(_search(DRAW_LOGISTIC, budget=3))
 query("tune_forest")(_search(_draw_forest))
 query("tune_boosted")(_search(DRAW_BOOSTED))
 
 
-@query("objective_guard")
+@query(
+    "objective_guard",
+    """SELECT * FROM (VALUES ('roc_auc', false), ('accuracy', false), ('pr_auc', true))
+  AS t(objective, accepted)""",
+)
 def objective_guard(spark, sf_dir):
     """One row per objective that was tried on the training frame: accepted, or the error."""
     frame = prepared(spark, sf_dir).frame
     rows = []
     for objective in ("roc_auc", "accuracy", "pr_auc"):
         try:
-            tuning.search(frame, tuning.draw_logistic, 1, FOLDS, objective=objective)
+            tuning.search(frame, DRAW_LOGISTIC, 1, FOLDS, objective=objective)
             rows.append((objective, True))
         except ValueError:
             rows.append((objective, False))
@@ -159,9 +165,7 @@ def calibrated_ensemble(spark, sf_dir):
     return models.calibrated_scores(model, test, [ID]).select(ID, r6("score").alias("score"))
 
 
-@query(
-    "out_of_fold_scores",
-)
+@query("out_of_fold_scores")
 def out_of_fold_scores(spark, sf_dir):
     ready = prepared(spark, sf_dir)
     scored = models.out_of_fold_scores(LOGISTIC, ready.frame, FOLDS)
@@ -197,7 +201,7 @@ def compare_out_of_fold(spark, sf_dir):
 def tuning_evidence(spark, sf_dir):
     """Score spread and plateau of a real search."""
     found = tuning.search(
-        prepared(spark, sf_dir).frame, tuning.draw_logistic, budget=3, folds=FOLDS
+        prepared(spark, sf_dir).frame, DRAW_LOGISTIC, budget=3, folds=FOLDS
     )
     evidence = selection.search_evidence(found.results)
     plateau = selection.search_plateau(found.results)
@@ -241,10 +245,22 @@ def example_record():
     }
 
 
-@query("model_registry_row")
+@query(
+    "model_registry_row",
+    f"""WITH {FEATURE_SQL},
+s AS ({schema_sql("feat")}),
+l AS (SELECT concat(allowed, ':', "column", ':', kind, ':', CAST(nullable AS VARCHAR), ':',
+  CAST(position AS VARCHAR), ':', reserved) AS line FROM s),
+h AS (SELECT md5(concat_ws('|', customer_id, contract, coalesce(offer, '\\N'),
+  CAST(age AS VARCHAR))) AS h FROM feat)
+SELECT '{RUN_ID}' AS run_id,
+  (SELECT sha256(string_agg(line, chr(10) ORDER BY line)) FROM l) AS input_schema_hash,
+  '5' AS trees, '0.1' AS k, CAST(count(*) AS VARCHAR) AS n_rows,
+  CAST(sum(('0x' || substr(h, 1, 8))::BIGINT) AS VARCHAR) AS sum_high, true AS complete FROM h""",
+)
 def model_registry_row(spark, sf_dir):
     """A published model's registry row; its hashes come from the feature table."""
-    view = features(spark, sf_dir)
+    view = store(features(spark, sf_dir), "features")
     schema_hash = registry.schema_fingerprint(fitted_schema(spark, view)).first().schema_hash
     fingerprint = registry.table_fingerprint(view, [ID, "contract", "offer", "age"]).first()
     row = registry.model_row(
@@ -257,12 +273,13 @@ def model_registry_row(spark, sf_dir):
     )
     path = new_path(spark, "registry")
     registry.append_rows(row, path)
-    back = registry.read_registry(spark, path, registry.MODEL_ROW)
-    return back.select(
+    return registry.read_registry(spark, path, registry.MODEL_ROW).select(
         "run_id",
         "input_schema_hash",
-        F.to_json("hyperparameters").alias("hyperparameters"),
-        F.to_json("fingerprints").alias("fingerprints"),
+        F.col("hyperparameters")["trees"].alias("trees"),
+        F.col("training_cv_metrics")["k"].alias("k"),
+        F.col("fingerprints")["n_rows"].alias("n_rows"),
+        F.col("fingerprints")["sum_high"].alias("sum_high"),
         "complete",
     )
 
@@ -275,7 +292,7 @@ def train_and_publish(spark, sf_dir):
         RUN_ID,
         model_path,
         registry_path,
-        draw=tuning.draw_logistic,
+        draw=DRAW_LOGISTIC,
         budget=2,
         folds=FOLDS,
         inner_folds=FOLDS,
@@ -303,11 +320,15 @@ def score_batch(spark, sf_dir):
 def score_run(spark, sf_dir):
     """Publish a scoring run and read its list back."""
     ready, model, population = _published(spark, sf_dir)
+    return _publish(spark, model, ready.schema, population)
+
+
+def _publish(spark, model, specs, population):
     list_path, summary_path = new_path(spark, "list"), new_path(spark, "summary")
     scoring.score_run(
         population,
         model,
-        ready.schema,
+        specs,
         0.10,
         list_path,
         summary_path,
@@ -321,6 +342,60 @@ def score_run(spark, sf_dir):
     )
     summary = spark.read.json(summary_path)
     listed = outputs.read_list(spark, list_path)
-    return listed.select(
-        "customer_id", r6("churn_probability").alias("churn_probability"), "rank", "in_top_k"
-    ).withColumn("customers_flagged", summary.select("customers_flagged").scalar())
+    return listed.withColumn("churn_probability", r6("churn_probability")).withColumn(
+        "customers_flagged", summary.select("customers_flagged").scalar()
+    )
+
+
+_FIXED = "1.5D - 0.0625D * tenure_in_months - 0.25D * num_addon_services + 0.75D * is_mtm"
+_FIXED_SQL = f"""WITH {FEATURE_SQL}, {split_sql("feat")},
+p AS (
+  SELECT customer_id, 1.0::DOUBLE / (1.0::DOUBLE + exp(-(1.5::DOUBLE
+    - 0.0625::DOUBLE * tenure_in_months - 0.25::DOUBLE * num_addon_services
+    + 0.75::DOUBLE * CAST(is_month_to_month AS INTEGER)))) AS churn_probability
+  FROM split WHERE part = 'test'),
+fixed AS (
+  SELECT customer_id, round(churn_probability, 6) AS churn_probability,
+    row_number() OVER w AS rank, row_number() OVER w
+      <= greatest(1, CAST(round_even(count(*) OVER () * 0.1::DOUBLE, 0) AS BIGINT)) AS in_top_k
+  FROM p WINDOW w AS (ORDER BY p.churn_probability DESC, customer_id))
+"""
+
+
+def _fixed_model(spark, sf_dir):
+    """A saved-model stand-in with known coefficients, and the population it scores."""
+    view = sampling.stratified_split(
+        store(features(spark, sf_dir), "features"), ID, encoding.TARGET
+    )
+    train = view.where("part = 'train'").drop("part")
+    categories = encoding.fit_categories(
+        encoding.fill_sentinels(train), encoding.CATEGORICAL_COLUMNS
+    )
+    specs = encoding.input_schema(train, categories)
+    z = _FIXED.replace("is_mtm", "CAST(is_month_to_month AS INT)")
+    model = PipelineModel(
+        stages=[
+            SQLTransformer(
+                statement=f"SELECT *, 1.0D / (1.0D + exp(-({z}))) AS churn_probability FROM __THIS__"
+            )
+        ]
+    )
+    return model, specs, scoring.scoring_population(view, specs)
+
+
+@query("score_batch_fixed", _FIXED_SQL + "SELECT * FROM fixed")
+def score_batch_fixed(spark, sf_dir):
+    model, specs, population = _fixed_model(spark, sf_dir)
+    ranked = scoring.score_batch(population, model, specs, 0.10)
+    return ranked.withColumn("churn_probability", r6("churn_probability"))
+
+
+@query(
+    "score_run_fixed",
+    _FIXED_SQL
+    + """SELECT customer_id, churn_probability, rank,
+  CASE WHEN in_top_k THEN 'True' ELSE 'False' END AS in_top_k,
+  count(*) FILTER (WHERE in_top_k) OVER () AS customers_flagged FROM fixed""",
+)
+def score_run_fixed(spark, sf_dir):
+    return _publish(spark, *_fixed_model(spark, sf_dir))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from catalog.registry import query, r6
@@ -512,16 +513,6 @@ def standard_scale(spark, sf_dir):
     return scaled.select("customer_id", *[r6(c).alias(c) for c in _SCALED])
 
 
-@query("preprocess_model_inputs")
-def preprocess_model_inputs(spark, sf_dir):
-    from pyspark.ml.functions import vector_to_array
-
-    split = split_features(spark, sf_dir)
-    model = encoding.fit_preprocessor(split.where("part = 'train'").drop("part"))
-    encoded = encoding.assemble(model, split, ["customer_id", "part"])
-    return encoded.select("customer_id", "part", vector_to_array("features").alias("features"))
-
-
 def _kind(column):
     booleans = {c for cs in prepare.YES_NO_COLUMNS.values() for c in cs}
     booleans |= {
@@ -545,6 +536,49 @@ def _kind(column):
     return "boolean-like" if column in booleans else "decimal" if column in decimals else "integer-like"
 
 
+_LEVELS = {
+    "internet_type": ["No Internet", "T0", "T1", "T2"],
+    "offer": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "No Offer"],
+    "gender": ["Female", "Male"],
+    "contract": ["Month-to-Month", "One Year", "Two Year"],
+    "payment_method": ["Bank Withdrawal", "Credit Card", "Mailed Check"],
+}
+_NUMERIC = [c for c in _INPUTS if c not in (prepare.ID, *encoding.CATEGORICAL_COLUMNS)]
+
+
+def _encoded_sql() -> str:
+    """The encoded inputs as f01, f02, ... in output order."""
+    cells = [
+        f"CAST(coalesce({c}, '{encoding.SENTINELS.get(c, '')}') = '{v}' AS DOUBLE)"
+        for c, levels in _LEVELS.items()
+        for v in levels
+    ]
+    cells += [
+        f"round((CAST({c} AS DOUBLE) - m_{c}) / coalesce(nullif(s_{c}, 0), 1), 6) + 0.0"
+        for c in _NUMERIC
+    ]
+    fitted = ", ".join(
+        f"avg(CAST({c} AS DOUBLE)) AS m_{c}, stddev_pop(CAST({c} AS DOUBLE)) AS s_{c}"
+        for c in _NUMERIC
+    )
+    listed = ", ".join(f"{cell} AS f{i:02d}" for i, cell in enumerate(cells, start=1))
+    return f""", fitted AS (SELECT {fitted} FROM split WHERE part = 'train')
+SELECT customer_id, part, {listed} FROM split CROSS JOIN fitted"""
+
+
+@query(
+    "preprocess_model_inputs", f"WITH {FEATURE_SQL}, {split_sql('feat')} {_encoded_sql()}"
+)
+def preprocess_model_inputs(spark, sf_dir):
+    split = split_features(spark, sf_dir)
+    model = encoding.fit_preprocessor(split.where("part = 'train'").drop("part"))
+    encoded = encoding.assemble(model, split, ["customer_id", "part"])
+    values = encoded.select("customer_id", "part", vector_to_array("features").alias("v"))
+    width = sum(len(levels) for levels in _LEVELS.values()) + len(_NUMERIC)
+    cells = [f"round(v[{i}], 6) + 0.0D AS f{i + 1:02d}" for i in range(width)]
+    return values.selectExpr("customer_id", "part", *cells)
+
+
 def schema_sql(source: str) -> str:
     rows = []
     for i, c in enumerate([c for c in _INPUTS if c != "customer_id"], start=1):
