@@ -127,21 +127,26 @@ def histogram(df: DataFrame, column: str, bins: int = 30, by: str | None = None)
     )
     if len(found) > MAX_CLASSES:
         raise ValueError(f"{by} has more than {MAX_CLASSES} classes")
+    half = {True: 0.5, False: 0.0}  # a constant gets a range of width one around it
     spans = [
-        (r["class"], r.lo, r.hi, r.total) if r.lo < r.hi else (r["class"], r.lo - 0.5, r.hi + 0.5, r.total)
-        for r in found
+        (r["class"], r.lo - half[r.lo == r.hi], r.hi + half[r.lo == r.hi], r.total) for r in found
     ]
-    # At most MAX_CLASSES rows, checked above: bounded, so broadcast.
     ranges = df.sparkSession.createDataFrame(
         spans, "class STRING, lo DOUBLE, hi DOUBLE, total BIGINT"
     )
+    if by:
+        # At most MAX_CLASSES rows, checked above: bounded, so broadcast.
+        located = rows.join(F.broadcast(ranges), "class")
+    else:
+        lo, hi = spans[0][1:3] if spans else (None, None)
+        located = rows.withColumns(
+            {"lo": F.lit(lo).cast("double"), "hi": F.lit(hi).cast("double")}
+        )
     width = (F.col("hi") - F.col("lo")) / bins
     at = F.floor((F.col("v") - F.col("lo")) * bins / (F.col("hi") - F.col("lo")))
-    filled = (
-        rows.join(F.broadcast(ranges), "class")
-        .groupBy("class", F.least(at, F.lit(bins - 1)).cast("int").alias("bin"))
-        .agg(F.count("*").alias("n"))
-    )
+    filled = located.groupBy(
+        "class", F.least(at, F.lit(bins - 1)).cast("int").alias("bin")
+    ).agg(F.count("*").alias("n"))
     frame = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     n = F.coalesce(F.col("n"), F.lit(0))
     out = frame.join(filled, ["class", "bin"], "left").select(
