@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
 from functools import partial
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
-from catalog.preparation import features, fitted_schema, schema_sql
+from catalog.preparation import features, schema_sql
 from catalog.registry import query, r6
 from catalog.sql import FEATURE_SQL, TARGET_SQL, split_sql
+from tenura.functions import run_id_of
 from tenura.operators import encoding, metrics, models, quality, sampling, selection, tuning
 from tenura.plans import scoring, training
 from tenura.plans.prepare import ID
 from tenura.sources import outputs, registry
 from tenura.sources.workspace import new_path, store
 
-RUN_ID = "20260101T000000Z"
-SCORING_RUN_ID = "20260102T000000Z"
+TRAINED = datetime(2026, 1, 1, tzinfo=timezone.utc)
+SCORED = datetime(2026, 1, 2, tzinfo=timezone.utc)
+RUN_ID = run_id_of(TRAINED)
 FOLDS = 2
 
 LOGISTIC = models.logistic_regression(max_iter=15)
@@ -261,15 +264,20 @@ SELECT '{RUN_ID}' AS run_id,
 def model_registry_row(spark, sf_dir):
     """A published model's registry row; its hashes come from the feature table."""
     view = store(features(spark, sf_dir), "features")
-    schema_hash = registry.schema_fingerprint(fitted_schema(spark, view)).first().schema_hash
+    categories = encoding.fit_categories(
+        encoding.fill_sentinels(view), encoding.CATEGORICAL_COLUMNS
+    )
+    specs = encoding.input_schema(view, categories)
     fingerprint = registry.table_fingerprint(view, [ID, "contract", "offer", "age"]).first()
     row = registry.model_row(
         spark,
-        RUN_ID,
-        schema_hash,
+        TRAINED,
+        "models/" + RUN_ID,
+        specs,
         BOOSTED.params,
         example_record(),
-        {k: str(v) for k, v in fingerprint.asDict().items()},
+        "not evaluated",
+        fingerprint.asDict(),
     )
     path = new_path(spark, "registry")
     registry.append_rows(row, path)
@@ -286,67 +294,75 @@ def model_registry_row(spark, sf_dir):
 
 @query("train_and_publish")
 def train_and_publish(spark, sf_dir):
-    model_path, registry_path = new_path(spark, "published"), new_path(spark, "registry")
-    row = training.train_and_publish(
+    """A whole training run; its registry row beside the recorded metrics."""
+    folder = new_path(spark, "published")
+    training.train_and_publish(
         features(spark, sf_dir),
-        RUN_ID,
-        model_path,
-        registry_path,
+        TRAINED,
+        f"{folder}/models",
+        f"{folder}/registry",
+        f"{folder}/runs",
         draw=DRAW_LOGISTIC,
         budget=2,
         folds=FOLDS,
         inner_folds=FOLDS,
     )
-    return row.select("run_id", F.to_json("training_cv_metrics").alias("metrics"), "complete")
+    runs = registry.read_registry(spark, f"{folder}/registry", registry.MODEL_ROW)
+    recorded = registry.read_registry(spark, f"{folder}/runs", registry.RUN_ROW)
+    return runs.join(recorded, "run_id").select(
+        "run_id",
+        "run_type",
+        F.to_json("metrics").alias("metrics"),
+        (F.to_json("metrics") == F.to_json("training_cv_metrics")).alias("same_metrics"),
+        "complete",
+    )
 
 
 def _published(spark, sf_dir):
     ready = prepared(spark, sf_dir)
     fitted = models.fit_calibrated(LOGISTIC, ready.frame, FOLDS)
     whole = PipelineModel(stages=[*ready.preprocessor.stages, *fitted.stages])
-    return ready, whole, scoring.scoring_population(ready.features, ready.schema)
+    return whole, ready.schema, scoring.scoring_population(ready.features, ready.schema)
 
 
 @query("score_batch")
 def score_batch(spark, sf_dir):
-    ready, model, population = _published(spark, sf_dir)
-    ranked = scoring.score_batch(population, model, ready.schema, 0.10)
-    return ranked.select(
-        "customer_id", r6("churn_probability").alias("churn_probability"), "rank", "in_top_k"
-    )
-
-
-@query("score_run")
-def score_run(spark, sf_dir):
-    """Publish a scoring run and read its list back."""
-    ready, model, population = _published(spark, sf_dir)
-    return _publish(spark, model, ready.schema, population)
+    model, specs, population = _published(spark, sf_dir)
+    ranked = scoring.score_batch(population, model, specs, 0.10)
+    return ranked.withColumn("churn_probability", r6("churn_probability"))
 
 
-def _publish(spark, model, specs, population):
-    list_path, summary_path = new_path(spark, "list"), new_path(spark, "summary")
-    scoring.score_run(
-        population,
+def _score_run(spark, model, specs, population):
+    """Publish the model, score with the latest published run, and read the list back."""
+    folder = new_path(spark, "run")
+    training.publish(
         model,
         specs,
-        0.10,
-        list_path,
-        summary_path,
-        RUN_ID,
-        SCORING_RUN_ID,
-        {
-            "trained_at_utc": "2026-01-01T00:00:00Z",
-            "package_version": "1",
-            "training_cv_metrics": example_record(),
-        },
+        LOGISTIC.params,
+        example_record(),
+        {},
+        TRAINED,
+        f"{folder}/models",
+        f"{folder}/registry",
+        "not evaluated",
+    )
+    run = registry.load_run(spark, f"{folder}/registry")
+    scoring.score_run(
+        population, run, SCORED, f"{folder}/list", f"{folder}/summary", f"{folder}/runs"
     )
-    summary = spark.read.json(summary_path)
-    listed = outputs.read_list(spark, list_path)
+    recorded = registry.read_registry(spark, f"{folder}/runs", registry.RUN_ROW)
+    flagged = recorded.select(F.col("metrics")["customers_flagged"].cast("bigint")).scalar()
+    listed = outputs.read_list(spark, f"{folder}/list")
     return listed.withColumn("churn_probability", r6("churn_probability")).withColumn(
-        "customers_flagged", summary.select("customers_flagged").scalar()
+        "customers_flagged", flagged
     )
 
 
+@query("score_run")
+def score_run(spark, sf_dir):
+    return _score_run(spark, *_published(spark, sf_dir))
+
+
 _FIXED = "1.5D - 0.0625D * tenure_in_months - 0.25D * num_addon_services + 0.75D * is_mtm"
 _FIXED_SQL = f"""WITH {FEATURE_SQL}, {split_sql("feat")},
 p AS (
@@ -398,4 +414,4 @@ def score_batch_fixed(spark, sf_dir):
   count(*) FILTER (WHERE in_top_k) OVER () AS customers_flagged FROM fixed""",
 )
 def score_run_fixed(spark, sf_dir):
-    return _publish(spark, *_fixed_model(spark, sf_dir))
+    return _score_run(spark, *_fixed_model(spark, sf_dir))

@@ -35,7 +35,7 @@ SELECT '1' AS contract_version, CAST(0.1 AS DOUBLE) AS k, count(*) AS customers_
   count(*) FILTER (WHERE in_top_k) AS customers_flagged, '20260101T000000Z' AS model_run_id,
   '20260102T000000Z' AS scoring_run_id, '{outputs.SNAPSHOT_NOTICE}' AS snapshot_notice,
   '2026-01-01T00:00:00Z' AS trained_at_utc, CAST(0.5 AS DOUBLE) AS pr_auc,
-  '{outputs.HELD_OUT_REFERENCE}' AS held_out_results_reference
+  'not evaluated' AS held_out_results_reference
 FROM outreach""",
 )
 def run_summary(spark, sf_dir):
@@ -44,6 +44,7 @@ def run_summary(spark, sf_dir):
         "trained_at_utc": "2026-01-01T00:00:00Z",
         "package_version": "1",
         "training_cv_metrics": example_record(),
+        "held_out_results_reference": "not evaluated",
     }
     summary = outputs.run_summary(ranked, 0.10, "20260101T000000Z", "20260102T000000Z", health)
     path = new_path(spark, "summary")

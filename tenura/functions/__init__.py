@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # Fixed value: the text form of a run id, a UTC instant.
 RUN_ID_PATTERN = "^[0-9]{8}T[0-9]{6}Z$"
 RUN_ID_FORMAT = "yyyyMMdd'T'HHmmss'Z'"
+_RUN_ID = "%Y%m%dT%H%M%SZ"
 
 
 def yes_no(column: str) -> Column:
@@ -52,11 +53,15 @@ def is_run_id(text: Column) -> Column:
     return F.coalesce(text.rlike(RUN_ID_PATTERN) & real, F.lit(False))
 
 
+def run_id_of(instant: datetime) -> str:
+    """The run id of an instant, in UTC."""
+    return instant.astimezone(timezone.utc).strftime(_RUN_ID)
+
+
 def require_run_id(text: str) -> str:
     """The text itself, or an error unless it is a run id."""
-    shape = "%Y%m%dT%H%M%SZ"
     try:
-        if datetime.strptime(text, shape).strftime(shape) == text:
+        if datetime.strptime(text, _RUN_ID).strftime(_RUN_ID) == text:
             return text
     except (TypeError, ValueError):
         pass

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
+from dataclasses import asdict
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
@@ -177,6 +179,17 @@ def input_schema(
     return specs
 
 
+def schema_text(specs: Sequence[InputColumn]) -> str:
+    return json.dumps([asdict(s) for s in specs])
+
+
+def schema_from_text(text: str) -> list[InputColumn]:
+    return [
+        InputColumn(**{**d, "allowed": tuple(d["allowed"]), "reserved": tuple(d["reserved"])})
+        for d in json.loads(text)
+    ]
+
+
 SCHEMA_COLUMNS = (
     "position INT, column STRING, kind STRING, nullable BOOLEAN, allowed STRING, reserved STRING"
 )

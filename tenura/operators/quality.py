@@ -327,10 +327,10 @@ def ranked_table_report(df: DataFrame) -> DataFrame:
         else everything,
         "probability_range": ~finite | (p < 0) | (p > 1),
     }
-    checks = invariant_report(df, cells).withColumnRenamed("rule", "check")
-    empty = df.agg((F.count("*") == 0).cast("bigint").alias("offending")).select(
-        F.lit("no_rows").alias("check"), "offending"
-    )
+    sums = [count_where(bad).alias(check) for check, bad in cells.items()]
+    sums.append((F.count("*") == 0).cast("bigint").alias("no_rows"))
+    names = [*cells, "no_rows"]
+    checks = df.agg(*sums).unpivot([], names, "check", "offending")
     # One row per rank first: a rank that many rows share is a single row from here on.
     per_rank = store(
         df.groupBy("rank").agg(
@@ -371,7 +371,7 @@ def ranked_table_report(df: DataFrame) -> DataFrame:
     repeats = per_rank.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("offending")).select(
         F.lit("rank_repeated").alias("check"), "offending"
     )
-    parts = [checks, empty, repeats, order]
+    parts = [checks, repeats, order]
     columns = ["check", "offending"]
     return reduce(
         DataFrame.unionByName,
@@ -396,6 +396,12 @@ ESTIMATE_TYPE = (
 )
 
 
+def metrics_from_texts(texts: Mapping[str, str]) -> dict:
+    """A metrics record read back from text values."""
+    kinds = {"estimate_type": str} | dict.fromkeys(WHOLE_KEYS, int)
+    return {k: kinds.get(k, float)(texts[k]) for k in METRIC_KEYS if k in texts}
+
+
 def check_metrics(metrics: Mapping[str, object]) -> None:
     """An error unless the record has the exact keys, finite numbers and the exact wording."""
     if set(metrics) != set(METRIC_KEYS):

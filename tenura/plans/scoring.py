@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tenura.functions import run_id_of
 from tenura.operators import quality
+from tenura.operators.metrics import DEFAULT_K
 from tenura.operators.models import ID
 from tenura.operators.quality import InputColumn
 from tenura.operators.ranking import flag_top
-from tenura.sources import outputs
+from tenura.sources import outputs, registry
+from tenura.sources.registry import LoadedRun
 from tenura.sources.workspace import store
 
 PROBABILITY = "churn_probability"
@@ -57,21 +61,32 @@ def score_batch(
 
 def score_run(
     population: DataFrame,
-    model: PipelineModel,
-    specs: Sequence[InputColumn],
-    fraction: float,
+    run: LoadedRun,
+    instant: datetime,
     list_path: str,
     summary_path: str,
-    model_run_id: str,
-    scoring_run_id: str,
-    health: dict,
+    runs_path: str,
+    fraction: float = DEFAULT_K,
 ) -> DataFrame:
-    """Score the population and publish the ranked list, then its summary."""
-    ranked = store(score_batch(population, model, specs, fraction), "ranked_list")
+    """Score the population with a published run: the ranked list, its summary, the run record."""
+    spark = population.sparkSession
+    run_id = run_id_of(instant)
+    registry.require_new_run(spark, runs_path, run_id, registry.RUN_ROW)
+    ranked = store(score_batch(population, run.model, run.specs, fraction), "ranked_list")
     wrong = quality.ranked_table_report(ranked).where("offending > 0").collect()
     if wrong:
         raise ValueError(f"the ranked table is not usable: {[w.check for w in wrong]}")
-    summary = outputs.run_summary(ranked, fraction, model_run_id, scoring_run_id, health)
+    summary = store(
+        outputs.run_summary(ranked, fraction, run.run_id, run_id, run.health), "summary"
+    )
     outputs.write_list(ranked, list_path)
     outputs.write_summary(summary, summary_path)
+    counts = summary.select("customers_scored", "customers_flagged").first()
+    registry.append_run_metrics(
+        spark,
+        runs_path,
+        run_id,
+        "score",
+        {"k": fraction, **counts.asDict(), "model_run_id": run.run_id},
+    )
     return ranked

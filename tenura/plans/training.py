@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenura.functions import run_id_of
 from tenura.operators import encoding, metrics, models, sampling, tuning
 from tenura.operators.models import ID, Candidate
 from tenura.operators.quality import ESTIMATE_TYPE, InputColumn
@@ -139,24 +141,52 @@ def parameter_frame(spark, params: Mapping[str, object]) -> DataFrame:
     return spark.createDataFrame(rows, "name STRING, value STRING")
 
 
+def publish(
+    model: PipelineModel,
+    specs: Sequence[InputColumn],
+    params: Mapping[str, object],
+    record: Mapping[str, object],
+    fingerprints: Mapping[str, object],
+    instant: datetime,
+    models_dir: str,
+    registry_path: str,
+    held_out_reference: str,
+) -> str:
+    """Save the model, then register it: a run that is not registered does not exist."""
+    spark = SparkSession.getActiveSession()
+    run_id = run_id_of(instant)
+    registry.require_new_run(spark, registry_path, run_id, registry.MODEL_ROW)
+    path = f"{models_dir.rstrip('/')}/{run_id}"
+    row = registry.model_row(
+        spark, instant, path, specs, params, record, held_out_reference, fingerprints
+    )
+    model.write().save(path)
+    registry.append_rows(row, registry_path)
+    return run_id
+
+
 def train_and_publish(
     features: DataFrame,
-    run_id: str,
-    model_path: str,
+    instant: datetime,
+    models_dir: str,
     registry_path: str,
+    runs_path: str,
     draw: Callable = tuning.draw_boosted,
     budget: int = 30,
     folds: int = 5,
     inner_folds: int | None = 5,
     reference: Mapping[str, object] | None = None,
+    held_out_reference: str = "not evaluated",
     seed: int = 42,
-) -> DataFrame:
-    """Train on the feature table, save the model, and register it last.
+) -> str:
+    """Train on the feature table, publish the model, record the run's metrics last.
 
     ``reference`` holds the parameters that the search must find again; any
     difference stops the run before anything is published.
     """
     spark = features.sparkSession
+    run_id = run_id_of(instant)
+    registry.require_new_run(spark, registry_path, run_id, registry.MODEL_ROW)
     prepared = prepare(features, folds=folds, seed=seed)
     found = tuning.search(prepared.frame, draw, budget, folds, seed)
     if reference is not None:
@@ -168,19 +198,19 @@ def train_and_publish(
         models.out_of_fold_scores(found.best, prepared.frame, folds, inner_folds, seed), "oof"
     )
     record = training_metrics(scores)
-    schema = encoding.schema_frame(spark, prepared.schema)
     fingerprint = registry.table_fingerprint(
         prepared.features, [ID, "part", *encoding.input_columns(features)]
     ).first()
-    whole = PipelineModel(stages=[*prepared.preprocessor.stages, *model.stages])
-    whole.write().overwrite().save(model_path)
-    row = registry.model_row(
-        spark,
-        run_id,
-        registry.schema_fingerprint(schema).first().schema_hash,
+    publish(
+        PipelineModel(stages=[*prepared.preprocessor.stages, *model.stages]),
+        prepared.schema,
         found.best.params,
         record,
-        {k: str(v) for k, v in fingerprint.asDict().items()},
+        fingerprint.asDict(),
+        instant,
+        models_dir,
+        registry_path,
+        held_out_reference,
     )
-    registry.append_rows(row, registry_path)
-    return row
+    registry.append_run_metrics(spark, runs_path, run_id, "train", record)
+    return run_id

@@ -18,8 +18,12 @@ SNAPSHOT_NOTICE = (
     "Historical snapshot: this list scores the held-out test split for demonstration. "
     "It is not a live outreach list."
 )
-HELD_OUT_REFERENCE = "ADR-0014"
-HEALTH_KEYS = ["trained_at_utc", "package_version", "training_cv_metrics"]
+HEALTH_KEYS = [
+    "trained_at_utc",
+    "package_version",
+    "training_cv_metrics",
+    "held_out_results_reference",
+]
 
 
 def write_list(ranked: DataFrame, path: str) -> None:
@@ -50,8 +54,9 @@ def check_health(health: dict) -> None:
     if set(health) != set(HEALTH_KEYS):
         raise ValueError(f"model health must have the keys {HEALTH_KEYS}, got {sorted(health)}")
     datetime.strptime(health["trained_at_utc"], "%Y-%m-%dT%H:%M:%SZ")
-    if not health["package_version"]:
-        raise ValueError("the package version must not be empty")
+    for key in ("package_version", "held_out_results_reference"):
+        if not health[key]:
+            raise ValueError(f"{key} must not be empty")
     check_metrics(health["training_cv_metrics"])
 
 
@@ -80,7 +85,7 @@ def run_summary(
             F.lit(health["trained_at_utc"]).alias("trained_at_utc"),
             F.lit(health["package_version"]).alias("package_version"),
             metrics.alias("training_cv_metrics"),
-            F.lit(HELD_OUT_REFERENCE).alias("held_out_results_reference"),
+            F.lit(health["held_out_results_reference"]).alias("held_out_results_reference"),
         ).alias("model_health"),
     )
 

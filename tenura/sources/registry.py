@@ -3,17 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from datetime import datetime, timezone
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.functions import is_run_id, require_run_id
-from tenura.operators.quality import check_metrics
+from tenura import __version__
+from tenura.functions import is_run_id, require_run_id, run_id_of
+from tenura.operators.encoding import schema_frame, schema_from_text, schema_text
+from tenura.operators.quality import InputColumn, check_metrics, metrics_from_texts
+from tenura.sources.workspace import exists
 
+# What a model run leaves behind: how to load it, what it accepts, how it was made.
 MODEL_ROW = (
-    "run_id STRING, input_schema_hash STRING, hyperparameters MAP<STRING, STRING>, "
-    "training_cv_metrics MAP<STRING, STRING>, fingerprints MAP<STRING, STRING>, complete BOOLEAN"
+    "run_id STRING, trained_at_utc STRING, package_version STRING, model_path STRING, "
+    "input_schema STRING, input_schema_hash STRING, hyperparameters MAP<STRING, STRING>, "
+    "training_cv_metrics MAP<STRING, STRING>, held_out_results_reference STRING, "
+    "fingerprints MAP<STRING, STRING>, complete BOOLEAN"
 )
+# The headline numbers of a run of any type, written once and last.
+RUN_ROW = "run_id STRING, run_type STRING, metrics MAP<STRING, STRING>"
 
 
 def append_rows(rows: DataFrame, path: str) -> None:
@@ -25,29 +36,45 @@ def read_registry(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def require_new_run(spark: SparkSession, path: str, run_id: str, schema) -> None:
+    """An error if the registry already has the run."""
+    require_run_id(run_id)
+    if exists(spark, path):
+        rows = read_registry(spark, path, schema).where(F.col("run_id") == run_id)
+        if not rows.isEmpty():
+            raise ValueError(f"run {run_id} is already in {path}")
+
+
+def _texts(values: Mapping[str, object]) -> dict:
+    return {k: None if v is None else str(v) for k, v in values.items()}
+
+
 def model_row(
     spark: SparkSession,
-    run_id: str,
-    schema_hash: str,
+    instant: datetime,
+    model_path: str,
+    specs: Sequence[InputColumn],
     hyperparameters: Mapping[str, object],
     metrics: Mapping[str, object],
-    fingerprints: Mapping[str, str],
+    held_out_reference: str,
+    fingerprints: Mapping[str, object],
 ) -> DataFrame:
-    """One row that describes a published model; its metrics must have the exact keys."""
-    require_run_id(run_id)
+    """One row that describes a published model; id and training time are one instant."""
     check_metrics(metrics)
-
-    def texts(values):
-        return {k: None if v is None else str(v) for k, v in values.items()}
-
+    run_id = run_id_of(instant)
     return spark.createDataFrame(
         [
             (
                 run_id,
-                schema_hash,
-                texts(hyperparameters),
-                texts(metrics),
-                dict(fingerprints),
+                instant.astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"),
+                __version__,
+                model_path,
+                schema_text(specs),
+                schema_hash(spark, specs),
+                _texts(hyperparameters),
+                _texts(metrics),
+                held_out_reference,
+                _texts(fingerprints),
                 True,
             )
         ],
@@ -55,6 +82,43 @@ def model_row(
     )
 
 
+def append_run_metrics(
+    spark: SparkSession, path: str, run_id: str, run_type: str, metrics: Mapping[str, object]
+) -> None:
+    """Record a finished run; a run is recorded once."""
+    require_new_run(spark, path, run_id, RUN_ROW)
+    append_rows(spark.createDataFrame([(run_id, run_type, _texts(metrics))], RUN_ROW), path)
+
+
+@dataclass(frozen=True)
+class LoadedRun:
+    """A published run, ready to score."""
+
+    run_id: str
+    model: PipelineModel
+    specs: list[InputColumn]
+    health: dict
+
+
+def load_run(spark: SparkSession, registry_path: str, run_id: str | None = None) -> LoadedRun:
+    """The requested run or the latest usable one, with its schema checked against its hash."""
+    if not exists(spark, registry_path):
+        raise LookupError(f"no registry at {registry_path}")
+    runs = read_registry(spark, registry_path, MODEL_ROW)
+    chosen = select_run(runs, run_id)
+    row = runs.where((F.col("run_id") == chosen) & F.col("complete")).first()
+    specs = schema_from_text(row.input_schema)
+    if schema_hash(spark, specs) != row.input_schema_hash:
+        raise ValueError(f"the input schema of run {chosen} does not match its hash")
+    health = {
+        "trained_at_utc": row.trained_at_utc,
+        "package_version": row.package_version,
+        "training_cv_metrics": metrics_from_texts(row.training_cv_metrics),
+        "held_out_results_reference": row.held_out_results_reference,
+    }
+    return LoadedRun(chosen, PipelineModel.load(row.model_path), specs, health)
+
+
 def run_problem() -> Column:
     """Why a registry row ``(run_id, complete)`` is not a usable run, or NULL."""
     return F.when(~is_run_id(F.col("run_id")), "not a run id").when(
@@ -110,3 +174,7 @@ def schema_fingerprint(schema: DataFrame) -> DataFrame:
     )
     lines = F.array_join(F.sort_array(F.collect_list(line)), "\n")
     return schema.agg(F.count("*").alias("columns"), F.sha2(lines, 256).alias("schema_hash"))
+
+
+def schema_hash(spark: SparkSession, specs: Sequence[InputColumn]) -> str:
+    return schema_fingerprint(schema_frame(spark, specs)).first().schema_hash

@@ -46,10 +46,19 @@ def replace_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _file_system(spark, path)
+    return files.exists(target)
+
+
 def release(spark: SparkSession) -> bool:
     """Delete the tables this application stored; call it when its results are written."""
-    context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(
-        f"{shared_folder(spark)}/tenura-{context.applicationId}"
-    )
-    return path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    application = spark.sparkContext.applicationId
+    files, target = _file_system(spark, f"{shared_folder(spark)}/tenura-{application}")
+    return files.delete(target, True)

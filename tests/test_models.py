@@ -1,5 +1,6 @@
 import math
 import random
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -11,6 +12,8 @@ from tenura.plans import scoring, training
 from tenura.sources import outputs, registry
 
 RUN, LATER = "20260101T000000Z", "20260102T000000Z"
+FIRST = datetime(2026, 1, 1, tzinfo=timezone.utc)
+SECOND = datetime(2026, 1, 2, tzinfo=timezone.utc)
 
 
 @pytest.fixture(scope="module")
@@ -179,21 +182,41 @@ def test_bad_probabilities_are_not_ranked(spark):
     assert (found.n_rows, found.bad, found.first_id) == (5, 4, "b")
 
 
-def test_published_outputs(spark, ready, published, tmp_path):
+def test_publish_load_and_score(spark, ready, published, tmp_path):
+    paths = {n: str(tmp_path / n) for n in ("models", "registry", "list", "summary", "runs")}
+
+    def publish(instant):
+        return training.publish(
+            published, ready.schema, {"C": 1.0}, example_record(), {}, instant,
+            paths["models"], paths["registry"], "none",
+        )
+
+    assert publish(FIRST) == RUN
+    with pytest.raises(ValueError, match="already"):
+        publish(FIRST)
+    run = registry.load_run(spark, paths["registry"])
+    assert (run.run_id, run.specs) == (RUN, ready.schema)
+    assert run.health["training_cv_metrics"] == example_record()
+
     population = scoring.scoring_population(ready.features, ready.schema)
-    health = {"trained_at_utc": "2026-01-01T00:00:00Z", "package_version": "1",
-              "training_cv_metrics": example_record()}
-    paths = str(tmp_path / "list"), str(tmp_path / "summary")
-    ranked = scoring.score_run(
-        population, published, ready.schema, 0.1, *paths, RUN, LATER, health
-    )
-    listed = outputs.read_list(spark, paths[0]).collect()
+    outs = [paths["list"], paths["summary"], paths["runs"]]
+    ranked = scoring.score_run(population, run, SECOND, *outs)
+    listed = outputs.read_list(spark, paths["list"]).collect()
     assert {(r.customer_id, r.churn_probability, r.rank, r.in_top_k == "True") for r in listed} == {
         tuple(r) for r in ranked.collect()
     }
-    summary = spark.read.json(paths[1]).first()
+    summary = spark.read.json(paths["summary"]).first()
     assert summary.customers_scored == len(listed)
-    assert summary.model_run_id == RUN and summary.contract_version == "1"
+    assert (summary.model_run_id, summary.scoring_run_id) == (RUN, LATER)
+    record = registry.read_registry(spark, paths["runs"], registry.RUN_ROW).first()
+    assert record.run_type == "score" and record.metrics["model_run_id"] == RUN
+    with pytest.raises(ValueError, match="already"):
+        scoring.score_run(population, run, SECOND, *outs)
+
+
+def test_no_registry(spark, tmp_path):
+    with pytest.raises(LookupError):
+        registry.load_run(spark, str(tmp_path / "none"))
 
 
 def test_list_files_are_in_rank_order(spark, tmp_path):
@@ -213,20 +236,26 @@ def test_list_files_are_in_rank_order(spark, tmp_path):
 def test_registry(spark, tmp_path):
     record = example_record()
     path = str(tmp_path / "registry")
-    for run in (LATER, RUN):
-        registry.append_rows(registry.model_row(spark, run, "h", {"depth": None}, record, {}), path)
+
+    def row(instant, metrics):
+        return registry.model_row(spark, instant, "m", [], {"depth": None}, metrics, "none", {})
+
+    for instant in (SECOND, FIRST):
+        registry.append_rows(row(instant, record), path)
     runs = registry.read_registry(spark, path, registry.MODEL_ROW)
     assert registry.select_run(runs) == LATER
     assert registry.select_run(runs, RUN) == RUN
-    for bad in ("20260103T000000Z", "latest", "20260231T000000Z"):
+    for absent in ("20260103T000000Z", "latest", "20260231T000000Z"):
         with pytest.raises(LookupError):
-            registry.select_run(runs, bad)
-        if bad != "20260103T000000Z":
-            with pytest.raises(ValueError, match="not a run id"):
-                registry.model_row(spark, bad, "h", {}, record, {})
+            registry.select_run(runs, absent)
+    unfinished = runs.withColumn("complete", F.col("run_id") == RUN)
+    assert registry.select_run(unfinished) == RUN
+    for bad in ("latest", "20260231T000000Z", "20260101T000000", None):
+        with pytest.raises(ValueError, match="not a run id"):
+            registry.require_new_run(spark, path, bad, registry.MODEL_ROW)
     for change in ({"k": float("nan")}, {"training_rows": 1.5}, {"estimate_type": "x"}, {"z": 1}):
         with pytest.raises(ValueError):
-            registry.model_row(spark, RUN, "h", {}, {**record, **change}, {})
+            row(FIRST, {**record, **change})
 
 
 def test_fingerprints_do_not_depend_on_order(spark):
