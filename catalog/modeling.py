@@ -237,7 +237,8 @@ def model_save_load(spark, sf_dir):
         return model.transform(test).select(ID, F.col("churn_probability").alias(name))
 
     both = scores(whole, "fitted").join(scores(PipelineModel.load(path), "loaded"), ID)
-    return both.select(ID, r6("fitted").alias("fitted"), (F.col("fitted") == F.col("loaded")).alias("same"))
+    same = (F.col("fitted") == F.col("loaded")).alias("same")
+    return both.select(ID, r6("fitted").alias("fitted"), same)
 
 
 def example_record():

@@ -18,7 +18,7 @@ from catalog.tables import (
     table,
 )
 from tenura.functions import yes_no
-from tenura.operators import encoding, integrity, quality, sampling
+from tenura.operators import encoding, integrity, profile, quality, sampling
 from tenura.plans import prepare
 from tenura.sources import tables as sources
 from tenura.sources.workspace import new_path, replace_table, store
@@ -546,15 +546,15 @@ _LEVELS = {
 _NUMERIC = [c for c in _INPUTS if c not in (prepare.ID, *encoding.CATEGORICAL_COLUMNS)]
 
 
-def _encoded_sql() -> str:
-    """The encoded inputs as f01, f02, ... in output order."""
+def _encoded_sql(number: str) -> str:
+    """The encoded inputs as f01, f02, ... in output order; numbers in the given form."""
     cells = [
         f"CAST(coalesce({c}, '{encoding.SENTINELS.get(c, '')}') = '{v}' AS DOUBLE)"
         for c, levels in _LEVELS.items()
         for v in levels
     ]
     cells += [
-        f"round((CAST({c} AS DOUBLE) - m_{c}) / coalesce(nullif(s_{c}, 0), 1), 6) + 0.0"
+        number.format(f"(CAST({c} AS DOUBLE) - m_{c}) / coalesce(nullif(s_{c}, 0), 1)")
         for c in _NUMERIC
     ]
     fitted = ", ".join(
@@ -562,12 +562,14 @@ def _encoded_sql() -> str:
         for c in _NUMERIC
     )
     listed = ", ".join(f"{cell} AS f{i:02d}" for i, cell in enumerate(cells, start=1))
-    return f""", fitted AS (SELECT {fitted} FROM split WHERE part = 'train')
-SELECT customer_id, part, {listed} FROM split CROSS JOIN fitted"""
+    return f"""fitted AS (SELECT {fitted} FROM split WHERE part = 'train'),
+encoded AS (SELECT customer_id, part, {listed} FROM split CROSS JOIN fitted)"""
 
 
 @query(
-    "preprocess_model_inputs", f"WITH {FEATURE_SQL}, {split_sql('feat')} {_encoded_sql()}"
+    "preprocess_model_inputs",
+    f"WITH {FEATURE_SQL}, {split_sql('feat')}, {_encoded_sql('round({}, 6) + 0.0')} "
+    "SELECT * FROM encoded",
 )
 def preprocess_model_inputs(spark, sf_dir):
     split = split_features(spark, sf_dir)
@@ -579,6 +581,33 @@ def preprocess_model_inputs(spark, sf_dir):
     return values.selectExpr("customer_id", "part", *cells)
 
 
+_FEATURES = [f"{c}={v}" for c, levels in _LEVELS.items() for v in levels] + _NUMERIC
+
+
+def _correlation_sql() -> str:
+    n = len(_FEATURES)
+    cells = ", ".join(
+        f"{{'a': '{_FEATURES[i]}', 'b': '{_FEATURES[j]}', "
+        f"'r': corr(f{i + 1:02d}, f{j + 1:02d})}}"
+        for i in range(n)
+        for j in range(i + 1, n)
+    )
+    return f"""WITH {FEATURE_SQL}, {split_sql('feat')}, {_encoded_sql("({})")}
+SELECT p.a AS a, p.b AS b, round(p.r, 6) AS r, abs(p.r) >= 1 - 1e-9 AS exact
+FROM (SELECT unnest([{cells}]) AS p FROM encoded WHERE part = 'train')
+WHERE isfinite(p.r) AND abs(p.r) >= 0.6"""
+
+
+@query("encoded_feature_correlation", _correlation_sql())
+def encoded_feature_correlation(spark, sf_dir):
+    """Strongly correlated pairs of the encoded training features."""
+    train = split_features(spark, sf_dir).where("part = 'train'").drop("part")
+    model = encoding.fit_preprocessor(train)
+    encoded = store(encoding.assemble(model, train, []), "encoded")
+    pairs = profile.vector_correlations(encoded, "features", encoding.feature_names(model))
+    return pairs.where("strong").select("a", "b", r6("r").alias("r"), "exact")
+
+
 def schema_sql(source: str) -> str:
     rows = []
     for i, c in enumerate([c for c in _INPUTS if c != "customer_id"], start=1):

@@ -42,9 +42,8 @@ def top_k_count(rows: Column, fraction: float) -> Column:
 
 
 def hash_order(key: Column, salt: int) -> Column:
-    """A 32-bit pseudo-random order number, the same in every engine and partitioning."""
-    digest = F.md5(F.concat(key.cast("string"), F.lit(f"|{salt}")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    """A pseudo-random order, the same in every engine and partitioning: eight hex digits."""
+    return F.substring(F.md5(F.concat(key.cast("string"), F.lit(f"|{salt}"))), 1, 8)
 
 
 def is_run_id(text: Column) -> Column:

@@ -148,6 +148,20 @@ def fitted_categories(model: PipelineModel) -> dict[str, list[str]]:
     return {c: sorted(labels) for c, labels in zip(names, index.labelsArray, strict=True)}
 
 
+def feature_names(model: PipelineModel) -> list[str]:
+    """The names of the entries of ``features``, in order."""
+    index = next(s for s in model.stages if isinstance(s, StringIndexerModel))
+    labels = dict(zip(index.getInputCols(), index.labelsArray, strict=True))
+    names = []
+    for c in model.stages[-1].getInputCols():
+        if c.startswith("_hot_"):
+            column = c.removeprefix("_hot_")
+            names += [f"{column}={v}" for v in labels[f"_cat_{column}"]]
+        else:
+            names.append(c.removeprefix("_num_"))
+    return names
+
+
 def assemble(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
     return model.transform(df).select(*keep, "features")
 

@@ -194,17 +194,24 @@ def separation_screen(df: DataFrame, columns: Sequence[str], target: str) -> Dat
 def correlations(df: DataFrame, columns: Sequence[str], threshold: float = 0.6) -> DataFrame:
     """Pearson correlation of every pair of columns, with marks for strong and exact ones.
 
-    The matrix has one cell per pair of columns, whatever the number of rows.
+    The matrix has one cell per pair of columns, whatever the number of rows; it
+    takes several passes over the rows, so the few columns are written first.
     """
-    # The matrix takes several passes over the rows, so the few columns are written first.
     numeric = store(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "numeric")
     vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(numeric)
-    matrix = Correlation.corr(vectors.select("v"), "v").first()[0].toArray()
+    return vector_correlations(vectors, "v", columns, threshold)
+
+
+def vector_correlations(
+    df: DataFrame, vector: str, names: Sequence[str], threshold: float = 0.6
+) -> DataFrame:
+    """The same for the entries of a vector column."""
+    matrix = Correlation.corr(df.select(vector), vector).first()[0].toArray()
     pairs = []
-    for i, a in enumerate(columns):
-        for j in range(i + 1, len(columns)):
+    for i, a in enumerate(names):
+        for j in range(i + 1, len(names)):
             r = float(matrix[i, j])
-            pairs.append((a, columns[j], None if r != r else r))
+            pairs.append((a, names[j], None if r != r else r))
     out = df.sparkSession.createDataFrame(pairs, "a STRING, b STRING, r DOUBLE")
     size = F.abs(F.col("r"))
     return out.withColumns(

@@ -1,7 +1,7 @@
 """Exact stratified splits and folds without sorting the rows.
 
 Rows are ordered by a hash of their id. Per label, a histogram of the leading
-hash bits tells in which slice of the order each boundary lies; only the rows
+hash digits tells in which slice of the order each boundary lies; only the rows
 of those slices (one in 4,096 for each boundary) are ranked to find the exact
 boundary. The assignment is then a plain expression over a few boundaries.
 """
@@ -11,25 +11,27 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from operator import add
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenura.functions import hash_order
 from tenura.sources.workspace import store
 
 MAX_LABELS = 64
-_SLICE_BITS = 12
+_SLICE_DIGITS = 3  # leading hex digits of the hash
 
 
 def _histogram(keyed: DataFrame) -> dict:
     """Rows per label and slice: at most 4,096 numbers per label."""
-    labels = keyed.select("label").distinct().limit(MAX_LABELS + 1).count()
-    if labels > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} labels; not a class label")
+    most = MAX_LABELS * 16**_SLICE_DIGITS
+    counts = keyed.groupBy("label", "slice").agg(F.count("*").alias("n"))
     found: dict = {}
-    for row in keyed.groupBy("label", "slice").agg(F.count("*").alias("n")).collect():
+    for row in counts.limit(most + 1).collect():
         found.setdefault(row.label, {})[row.slice] = row.n
+    if len(found) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels; not a class label")
     return found
 
 
@@ -50,7 +52,7 @@ def boundaries(
             F.col(label).alias("label"),
             F.col(id_column).alias("id"),
             hash_order(F.col(id_column), salt).alias("h"),
-        ).withColumn("slice", F.shiftright("h", 32 - _SLICE_BITS)),
+        ).withColumn("slice", F.substring("h", 1, _SLICE_DIGITS)),
         "keys",
     )
     histogram = _histogram(keyed)
@@ -69,7 +71,7 @@ def boundaries(
     # One row per boundary: labels times parts, both bounded.
     near = F.broadcast(
         spark.createDataFrame(
-            hits, f"label {label_type}, slice BIGINT, target BIGINT, nth_here BIGINT"
+            hits, f"label {label_type}, slice STRING, target BIGINT, nth_here BIGINT"
         )
     )
     nth = F.row_number().over(Window.partitionBy("label", "target").orderBy("h", "id"))
@@ -86,21 +88,19 @@ def boundaries(
     return found
 
 
-def _after(cut: tuple, h: Column, key: Column) -> Column:
-    """Whether a row comes after the boundary row."""
-    return (h > cut[0]) | ((h == cut[0]) & (key > cut[1]))
-
-
-def _passed(cuts: Mapping, label: str, id_column: str, salt: int) -> Column:
-    """How many boundaries of its label a row lies after."""
-    h, key = hash_order(F.col(id_column), salt), F.col(id_column)
+def _with_passed(
+    df: DataFrame, cuts: Mapping, label: str, id_column: str, salt: int, passed: str
+) -> DataFrame:
+    """Add how many boundaries of its label a row lies after."""
+    h, key = F.col("_h"), F.col(id_column)
     count = F.lit(0)
     for value, found in cuts.items():
-        passed = reduce(
-            lambda a, b: a + b, [_after(cut, h, key).cast("int") for cut in found]
-        )
-        count = F.when(F.col(label) == F.lit(value), passed).otherwise(count)
-    return count
+        after = [
+            ((h > cut) | ((h == cut) & (key > cut_id))).cast("int") for cut, cut_id in found
+        ]
+        count = F.when(F.col(label) == F.lit(value), reduce(add, after)).otherwise(count)
+    hashed = df.withColumn("_h", hash_order(key, salt))
+    return hashed.withColumn(passed, count).drop("_h")
 
 
 def quotas(counts: Mapping, fraction: float) -> dict:
@@ -131,9 +131,11 @@ def stratified_split(
         lambda counts: {v: [q] for v, q in quotas(counts, fraction).items()},
     )
     # A label whose quota is zero has no boundary: all its rows train.
-    passed = _passed(cuts, label, id_column, seed)
     has_cut = F.col(label).isin(list(cuts)) if cuts else F.lit(False)
-    return df.withColumn(part, F.when(has_cut & (passed == 0), "test").otherwise("train"))
+    first = has_cut & (F.col(part) == 0)
+    return _with_passed(df, cuts, label, id_column, seed, part).withColumn(
+        part, F.when(first, "test").otherwise("train")
+    )
 
 
 def stratified_folds(
@@ -145,13 +147,14 @@ def stratified_folds(
     fold: str = "fold",
 ) -> DataFrame:
     """Add the fold 0..folds-1; the folds of a label differ by one row at most."""
+
     def ranks_for(counts):
         if any(n < folds for n in counts.values()):
             raise ValueError(f"every label needs at least {folds} rows, got {counts}")
         return {v: [-(-n * i // folds) for i in range(1, folds)] for v, n in counts.items()}
 
     cuts = boundaries(df, id_column, label, seed, ranks_for)
-    return df.withColumn(fold, _passed(cuts, label, id_column, seed))
+    return _with_passed(df, cuts, label, id_column, seed, fold)
 
 
 def repeated_folds(
