@@ -334,11 +334,12 @@ def inner_join_chain(spark, sf_dir):
 
 def _some_population(spark, sf_dir):
     """The lookup without one region, so that some zip codes have no match."""
-    region = F.col("Population") % 1000
-    return prepare.stage(raw_population(spark, sf_dir).where(region != 3))
+    return prepare.stage(raw_population(spark, sf_dir, "n_regionkey <> 3"))
 
 
-_SOME_POPULATION = "(SELECT * FROM stg_population WHERE population % 1000 <> 3)"
+_SOME_POPULATION = (
+    "(SELECT p.* FROM stg_population p JOIN nation ON id = n_nationkey + 1 WHERE n_regionkey <> 3)"
+)
 
 
 @query(

@@ -68,9 +68,9 @@ def raw_location(spark, sf_dir) -> DataFrame:
     )
 
 
-def raw_population(spark, sf_dir) -> DataFrame:
+def raw_population(spark, sf_dir, where: str = "true") -> DataFrame:
     return _titled(
-        table(spark, sf_dir, "nation"),
+        table(spark, sf_dir, "nation").where(where),
         {
             "ID": "CAST(n_nationkey + 1 AS INT)",
             "Zip Code": "lpad(CAST(n_nationkey AS STRING), 5, '0')",
