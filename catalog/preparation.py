@@ -28,11 +28,12 @@ def features(spark, sf_dir):
     return prepare.feature_table(raw_tables(spark, sf_dir))
 
 
-def split_features(spark, sf_dir):
-    """The feature table with its part; written once, as the fits below read it again."""
-    return sampling.stratified_split(
-        store(features(spark, sf_dir), "features"), prepare.ID, prepare.TARGET
-    )
+def split_features(spark, sf_dir, columns=None):
+    """Features with their part; written once, as the fits below read them again."""
+    view = features(spark, sf_dir)
+    if columns:
+        view = view.select(prepare.ID, prepare.TARGET, *columns)
+    return sampling.stratified_split(store(view, "features"), prepare.ID, prepare.TARGET)
 
 
 def outcome(spark, sf_dir):
@@ -484,7 +485,7 @@ _HOT = {
     ),
 )
 def one_hot(spark, sf_dir):
-    split = split_features(spark, sf_dir)
+    split = split_features(spark, sf_dir, _HOT)
     filled = encoding.fill_sentinels(split)
     categories = encoding.fit_categories(filled.where("part = 'train'"), list(_HOT))
     return encoding.one_hot(filled, categories, ["customer_id"])
@@ -508,7 +509,7 @@ _SCALED = ["age", "tenure_in_months", "monthly_charge", "total_charges", "under_
     ),
 )
 def standard_scale(spark, sf_dir):
-    split = split_features(spark, sf_dir)
+    split = split_features(spark, sf_dir, _SCALED)
     scaler = encoding.fit_scaler(split.where("part = 'train'"), _SCALED)
     scaled = encoding.scale(split, scaler, ["customer_id"])
     return scaled.select("customer_id", *[r6(c).alias(c) for c in _SCALED])

@@ -32,6 +32,8 @@ def _histogram(keyed: DataFrame) -> dict:
         found.setdefault(row.label, {})[row.slice] = row.n
     if len(found) > MAX_LABELS:
         raise ValueError(f"more than {MAX_LABELS} labels; not a class label")
+    if None in found:
+        raise ValueError("rows without a label cannot be stratified")
     return found
 
 

@@ -79,6 +79,12 @@ def test_an_id_is_not_a_label(spark):
         sampling.stratified_split(df, "id", "y")
 
 
+def test_rows_without_a_label_are_an_error(spark):
+    df = spark.createDataFrame([("a", True), ("b", None)], "id STRING, y BOOLEAN")
+    with pytest.raises(ValueError, match="without a label"):
+        sampling.stratified_split(df, "id", "y")
+
+
 def test_repeats_shuffle_differently(spark):
     folded = sampling.repeated_folds(people(spark, 500), "id", "y", 5, 2)
     assert folded.count() == 1_000
