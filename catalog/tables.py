@@ -109,7 +109,7 @@ def _lines_by_customer(spark, sf_dir) -> DataFrame:
         "n_n": "count_if(l_returnflag = 'N')",
         "n_f": "count_if(l_linestatus = 'F')",
         "n_bulk": "count_if(l_quantity >= 40)",
-        "spend": "sum(CAST(l_extendedprice AS DECIMAL(18,2)))",
+        "cents": "sum(CAST(round(l_extendedprice * 100) AS BIGINT))",
     }
     per_order = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(*_named(**facts))
     owner = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -136,7 +136,7 @@ def raw_services(spark, sf_dir) -> DataFrame:
         .join(online, F.expr("c_custkey = ek"), "left")
     )
     orders, returned = "coalesce(n_orders, 0)", "coalesce(n_r, 0)"
-    spend = "coalesce(CAST(spend AS DOUBLE), 0.0D)"
+    spend = "coalesce(cents / 100.0D, 0.0D)"
     tenure = "least(72, CAST(floor(datediff(snap, first_dt) / 30.0D) AS INT))"
     distance = "IF(c_custkey % 10 <> 0, (c_custkey % 50) * 0.25D, 0.0D)"
     return _titled(
