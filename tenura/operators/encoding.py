@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict
 
@@ -14,6 +15,7 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     VectorAssembler,
 )
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,13 +72,19 @@ def one_hot(df: DataFrame, categories: Mapping[str, Sequence[str]], keep: Sequen
 
 
 def fit_scaler(train: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
-    """Mean and population standard deviation per column; a constant column divides by 1."""
-    sums = []
-    for i, c in enumerate(columns):
-        value = F.col(c).cast("double")
-        sums += [F.avg(value).alias(f"m{i}"), F.stddev_pop(value).alias(f"s{i}")]
-    row = train.agg(*sums).first()
-    return {c: (row[f"m{i}"], row[f"s{i}"] or 1.0) for i, c in enumerate(columns)}
+    """Mean and population standard deviation per column; a constant column divides by 1.
+
+    One pass over vectors, which stays fast for many columns; a NULL is an error.
+    """
+    numeric = train.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(numeric)
+    moments = Summarizer.metrics("mean", "variance", "count").summary(F.col("v"))
+    row = vectors.select(moments.alias("s")).first().s
+    shrink = (row["count"] - 1) / row["count"]  # from the sample to the population variance
+    return {
+        c: (float(mean), math.sqrt(variance * shrink) or 1.0)
+        for c, mean, variance in zip(columns, row.mean, row.variance, strict=True)
+    }
 
 
 def scale(df: DataFrame, scaler: Mapping[str, tuple[float, float]], keep: Sequence[str]):

@@ -54,6 +54,17 @@ def test_constant_column_scales_to_zero(spark):
     assert [r.x for r in encoding.scale(df, scaler, []).collect()] == [0.0, 0.0]
 
 
+def test_scaler_equals_the_population_moments(spark):
+    values = [0.0, 0.0, 1.5, -2.0, 7.25, 0.0, 3.0]
+    df = spark.createDataFrame([(v, i % 2 == 0) for i, v in enumerate(values)], "x DOUBLE, b BOOLEAN")
+    scaler = encoding.fit_scaler(df.repartition(3), ["x", "b"])
+    mean = sum(values) / 7
+    assert scaler["x"] == pytest.approx((mean, math.sqrt(sum((v - mean) ** 2 for v in values) / 7)))
+    assert scaler["b"] == pytest.approx((4 / 7, math.sqrt(4 / 7 * 3 / 7)))
+    with pytest.raises(Exception, match="null"):
+        encoding.fit_scaler(spark.createDataFrame([(None,), (1.0,)], "x DOUBLE"), ["x"])
+
+
 def test_untyped_input_is_an_error(spark):
     df = spark.range(1).selectExpr("'1' AS customer_id", "current_date() AS d")
     with pytest.raises(ValueError, match="no input kind"):
