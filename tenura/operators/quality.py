@@ -134,8 +134,9 @@ def value_report(df: DataFrame, id_column: str, specs: Sequence[InputColumn]) ->
     rules = {id_column: _id_rule(df, id_column)}
     rules |= {s.name: _broken_rule(s, df.schema[s.name].dataType) for s in specs}
     cells = [F.struct(F.lit(c).alias("column"), r.alias("rule")) for c, r in rules.items()]
-    # Rows that break nothing leave before the cells are unfolded.
-    dirty = df.where(F.coalesce(*rules.values()).isNotNull())
+    # Rows that break nothing leave before the cells are unfolded. The array keeps the
+    # rules of many columns in methods small enough to be compiled.
+    dirty = df.where(F.exists(F.array(*rules.values()), lambda rule: rule.isNotNull()))
     cells = dirty.select(
         F.col(id_column).cast("string").alias("_id"), F.inline(F.array(*cells))
     ).where("rule IS NOT NULL")
