@@ -20,13 +20,13 @@ def components(edges: DataFrame) -> DataFrame:
     spark = edges.sparkSession
     ends = edges.where("a <> b")
     links, path = written(
-        ends.select(F.xxhash64("a").alias("u"), F.xxhash64("b").alias("v")), "links"
+        ends.select(F.xxhash64("a").alias("u"), F.xxhash64("b").alias("v")).distinct(), "links"
     )
     vertices = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    labels, label_path = written(vertices.select("id", F.xxhash64("id").alias("name")), "labels")
+    labels = vertices.select("id", F.xxhash64("id").alias("name"))
     while not links.isEmpty():
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        parents, parent_path = written(
+        parents, _ = written(
             both.groupBy(F.col("u").alias("child"))
             .agg(F.min("v").alias("least"))
             .select("child", F.least("child", "least").alias("parent")),
@@ -42,14 +42,12 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct(),
             "links",
         )
-        renamed, next_label_path = written(
-            labels.join(parents, labels["name"] == parents["child"], "left").select(
-                "id", F.coalesce("parent", "name").alias("name")
-            ),
-            "labels",
+        labels = labels.join(parents, labels["name"] == parents["child"], "left").select(
+            "id", F.coalesce("parent", "name").alias("name")
         )
-        forget(spark, path, parent_path, label_path)
-        links, path, labels, label_path = contracted, next_path, renamed, next_label_path
-    least = labels.groupBy("name").agg(F.min("id").alias("component_id"))
+        forget(spark, path)
+        links, path = contracted, next_path
     forget(spark, path)
+    labels, _ = written(labels, "named")
+    least = labels.groupBy("name").agg(F.min("id").alias("component_id"))
     return labels.join(least, "name").select("id", "component_id")

@@ -51,7 +51,7 @@ def publish(uri: str, write) -> None:
     files, path = file_system(uri)
     files.create_dir(path.rsplit("/", 1)[0], recursive=True)
     own = f"{path}.{uuid.uuid4().hex}.tmp"
-    with files.open_output_stream(own) as out:
+    with files.open_output_stream(own, compression=None) as out:
         write(out)
     files.move(own, path)
 

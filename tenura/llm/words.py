@@ -31,10 +31,10 @@ class Words:
     """Splits texts into words and hashes each word.
 
     ``space``: a word is a run of bytes other than 0x20 and 0x09-0x0D. Otherwise a word is a
-    run of ASCII letters, digits and non-ASCII bytes. A-Z count as a-z.
+    run of ASCII letters, digits and non-ASCII bytes. A-Z count as a-z if ``fold``.
     """
 
-    def __init__(self, space: bool = True):
+    def __init__(self, space: bool = True, fold: bool = True):
         codes = np.arange(256)
         if space:
             self.inside = ~((codes == 0x20) | ((codes >= 0x09) & (codes <= 0x0D)))
@@ -42,7 +42,7 @@ class Words:
             low = codes | 0x20
             self.inside = ((low >= 0x61) & (low <= 0x7A) & (codes < 0x80)) | (codes >= 0x80)
             self.inside |= (codes >= 0x30) & (codes <= 0x39)
-        folded = np.where((codes >= 0x41) & (codes <= 0x5A), codes + 0x20, codes)
+        folded = np.where(fold & (codes >= 0x41) & (codes <= 0x5A), codes + 0x20, codes)
         self.value = mix((folded.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
         self.base, self.inverse = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
         self._grow(1 << 16)
