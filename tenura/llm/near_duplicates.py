@@ -4,9 +4,10 @@ A document is the set of its distinct word shingles. Every document carries ``PL
 tokens of its set. A node of a tree holds the documents that share the tokens chosen on the way
 to it; the node's name alone decides which one or two tokens are chosen next (1/threshold on
 average, so a pair at the threshold keeps one common path per level). Nodes of at most ``LEAF``
-documents are compared exhaustively on full sets; larger ones are compared in random blocks,
-dropped when all their documents are linked, and branch otherwise. ``TREES`` independent trees
-raise the recall. Equal sets are one class from the start, so copies never meet each other.
+documents are compared exhaustively on full sets; larger ones are compared in random blocks and
+branch. Independent trees, taken in ``ROUNDS``, raise the recall. Equal sets are one class from the
+start, and a node whose documents are linked already is done, so a large group is not compared
+again and again.
 """
 
 from __future__ import annotations
@@ -20,13 +21,18 @@ from tenura.llm.components import components
 from tenura.llm.frames import column, forget, pieces, written
 from tenura.llm.words import Words, mix, shingles
 
-TREES = 10
+#: Trees of each round.
+ROUNDS = (2, 8)
 PLACES = 64
 FIRST_DEPTH = 3
 LAST_DEPTH = 24
-LEAF = 256
+#: Documents and shingles of a node that are compared exhaustively by one task.
+LEAF, LEAF_SHINGLES = 1024, 1 << 21
 
-_SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, tokens binary, nodes array<long>"
+_NODES = [f"nodes_{i}" for i in range(len(ROUNDS))]
+_SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, tokens binary" + "".join(
+    f", {n} array<long>" for n in _NODES
+)
 
 
 class _Paths:
@@ -73,13 +79,17 @@ def _sign(width: int, threshold: float, seed: int):
                 for place in range(PLACES if len(some) else 0):
                     values = ((sets * odd[place] + add[place]) >> np.uint64(32)).astype(np.uint32)
                     tokens[some, place] = np.minimum.reduceat(values, at[:-1][some])
-                row = np.repeat(some, TREES)
-                name = np.tile(paths.roots(TREES), len(some))
+                row = np.repeat(some, sum(ROUNDS))
+                turn = np.tile(np.repeat(np.arange(len(ROUNDS)), ROUNDS), len(some))
+                name = np.tile(paths.roots(sum(ROUNDS)), len(some))
                 for _ in range(FIRST_DEPTH if len(some) else 0):
                     parent, name = paths.children(name, tokens[row])
-                    row = row[parent]
+                    row, turn = row[parent], turn[parent]
                 order = np.argsort(row, kind="stable")
-                counts = np.bincount(row, minlength=piece.num_rows)
+                nodes = []
+                for i in range(len(ROUNDS)):
+                    own = order[turn[order] == i]
+                    nodes.append(_rows(name[own], np.bincount(row[own], minlength=piece.num_rows)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         column(piece, "doc_id"),
@@ -87,9 +97,9 @@ def _sign(width: int, threshold: float, seed: int):
                         pa.array(set_a.view(np.int64)),
                         pa.array(set_b.view(np.int64)),
                         pa.array([t.tobytes() for t in tokens], pa.binary()),
-                        _rows(name[order], counts),
+                        *nodes,
                     ],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "tokens", "nodes"],
+                    names=["doc_id", "n_shingles", "set_a", "set_b", "tokens", *_NODES],
                 )
 
     return run
@@ -119,18 +129,28 @@ def _branch(threshold: float, seed: int):
             names = column(batch, "node").to_numpy(zero_copy_only=False).astype(np.int64)
             parent, children = paths.children(names.view(np.uint64), tokens)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(children.view(np.int64)), column(batch, "rep").take(pa.array(parent))],
-                names=["node", "rep"],
+                [
+                    pa.array(children.view(np.int64)),
+                    column(batch, "rep").take(pa.array(parent)),
+                    column(batch, "n_shingles").take(pa.array(parent)),
+                ],
+                names=["node", "rep", "n_shingles"],
             )
 
     return run
 
 
-def forest(member_sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Linked pairs of positions that span the components among some sets.
+def forest(member_sets: list[np.ndarray], labels: list[int], percent: int) -> list[tuple[int, int]]:
+    """Linked pairs of positions that join the components among some sets.
 
-    Every pair counts; of the linked pairs only those that join two components are returned.
+    Sets with equal labels are known to be linked. Every pair of unequal labels counts; of the
+    linked ones only those that join two components are returned.
     """
+    names, label = np.unique(labels, return_inverse=True)
+    label = label.reshape(-1)
+    if len(names) < 2:
+        return []
+    minor = np.flatnonzero(label != np.bincount(label).argmax())
     m = len(member_sets)
     sizes = np.array([len(s) for s in member_sets], np.int64)
     if m == 2:
@@ -143,17 +163,21 @@ def forest(member_sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]
     owners = np.repeat(np.arange(m), sizes)
     order = np.argsort(values, kind="stable")
     values, owners = values[order], owners[order]
-    column_of = np.concatenate([[0], np.cumsum(values[1:] != values[:-1])])
-    both = np.zeros((m, m))
+    new = np.concatenate([[True], values[1:] != values[:-1]])
+    shared = np.diff(np.concatenate([np.flatnonzero(new), [len(values)]])) > 1
+    keep = shared[np.cumsum(new) - 1]  # a shingle of one set is in no intersection
+    column_of, owners = (np.cumsum(shared) - 1)[np.cumsum(new)[keep] - 1], owners[keep]
+    both = np.zeros((len(minor), m))
     step = max(1, (1 << 22) // m)
-    for first in range(0, int(column_of[-1]) + 1, step):
+    for first in range(0, int(shared.sum()), step):
         a, b = np.searchsorted(column_of, [first, first + step])
-        present = np.zeros((m, step), np.float32)
+        present = np.zeros((m, min(step, int(shared.sum()) - first)), np.float32)
         present[owners[a:b], column_of[a:b] - first] = 1
-        both += present @ present.T
+        both += present[minor] @ present.T
     both = np.rint(both).astype(np.int64)
-    linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
-    root, found = list(range(m)), []
+    linked = 100 * both >= percent * (sizes[minor, None] + sizes[None, :] - both)
+    linked &= label[minor, None] != label[None, :]
+    root, found = list(range(len(names))), []
 
     def top(x):
         while root[x] != x:
@@ -161,11 +185,11 @@ def forest(member_sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]
             x = root[x]
         return x
 
-    for i, j in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
-        a, b = top(int(i)), top(int(j))
+    for i, j in zip(*np.nonzero(linked), strict=True):
+        a, b = top(int(label[minor[i]])), top(int(label[j]))
         if a != b:
             root[max(a, b)] = min(a, b)
-            found.append((int(i), int(j)))
+            found.append((int(minor[i]), int(j)))
     return found
 
 
@@ -174,10 +198,12 @@ def _compare(width: int, percent: int):
 
     def run(batches):
         words = Words()
-        key, reps, sets = None, [], []
+        key, reps, labels, sets = None, [], [], []
 
         def links():
-            return [(reps[i], reps[j]) for i, j in forest(sets, percent)] if len(sets) > 1 else []
+            if len(sets) < 2:
+                return []
+            return [(reps[i], reps[j]) for i, j in forest(sets, labels, percent)]
 
         def frame(found):
             a, b = zip(*found, strict=True)
@@ -189,12 +215,13 @@ def _compare(width: int, percent: int):
             found = []
             for piece in pieces(batch, "text"):
                 hashes, at = shingles(*words(column(piece, "text")), width)
-                names = ("node", "block", "rep")
+                names = ("node", "block", "rep", "label")
                 for i, row in enumerate(zip(*(column(piece, n).to_pylist() for n in names))):
                     if row[:2] != key:
                         found += links()
-                        key, reps, sets = row[:2], [], []
+                        key, reps, labels, sets = row[:2], [], [], []
                     reps.append(row[2])
+                    labels.append(row[3])
                     sets.append(np.unique(hashes[at[i] : at[i + 1]]))
             if found:
                 yield frame(found)
@@ -207,7 +234,7 @@ def _compare(width: int, percent: int):
 def _links(rows: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     return (
         rows.join(texts, "rep")
-        .select("node", "block", "rep", "text")
+        .select("node", "block", "rep", "label", "text")
         .repartition("node", "block")
         .sortWithinPartitions("node", "block", "rep")
         .mapInArrow(_compare(width, percent), "a long, b long")
@@ -245,18 +272,17 @@ def near_duplicates(
     sets = ["n_shingles", "set_a", "set_b"]
     with_set = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = with_set.groupBy(*sets).agg(F.min("doc_id").alias("rep"))
-    tokens = with_set.select(F.col("doc_id").alias("rep"), *sets, "tokens", "nodes").join(
+    tokens = with_set.select(F.col("doc_id").alias("rep"), *sets, "tokens", *_NODES).join(
         classes, [*sets, "rep"], "left_semi"
     )
     tokens, token_path = written(
-        tokens.dropDuplicates(["rep"]).select("rep", "tokens", "nodes"), "tokens"
+        tokens.dropDuplicates(["rep"]).select("rep", "n_shingles", "tokens", *_NODES), "tokens"
     )
-    edges, paths = _tree_edges(spark, tokens, texts, width, percent, seed)
-    found = components(edges).select(F.col("id").alias("rep"), "component_id")
-    of_class = classes.join(found, "rep", "left").select(
-        *sets, F.coalesce("component_id", "rep").alias("class_component")
+    labels, paths = _tree_labels(spark, tokens, texts, width, percent, seed)
+    of_class = classes.join(labels, "rep", "left").select(
+        *sets, F.coalesce("label", "rep").alias("class_component")
     )
-    of_class, class_path = written(of_class, "classes")
+    of_class, _ = written(of_class, "classes")
     forget(spark, token_path, *paths)
     return (
         signed.select("doc_id", *sets)
@@ -272,71 +298,86 @@ def near_duplicates(
     )
 
 
-def _tree_edges(spark, tokens, texts, width, percent, seed):
-    """Links between representatives from all levels of all trees, and the paths they lie at."""
+def _tree_labels(spark, tokens, texts, width, percent, seed):
+    """``rep, label`` of all linked representatives, and the paths of the tables in use."""
     texts = texts.where("doc_id IS NOT NULL AND text IS NOT NULL").select(
         F.col("doc_id").alias("rep"), "text"
     )
-    texts = texts.join(tokens.select("rep"), "rep", "left_semi")
-    rows = tokens.select("rep", F.explode("nodes").alias("node"))
-    edges, paths, depth = None, [], FIRST_DEPTH
-    while True:
-        rows, sized_path = written(_occupied(rows), "occupied")
-        paths.append(sized_path)
-        if rows.isEmpty():
-            break
-        blocks = F.ceil(F.col("size") / LEAF)
-        last = depth >= LAST_DEPTH
-        own = F.pmod(F.xxhash64("rep", F.lit(depth)), blocks).cast("int")
-        dealt = rows.select("node", "rep", own.alias("own"), blocks.cast("int").alias("blocks"))
-        if last:
-            pairs = F.expr(
-                "transform(sequence(0, blocks - 1), "
-                "other -> least(own, other) * blocks + greatest(own, other))"
+    met = tokens.select("rep", F.explode(F.concat(*_NODES)).alias("node"))
+    nodes = met.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
+    met = met.join(nodes, "node", "left_semi").select("rep").distinct()
+    texts, text_path = written(texts.join(met, "rep", "left_semi").dropDuplicates(["rep"]), "texts")
+    tokens, token_path = written(tokens.join(texts.select("rep"), "rep", "left_semi"), "met")
+    labels, label_path = written(spark.createDataFrame([], "rep long, label long"), "labels")
+    for nodes in _NODES:
+        rows = tokens.select("rep", "n_shingles", F.explode(nodes).alias("node"))
+        for depth in range(FIRST_DEPTH, LAST_DEPTH + 1):
+            rows, row_path = written(_open(rows, labels), "open")
+            found, found_path = written(
+                _links(_dealt(rows, depth), texts, width, percent), "found"
             )
-            dealt = dealt.select("node", "rep", F.explode(pairs).alias("block"))
-        else:
-            dealt = dealt.select("node", "rep", F.col("own").alias("block"))
-        found, found_path = written(_links(dealt, texts, width, percent), "found")
-        paths.append(found_path)
-        edges = found if edges is None else edges.union(found)
-        large = rows.where(F.col("size") > LEAF)
-        if last or large.isEmpty():
-            break
-        labels = components(edges).select(F.col("id").alias("rep"), "component_id")
-        mixed = large.join(labels, "rep", "left").select(
-            "node", "rep", F.coalesce("component_id", "rep").alias("label")
-        )
-        open_nodes = (
-            mixed.groupBy("node")
-            .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-            .where("low < high")
-            .select("node")
-        )
-        rows = (
-            mixed.join(open_nodes, "node", "left_semi")
-            .join(tokens.select("rep", "tokens"), "rep")
-            .select("node", "rep", "tokens")
-            .mapInArrow(_branch(percent / 100, seed), "node long, rep long")
+            if not found.isEmpty():
+                known = labels.select(F.col("rep").alias("a"), F.col("label").alias("b"))
+                better, better_path = written(
+                    components(known.union(found)).select(
+                        F.col("id").alias("rep"), F.col("component_id").alias("label")
+                    ),
+                    "labels",
+                )
+                forget(spark, label_path)
+                labels, label_path = better, better_path
+            forget(spark, found_path)
+            large = rows.where("blocks > 1")
+            if large.isEmpty():
+                break
+            rows = (
+                large.select("node", "rep", "n_shingles")
+                .join(tokens.select("rep", "tokens"), "rep")
+                .select("node", "rep", "n_shingles", "tokens")
+                .mapInArrow(_branch(percent / 100, seed), "node long, rep long, n_shingles long")
+            )
+    return labels, [text_path, token_path, label_path]
+
+
+def _dealt(rows: DataFrame, depth: int) -> DataFrame:
+    """Rows with the block that compares them: a random one, at the last depth all pairs of them."""
+    own = F.pmod(F.xxhash64("rep", F.lit(depth)), "blocks").cast("int")
+    dealt = rows.select("node", "rep", "label", "blocks", own.alias("own"))
+    block = F.col("own")
+    if depth == LAST_DEPTH:
+        pairs = (
+            "transform(sequence(0, blocks - 1), "
+            "other -> least(own, other) * blocks + greatest(own, other))"
         )
-        depth += 1
-    if edges is None:
-        edges = spark.createDataFrame([], "a long, b long")
-    return edges, paths
+        block = F.explode(F.expr(pairs))
+    return dealt.select("node", "rep", "label", block.alias("block"))
 
 
-def _occupied(rows: DataFrame) -> DataFrame:
-    """``node, rep, size`` of nodes with two documents or more; of nodes with equal members, one."""
-    rows = rows.distinct()
+def _open(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``node, rep, n_shingles, label, blocks`` of nodes that hold two components or more.
+
+    Of nodes with equal members one stays. ``blocks`` is the number of parts of a node that one
+    task can compare; small nodes have one.
+    """
+    rows = (
+        rows.distinct()
+        .join(labels, "rep", "left")
+        .select("node", "rep", "n_shingles", F.coalesce("label", "rep").alias("label"))
+    )
+    parts = F.greatest(F.col("size") / LEAF, F.col("mass") / LEAF_SHINGLES)
     nodes = (
         rows.groupBy("node")
         .agg(
             F.count("*").alias("size"),
+            F.sum("n_shingles").alias("mass"),
+            F.min("label").alias("low"),
+            F.max("label").alias("high"),
             F.bit_xor(F.xxhash64("rep")).alias("x"),
             F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y"),
         )
-        .where("size > 1")
-        .groupBy("size", "x", "y")
+        .where("low < high")
+        .groupBy("size", "mass", "x", "y")
         .agg(F.min("node").alias("node"))
+        .select("node", F.ceil(parts).cast("int").alias("blocks"))
     )
-    return rows.join(nodes.select("node", "size"), "node").select("node", "rep", "size")
+    return rows.join(nodes, "node").select("node", "rep", "n_shingles", "label", "blocks")
