@@ -55,16 +55,18 @@ def poisson_copies(
     id_column: str = "doc_id",
     source_column: str = "source",
     seed: int = 17,
+    marked: bool = True,
 ) -> DataFrame:
     """All columns of ``documents``, once per copy, with ``copy`` (from 1) and ``shuffle_key``.
 
     The rows come in the order of ``shuffle_key``, a hash of seed, id and copy, over all
     partitions: a global shuffle. A null source is a source of its own; a null id hashes as no
     text; rows that repeat an id get equal draws and are all returned; empty and null texts count
-    as any other. Columns of the input that are named like the two new ones are replaced. A
-    source without a rate, and an empty table, give no rows.
+    as any other. Columns of the input that are named like the two new ones are replaced; without
+    ``marked`` the input's own columns are all that is returned. A source without a rate, and an
+    empty table, give no rows.
     """
-    kept = [c for c in documents.columns if c not in ("copy", "shuffle_key")]
+    kept = [c for c in documents.columns if not marked or c not in ("copy", "shuffle_key")]
     cumulative = f"""
         aggregate(
             sequence(1, {TERMS}),
@@ -91,19 +93,20 @@ def poisson_copies(
             0,
             (n, u) -> n + size(filter(_cumulative, c -> c <= u)))
     """
-    return (
+    key = F.md5(F.concat_ws(":", F.lit("order"), F.lit(int(seed)), "_copy", F.col(id_column)))
+    copies = (
         documents.select(*[f"`{c}`" for c in kept])
         .join(tables, F.col(source_column).eqNullSafe(F.col("_rate_source")))
         .withColumn("_copies", F.expr(draw))
         .where("_copies > 0")
-        .select(*[f"`{c}`" for c in kept], F.explode(F.expr("sequence(1, _copies)")).alias("copy"))
-        .withColumn(
-            "shuffle_key",
-            F.md5(F.concat_ws(":", F.lit("order"), F.lit(int(seed)), "copy", id_column)),
-        )
-        .repartitionByRange("shuffle_key")
-        .sortWithinPartitions("shuffle_key")
+        .select(*[f"`{c}`" for c in kept], F.explode(F.expr("sequence(1, _copies)")).alias("_copy"))
+        .withColumn("_key", key)
+        .repartitionByRange("_key")
+        .sortWithinPartitions("_key")
     )
+    own = [F.col(f"`{c}`") for c in kept]
+    marks = [F.col("_copy").alias("copy"), F.col("_key").alias("shuffle_key")]
+    return copies.select(*own, *(marks if marked else []))
 
 
 def mix(documents: DataFrame, weights: DataFrame | None = None, **options) -> DataFrame:

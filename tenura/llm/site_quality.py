@@ -192,6 +192,32 @@ def site_posteriors(scored: DataFrame) -> DataFrame:
     )
 
 
+def _rated(documents, labels, id_column, text_column, host_column, path_column, label_column):
+    """The rows of ``documents`` with ``_q_document, _q_p_host, _q_p_path, _q_quality``."""
+    model = fit_document_model(documents, labels, id_column, text_column, label_column)
+    host, path = F.col(f"`{host_column}`"), F.col(f"`{path_column}`")
+    text = F.col(f"`{text_column}`")
+    scored = _scored(
+        documents.select(host.alias("host"), path.alias("path"), text.alias("_q_text")), model
+    )
+    sites = site_posteriors(scored.withColumnRenamed("_q_document", "p")).select(
+        F.col("host").alias("_q_host"),
+        F.col("path").alias("_q_path"),
+        F.col("p_global").alias("_q_global"),
+        F.col("p_host").alias("_q_p_host"),
+        F.col("p_path").alias("_q_p_path"),
+    )
+    same = host.eqNullSafe(F.col("_q_host")) & path.eqNullSafe(F.col("_q_path"))
+    rows = documents.withColumn("_q_text", text)
+
+    def odds(name: str):
+        return F.ln(F.col(name)) - F.ln(1 - F.col(name))
+
+    moved = odds("_q_document") + odds("_q_p_path") - odds("_q_global")
+    rated = _scored(rows, model).join(sites, same, "left")
+    return rated.withColumn("_q_quality", 1 / (1 + F.exp(-moved)))
+
+
 def site_quality(
     documents: DataFrame,
     labels: DataFrame,
@@ -212,33 +238,31 @@ def site_quality(
     rows give no rows.
     """
     new = ("p_document", "p_host", "p_path", "quality", "keep")
+    names = (id_column, text_column, host_column, path_column, label_column)
     kept = [F.col(f"`{c}`") for c in documents.columns if c not in new]
-    model = fit_document_model(documents, labels, id_column, text_column, label_column)
-    host, path = F.col(f"`{host_column}`"), F.col(f"`{path_column}`")
-    text = F.col(f"`{text_column}`")
-    scored = _scored(
-        documents.select(host.alias("host"), path.alias("path"), text.alias("_q_text")), model
-    )
-    sites = site_posteriors(scored.withColumnRenamed("_q_document", "p")).select(
-        F.col("host").alias("_q_host"),
-        F.col("path").alias("_q_path"),
-        F.col("p_global").alias("_q_global"),
-        F.col("p_host").alias("_q_p_host"),
-        F.col("p_path").alias("_q_p_path"),
-    )
-    same = host.eqNullSafe(F.col("_q_host")) & path.eqNullSafe(F.col("_q_path"))
-    rated = _scored(documents.select(*kept, text.alias("_q_text")), model).join(sites, same, "left")
-
-    def odds(name: str):
-        return F.ln(F.col(name)) - F.ln(1 - F.col(name))
-
-    moved = odds("_q_document") + odds("_q_p_path") - odds("_q_global")
-    quality = 1 / (1 + F.exp(-moved))
-    return rated.select(
+    return _rated(documents, labels, *names).select(
         *kept,
         F.col("_q_document").alias("p_document"),
         F.col("_q_p_host").alias("p_host"),
         F.col("_q_p_path").alias("p_path"),
-        quality.alias("quality"),
-        (quality >= threshold).alias("keep"),
+        F.col("_q_quality").alias("quality"),
+        (F.col("_q_quality") >= threshold).alias("keep"),
+    )
+
+
+def keep_good(
+    documents: DataFrame,
+    labels: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    host_column: str = "source",
+    path_column: str = "lang",
+    label_column: str = "quality",
+    threshold: float = 0.5,
+) -> DataFrame:
+    """The rows of ``documents`` that ``site_quality`` keeps, with their own columns only."""
+    names = (id_column, text_column, host_column, path_column, label_column)
+    rated = _rated(documents, labels, *names)
+    return rated.where(F.col("_q_quality") >= threshold).select(
+        *[F.col(f"`{c}`") for c in documents.columns]
     )
