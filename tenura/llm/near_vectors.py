@@ -52,7 +52,9 @@ def _net(unit: np.ndarray) -> list[np.ndarray]:
         least = 1 - radius * radius / 2
         open_rows = np.ones(len(unit), bool)
         if chosen:
-            open_rows &= near[:, chosen].max(axis=1) < least
+            open_rows[chosen] = False
+            others = np.flatnonzero(open_rows)
+            open_rows[others] = near[np.ix_(others, chosen)].max(axis=1) < least
         for row in range(len(unit)):
             if open_rows[row]:
                 chosen.append(row)
@@ -61,7 +63,8 @@ def _net(unit: np.ndarray) -> list[np.ndarray]:
     levels = [np.arange(len(unit))]
     for net in reversed(nets):
         below = np.unique(levels[0])
-        above = np.empty(len(unit), np.int64)
+        above = np.arange(len(unit))
+        below = np.setdiff1d(below, net, assume_unique=True)
         above[below] = net[near[np.ix_(below, net)].argmax(axis=1)]
         levels.insert(0, above[levels[0]])
     return levels[:-1]
