@@ -9,9 +9,9 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
-from catalog.preparation import features, schema_sql
+from catalog.preparation import INPUTS, features, kind, schema_sql
 from catalog.registry import query, r6
-from catalog.sql import FEATURE_SQL, TARGET_SQL, split_sql
+from catalog.sql import FEATURE_SQL, TARGET_SQL, print_sql, split_sql, sums_sql
 from tenura.functions import run_id_of
 from tenura.operators import encoding, metrics, models, quality, sampling, selection, tuning
 from tenura.plans import scoring, training
@@ -249,18 +249,20 @@ def example_record():
     }
 
 
+_PRINTED = [f"CAST(floor({c} * 10000) AS BIGINT)" if kind(c) == "decimal" else c for c in INPUTS]
+
+
 @query(
     "model_registry_row",
     f"""WITH {FEATURE_SQL},
 s AS ({schema_sql("feat")}),
-l AS (SELECT concat(allowed, ':', "column", ':', kind, ':', CAST(nullable AS VARCHAR), ':',
-  CAST(position AS VARCHAR), ':', reserved) AS line FROM s),
-h AS (SELECT md5(concat_ws('|', customer_id, contract, coalesce(offer, '\\N'),
-  CAST(age AS VARCHAR))) AS h FROM feat)
+l AS (SELECT CAST(to_json([allowed, "column", kind, CAST(nullable AS VARCHAR),
+  CAST(position AS VARCHAR), reserved]) AS VARCHAR) AS line FROM s),
+h AS (SELECT md5({print_sql(_PRINTED)}) AS h FROM feat)
 SELECT '{RUN_ID}' AS run_id,
   (SELECT sha256(string_agg(line, chr(10) ORDER BY line)) FROM l) AS input_schema_hash,
   '5' AS trees, '0.1' AS k, CAST(count(*) AS VARCHAR) AS n_rows,
-  CAST(sum(('0x' || substr(h, 1, 8))::BIGINT) AS VARCHAR) AS sum_high, true AS complete FROM h""",
+  {sums_sql()}, true AS complete FROM h""",
 )
 def model_registry_row(spark, sf_dir):
     """A published model's registry row; its hashes come from the feature table."""
@@ -269,7 +271,10 @@ def model_registry_row(spark, sf_dir):
         encoding.fill_sentinels(view), encoding.CATEGORICAL_COLUMNS
     )
     specs = encoding.input_schema(view, categories)
-    fingerprint = registry.table_fingerprint(view, [ID, "contract", "offer", "age"]).first()
+    exact = view.withColumns(
+        {c: F.floor(F.col(c) * 10000) for c in INPUTS if kind(c) == "decimal"}
+    )
+    fingerprint = registry.table_fingerprint(exact, INPUTS).first()
     row = registry.model_row(
         spark,
         TRAINED,
@@ -288,7 +293,7 @@ def model_registry_row(spark, sf_dir):
         F.col("hyperparameters")["trees"].alias("trees"),
         F.col("training_cv_metrics")["k"].alias("k"),
         F.col("fingerprints")["n_rows"].alias("n_rows"),
-        F.col("fingerprints")["sum_high"].alias("sum_high"),
+        *[F.col("fingerprints")[f"sum_{i}"].alias(f"sum_{i}") for i in range(1, 5)],
         "complete",
     )
 

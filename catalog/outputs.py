@@ -8,12 +8,12 @@ from catalog.modeling import example_record
 from catalog.preparation import features, fitted_schema, schema_sql
 from catalog.ranking import CUSTOMERS_SQL, candidates, customers_scored
 from catalog.registry import query, r6
-from catalog.sql import CANDIDATES_SQL, FEATURE_SQL
+from catalog.sql import CANDIDATES_SQL, FEATURE_SQL, print_sql, sums_sql
 from catalog.tables import table
 from tenura.operators import metrics
 from tenura.plans import scoring
 from tenura.sources import outputs, registry
-from tenura.sources.workspace import new_path
+from tenura.sources.workspace import new_path, store
 
 
 @query(
@@ -72,19 +72,14 @@ _RUN_METRICS = ["candidate", "k", "n_rows", "precision", "lift", "pr_auc", "brie
     f"""WITH {CANDIDATES_SQL}
 SELECT candidate, k, n_rows, round(precision, 6) AS precision, round(lift, 6) AS lift,
   round(pr_auc, 6) AS pr_auc, round(brier_score, 6) AS brier_score
-FROM c_eval WHERE k_order = 1 AND candidate IN ('logistic_regression', 'boosted_trees')""",
+FROM c_eval WHERE k_order = 1""",
 )
 def run_metrics_append(spark, sf_dir):
-    """Two runs append their metrics to one table."""
-    evaluated = metrics.evaluate(
-        candidates(spark, sf_dir).where(
-            F.col("candidate").isin("logistic_regression", "boosted_trees")
-        ),
-        [metrics.DEFAULT_K],
-    )
+    """A run per candidate appends its metrics to one table."""
+    evaluated = metrics.evaluate(candidates(spark, sf_dir), [metrics.DEFAULT_K])
     path = new_path(spark, "runs")
-    rows = evaluated.select(*_RUN_METRICS)
-    for name in ("logistic_regression", "boosted_trees"):
+    rows = store(evaluated.select(*_RUN_METRICS), "evaluated")
+    for name in sorted(r.candidate for r in rows.select("candidate").distinct().collect()):
         registry.append_rows(rows.where(F.col("candidate") == name), path)
     back = registry.read_registry(spark, path, rows.schema)
     return back.select(
@@ -135,32 +130,28 @@ def skipped_runs(spark, sf_dir):
     return registry.run_report(run_registry(spark, sf_dir))
 
 
-_PRINT = "concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderstatus, " \
-    "o_orderpriority, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR))"
+_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
 
 
 @query(
     "table_fingerprint",
-    f"""WITH h AS (SELECT md5({_PRINT}) AS h FROM orders)
-SELECT count(*) AS n_rows,
-  CAST(sum(('0x' || substr(h, 1, 8))::BIGINT) AS VARCHAR) AS sum_high,
-  CAST(sum(('0x' || substr(h, 9, 8))::BIGINT) AS VARCHAR) AS sum_low FROM h""",
+    f"""WITH o AS (SELECT *, CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders),
+h AS (SELECT md5({print_sql([*_ORDER_COLUMNS, "price"])}) AS h FROM o)
+SELECT count(*) AS n_rows, {sums_sql()} FROM h""",
 )
 def table_fingerprint(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumn(
         "price", F.col("o_totalprice").cast("decimal(18,2)")
     )
-    return registry.table_fingerprint(
-        orders, ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "price"]
-    )
+    return registry.table_fingerprint(orders, [*_ORDER_COLUMNS, "price"])
 
 
 @query(
     "schema_fingerprint",
     f"""WITH {FEATURE_SQL},
 s AS ({schema_sql("feat")}),
-l AS (SELECT concat(allowed, ':', "column", ':', kind, ':', CAST(nullable AS VARCHAR), ':',
-  CAST(position AS VARCHAR), ':', reserved) AS line FROM s)
+l AS (SELECT CAST(to_json([allowed, "column", kind, CAST(nullable AS VARCHAR),
+  CAST(position AS VARCHAR), reserved]) AS VARCHAR) AS line FROM s)
 SELECT count(*) AS columns, sha256(string_agg(line, chr(10) ORDER BY line)) AS schema_hash FROM l""",
 )
 def schema_fingerprint(spark, sf_dir):

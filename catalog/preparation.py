@@ -223,7 +223,7 @@ def leakage_absent_check(spark, sf_dir):
     return integrity.forbidden_columns(tables, prepare.FORBIDDEN_COLUMNS)
 
 
-_INPUTS = [
+INPUTS = [
     c
     for c in [*prepare.VIEW_COLUMNS, "num_addon_services", "is_month_to_month"]
     + ["internet_without_security", "no_addons_despite_internet", "is_tenure_censored"]
@@ -235,7 +235,7 @@ _INPUTS = [
     "select_model_columns",
     _with(
         FEATURE_SQL,
-        f"""SELECT customer_id, CAST(is_voluntary_churn AS DOUBLE) AS label, {", ".join(_INPUTS)}
+        f"""SELECT customer_id, CAST(is_voluntary_churn AS DOUBLE) AS label, {", ".join(INPUTS)}
 FROM feat""",
     ),
 )
@@ -247,12 +247,12 @@ def select_model_columns(spark, sf_dir):
     "scoring_population",
     _with(
         FEATURE_SQL + "," + split_sql("feat"),
-        f"SELECT customer_id, {', '.join(_INPUTS)} FROM split WHERE part = 'test'",
+        f"SELECT customer_id, {', '.join(INPUTS)} FROM split WHERE part = 'test'",
     ),
 )
 def scoring_population(spark, sf_dir):
     split = split_features(spark, sf_dir)
-    return split.where("part = 'test'").select(prepare.ID, *_INPUTS)
+    return split.where("part = 'test'").select(prepare.ID, *INPUTS)
 
 
 @query(
@@ -515,7 +515,7 @@ def standard_scale(spark, sf_dir):
     return scaled.select("customer_id", *[r6(c).alias(c) for c in _SCALED])
 
 
-def _kind(column):
+def kind(column):
     booleans = {c for cs in prepare.YES_NO_COLUMNS.values() for c in cs}
     booleans |= {
         "is_month_to_month",
@@ -545,7 +545,7 @@ _LEVELS = {
     "contract": ["Month-to-Month", "One Year", "Two Year"],
     "payment_method": ["Bank Withdrawal", "Credit Card", "Mailed Check"],
 }
-_NUMERIC = [c for c in _INPUTS if c not in (prepare.ID, *encoding.CATEGORICAL_COLUMNS)]
+_NUMERIC = [c for c in INPUTS if c not in (prepare.ID, *encoding.CATEGORICAL_COLUMNS)]
 
 
 def _encoded_sql(number: str) -> str:
@@ -612,15 +612,16 @@ def encoded_feature_correlation(spark, sf_dir):
 
 def schema_sql(source: str) -> str:
     rows = []
-    for i, c in enumerate([c for c in _INPUTS if c != "customer_id"], start=1):
+    for i, c in enumerate([c for c in INPUTS if c != "customer_id"], start=1):
         allowed = (
-            f"(SELECT string_agg(DISTINCT {c}, '|' ORDER BY {c}) FROM {source})"
-            if _kind(c) == "categorical"
-            else "''"
+            f"(SELECT CAST(to_json(list(DISTINCT {c} ORDER BY {c}) FILTER (WHERE {c} IS NOT NULL)) "
+            f"AS VARCHAR) FROM {source})"
+            if kind(c) == "categorical"
+            else "'[]'"
         )
-        reserved = encoding.SENTINELS.get(c, "")
+        reserved = f'["{encoding.SENTINELS[c]}"]' if c in encoding.SENTINELS else "[]"
         rows.append(
-            f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS \"column\", '{_kind(c)}' AS kind, "
+            f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS \"column\", '{kind(c)}' AS kind, "
             f"{str(c in encoding.SENTINELS).lower()} AS nullable, {allowed} AS allowed, "
             f"'{reserved}' AS reserved"
         )

@@ -152,16 +152,11 @@ def reach_fraction(spark, sf_dir):
 
 @query(
     "crosstab",
-    """
-SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'F') AS "F",
-  count(*) FILTER (WHERE o_orderstatus = 'O') AS "O",
-  count(*) FILTER (WHERE o_orderstatus = 'P') AS "P"
-FROM orders GROUP BY o_orderpriority""",
+    """SELECT * FROM (PIVOT (SELECT o_orderpriority, o_orderstatus FROM orders)
+  ON o_orderstatus USING count(*) GROUP BY o_orderpriority)""",
 )
 def crosstab(spark, sf_dir):
-    return profile.crosstab(
-        table(spark, sf_dir, "orders"), "o_orderpriority", "o_orderstatus", ["F", "O", "P"]
-    )
+    return profile.crosstab(table(spark, sf_dir, "orders"), "o_orderpriority", "o_orderstatus")
 
 
 @query(
@@ -330,23 +325,17 @@ def feature_correlation(spark, sf_dir):
     return pairs.select("a", "b", r6("r").alias("r"), "strong", "exact")
 
 
-_REASONS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW", "Deceased"]
-
-
 @query(
     "category_reason_crosstab",
     _with(
         TARGET_SQL,
-        "SELECT churn_category, "
-        + ", ".join(
-            f"""count(*) FILTER (WHERE churn_reason = '{r}') AS "{r}" """ for r in _REASONS
-        )
-        + "FROM cln_status WHERE customer_status = 'Churned' GROUP BY churn_category",
+        """SELECT * FROM (PIVOT (SELECT churn_category, churn_reason FROM cln_status
+  WHERE customer_status = 'Churned') ON churn_reason USING count(*) GROUP BY churn_category)""",
     ),
 )
 def category_reason_crosstab(spark, sf_dir):
     churned = prepare.stage(raw_status(spark, sf_dir)).where("customer_status = 'Churned'")
-    return profile.crosstab(churned, "churn_category", "churn_reason", _REASONS)
+    return profile.crosstab(churned, "churn_category", "churn_reason")
 
 
 @query(

@@ -256,13 +256,20 @@ rows_ AS (
       ELSE CAST(n AS VARCHAR) END AS value
   FROM r, (VALUES ('k'), ('training_rows'), ('estimate_type'), ('precision_at_k'), ('lift_at_k'),
     ('pr_auc'), ('brier_score'), ('accuracy')) AS names(name)
-  WHERE (name <> 'brier_score' OR p <= c) AND (name <> 'accuracy' OR p < c))
+  , unnest(CASE WHEN name = 'k' AND record % 7 = 2 THEN [1, 2] ELSE [1] END) AS t(copy)
+  WHERE (name <> 'brier_score' OR p <= c) AND (name <> 'accuracy' OR p < c)
+    AND (record % 11 <> 3 OR name = 'accuracy'))
 SELECT record, name, CASE WHEN name = 'accuracy' THEN 'unexpected'
     WHEN name = 'estimate_type' THEN 'wrong_text'
     WHEN name = 'training_rows' THEN 'not_whole' ELSE 'not_finite' END AS problem
 FROM rows_ WHERE name = 'accuracy' OR (name = 'estimate_type' AND value = ' ')
   OR (name = 'training_rows' AND value LIKE '%.5') OR value IN ('NaN', 'high')
-UNION ALL SELECT record, 'brier_score', 'missing' FROM r WHERE p > c""",
+UNION ALL SELECT record, name, 'repeated' FROM rows_ WHERE name <> 'accuracy'
+  GROUP BY record, name HAVING count(*) > 1
+UNION ALL SELECT record, name, 'missing' FROM (SELECT DISTINCT record FROM rows_), (VALUES ('k'),
+  ('training_rows'), ('estimate_type'), ('precision_at_k'), ('lift_at_k'), ('pr_auc'),
+  ('brier_score')) AS names(name)
+  WHERE (record, name) NOT IN (SELECT (record, name) FROM rows_)""",
 )
 def dq_metrics_record(spark, sf_dir):
     names = ", ".join(f"'{n}'" for n in [*quality.METRIC_KEYS, "accuracy"])
@@ -276,6 +283,8 @@ def dq_metrics_record(spark, sf_dir):
         )
         .selectExpr("record", "n", "p", "c", f"explode(array({names})) AS name")
         .where("(name <> 'brier_score' OR p <= c) AND (name <> 'accuracy' OR p < c)")
+        .where("record % 11 <> 3 OR name = 'accuracy'")
+        .selectExpr("*", "explode(IF(name = 'k' AND record % 7 = 2, array(1, 2), array(1)))")
         .selectExpr(
             "record",
             "name",

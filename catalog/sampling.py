@@ -45,19 +45,25 @@ def stratified_kfold(spark, sf_dir):
     "split_report",
     _SPLIT
     + """SELECT part, count(*) AS n_rows, count(*) FILTER (WHERE is_voluntary_churn) AS positives,
-  round(avg(CAST(is_voluntary_churn AS DOUBLE)), 6) AS positive_rate FROM split GROUP BY part""",
+  round(avg(CAST(is_voluntary_churn AS DOUBLE)), 6) AS positive_rate,
+  abs(avg(CAST(is_voluntary_churn AS DOUBLE))
+    - (SELECT avg(CAST(is_voluntary_churn AS DOUBLE)) FROM split)) <= 0.01 AS within_tolerance
+FROM split GROUP BY part""",
 )
 def split_report(spark, sf_dir):
     report = sampling.split_report(split(spark, sf_dir), TARGET)
-    return report.select("part", "n_rows", "positives", r6("positive_rate").alias("positive_rate"))
+    return report.withColumn("positive_rate", r6("positive_rate"))
 
 
 @query(
     "split_disjoint_check",
     _SPLIT
     + """SELECT count(*) AS n_rows, count(*) FILTER (WHERE part = 'train') AS n_train,
-  count(*) FILTER (WHERE part = 'test') AS n_test, CAST(0 AS BIGINT) AS shared_ids,
-  true AS sizes_add_up FROM split""",
+  count(*) FILTER (WHERE part = 'test') AS n_test,
+  (SELECT count(*) FROM (SELECT customer_id FROM split WHERE part = 'test' INTERSECT
+    SELECT customer_id FROM split WHERE part = 'train')) AS shared_ids,
+  count(*) = count(*) FILTER (WHERE part = 'train') + count(*) FILTER (WHERE part = 'test')
+    AS sizes_add_up FROM split""",
 )
 def split_disjoint_check(spark, sf_dir):
     return sampling.disjoint_check(split(spark, sf_dir), ID)

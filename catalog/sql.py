@@ -126,3 +126,18 @@ c_eval AS (
   SELECT *, tp::DOUBLE / k AS precision, coalesce(tp::DOUBLE / nullif(positives, 0), 0) AS recall,
     (tp::DOUBLE / k) / nullif(positives::DOUBLE / n_rows, 0) AS lift
   FROM c_counts JOIN c_ap USING (candidate))"""
+
+
+def print_sql(columns) -> str:
+    """The text of a row that the fingerprint hashes."""
+    cells = [
+        f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), 'N')" for c in columns
+    ]
+    return f"concat_ws(';', {', '.join(cells)})"
+
+
+def sums_sql(h: str = "h") -> str:
+    return ", ".join(
+        f"CAST(sum(('0x' || substr({h}, {8 * i + 1}, 8))::BIGINT) AS VARCHAR) AS sum_{i + 1}"
+        for i in range(4)
+    )

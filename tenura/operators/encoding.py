@@ -31,8 +31,6 @@ SENTINELS = {"internet_type": "No Internet", "offer": "No Offer"}
 CATEGORICAL_COLUMNS = ["internet_type", "offer", "gender", "contract", "payment_method"]
 EXCLUDED_COLUMNS = [ID, "country", "state", "city", "zip_code"]
 
-MAX_CATEGORIES = 1000
-
 # The kind of a model input by its type.
 KINDS = {"boolean": BOOLEAN, "int": INTEGER, "double": DECIMAL, "string": CATEGORICAL}
 
@@ -53,11 +51,11 @@ def fill_sentinels(df: DataFrame, sentinels: Mapping[str, str] = SENTINELS) -> D
 
 
 def fit_categories(train: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """The sorted present values of every categorical column, from one pass."""
-    most = MAX_CATEGORIES * len(columns)
-    rows = distinct_values(train, columns).select("column", "value").limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} values in {list(columns)}; not categorical")
+    """The sorted present values of every categorical column, from one pass.
+
+    They are part of the model, like the encoded columns they name, so the driver holds them.
+    """
+    rows = distinct_values(train, columns).select("column", "value").collect()
     return {c: sorted(r.value for r in rows if r.column == c) for c in columns}
 
 
@@ -217,9 +215,14 @@ SCHEMA_COLUMNS = (
 )
 
 
+def _list_text(values: Sequence[str]) -> str:
+    """A list as JSON, so that no two lists share a text."""
+    return json.dumps(list(values), ensure_ascii=False, separators=(",", ":"))
+
+
 def schema_frame(spark: SparkSession, specs: Sequence[InputColumn]) -> DataFrame:
     rows = [
-        (i, s.name, s.kind, s.nullable, "|".join(s.allowed), "|".join(s.reserved))
+        (i, s.name, s.kind, s.nullable, _list_text(s.allowed), _list_text(s.reserved))
         for i, s in enumerate(specs, start=1)
     ]
     return spark.createDataFrame(rows, SCHEMA_COLUMNS)

@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from tenura.functions import count_where, ratio
 from tenura.sources.workspace import store
 
-MAX_CLASSES = 1000
-
 
 def _percent(share: Column) -> Column:
     return 100.0 * share
@@ -81,9 +79,13 @@ def reach(df: DataFrame, rule: Column, target: str) -> DataFrame:
     return counts.withColumn("reach_pct", _percent(ratio(F.col("reached"), F.col("positives"))))
 
 
-def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
-    """Counts of row × column values; a combination without rows is 0."""
-    return df.groupBy(row).pivot(column, list(values)).count().fillna(0, subset=list(values))
+def crosstab(df: DataFrame, row: str, column: str) -> DataFrame:
+    """Counts of row × column values; a combination without rows is 0.
+
+    The columns are the values present, found by the pivot itself; NULL is none of them.
+    """
+    table = df.where(F.col(column).isNotNull()).groupBy(row).pivot(column).count()
+    return table.fillna(0, subset=[c for c in table.columns if c != row])
 
 
 def present_by_group(df: DataFrame, group: str, column: str) -> DataFrame:
@@ -119,28 +121,19 @@ def histogram(df: DataFrame, column: str, bins: int = 30, by: str | None = None)
     usable = df.where(value.isNotNull() & ~F.isnan(value))
     keys = [F.coalesce(F.col(by).cast("string"), F.lit("")) if by else F.lit("")]
     rows = usable.select(keys[0].alias("class"), value.alias("v"))
-    found = (
-        rows.groupBy("class")
-        .agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("total"))
-        .limit(MAX_CLASSES + 1)
-        .collect()
+    found = rows.groupBy("class").agg(
+        F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("total")
     )
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"{by} has more than {MAX_CLASSES} classes")
-    half = {True: 0.5, False: 0.0}  # a constant gets a range of width one around it
-    spans = [
-        (r["class"], r.lo - half[r.lo == r.hi], r.hi + half[r.lo == r.hi], r.total) for r in found
-    ]
-    ranges = df.sparkSession.createDataFrame(
-        spans, "class STRING, lo DOUBLE, hi DOUBLE, total BIGINT"
+    # A constant gets a range of width one around it.
+    half = F.when(F.col("lo") == F.col("hi"), 0.5).otherwise(0.0)
+    ranges = found.select(
+        "class", (F.col("lo") - half).alias("lo"), (F.col("hi") + half).alias("hi"), "total"
     )
     if by:
-        # At most MAX_CLASSES rows, checked above: bounded, so broadcast.
-        located = rows.join(F.broadcast(ranges), "class")
+        located = rows.join(ranges, "class")
     else:
-        lo, hi = spans[0][1:3] if spans else (None, None)
         located = rows.withColumns(
-            {"lo": F.lit(lo).cast("double"), "hi": F.lit(hi).cast("double")}
+            {"lo": ranges.select("lo").scalar(), "hi": ranges.select("hi").scalar()}
         )
     width = (F.col("hi") - F.col("lo")) / bins
     at = F.floor((F.col("v") - F.col("lo")) * bins / (F.col("hi") - F.col("lo")))

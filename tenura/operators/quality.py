@@ -45,7 +45,6 @@ VALUE_RULES = [
 RULES = [*COLUMN_RULES, *TABLE_RULES, *ID_RULES, *VALUE_RULES]
 
 REPORT = "rule STRING, column STRING, precedence INT, offending BIGINT, first_id STRING"
-MAX_INLINE_VALUES = 200
 
 _BLANK = r"(?U)^[\s\x1c-\x1f]*$"
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -98,9 +97,8 @@ def _broken_rule(spec: InputColumn, data_type: T.DataType) -> Column:
         else:
             if spec.reserved:
                 found.append((value.isin(list(spec.reserved)), "sentinel"))
-            if len(spec.allowed) <= MAX_INLINE_VALUES:
-                unseen = ~value.isin(list(spec.allowed)) if spec.allowed else F.lit(True)
-                found.append((present & unseen, "unseen_category"))
+            unseen = ~value.isin(list(spec.allowed)) if spec.allowed else F.lit(True)
+            found.append((present & unseen, "unseen_category"))
     elif spec.kind == BOOLEAN:
         if isinstance(data_type, _INTEGRAL):
             found.append((present & ~value.isin(0, 1), "bad_boolean"))
@@ -140,39 +138,9 @@ def value_report(df: DataFrame, id_column: str, specs: Sequence[InputColumn]) ->
     cells = dirty.select(
         F.col(id_column).cast("string").alias("_id"), F.inline(F.array(*cells))
     ).where("rule IS NOT NULL")
-    found = cells.groupBy("rule", "column").agg(
+    return cells.groupBy("rule", "column").agg(
         F.count("*").alias("offending"), F.min("_id").alias("first_id")
     )
-    long_lists = [
-        _unseen_by_join(df, id_column, spec)
-        for spec in specs
-        if spec.kind == CATEGORICAL
-        and len(spec.allowed) > MAX_INLINE_VALUES
-        and isinstance(df.schema[spec.name].dataType, T.StringType)
-    ]
-    return reduce(DataFrame.unionByName, long_lists, found)
-
-
-def _unseen_by_join(df: DataFrame, id_column: str, spec: InputColumn) -> DataFrame:
-    """The unseen-category rule for a long list of allowed values."""
-    known = df.sparkSession.createDataFrame(
-        [(v,) for v in {*spec.allowed, *spec.reserved}], "_known STRING"
-    )
-    # Pre-aggregated to one row per distinct value, so a hot value is one row.
-    values = df.where(F.col(spec.name).isNotNull()).groupBy(spec.name).agg(
-        F.count("*").alias("_n"), F.min(F.col(id_column).cast("string")).alias("_first")
-    )
-    return (
-        values.join(known, F.col(spec.name) == F.col("_known"), "left_anti")
-        .agg(F.sum("_n").alias("offending"), F.min("_first").alias("first_id"))
-        .where("offending > 0")
-        .select(
-            F.lit("unseen_category").alias("rule"),
-            F.lit(spec.name).alias("column"),
-            "offending",
-            "first_id",
-        )
-    )
 
 
 def duplicate_report(df: DataFrame, id_column: str) -> DataFrame:
@@ -300,13 +268,21 @@ def probability_counts(scored: DataFrame, id_column: str, p: str) -> DataFrame:
 
 
 RANKED_COLUMNS = ["customer_id", "churn_probability", "rank", "in_top_k"]
-_RANK_BLOCK = 1_000_000
+_NUMBERS = (*_INTEGRAL, *_FRACTIONAL, T.DecimalType)
+
+
+def _as_number(name: str, data_type: T.DataType, kind: str) -> Column:
+    """The column as a number of a kind, NULL where its value is none."""
+    if isinstance(data_type, _NUMBERS):
+        return F.expr(f"try_cast(`{name}` AS {kind})")
+    return F.expr(f"try_cast(CAST(`{name}` AS STRING) AS {kind})")
 
 
 def ranked_table_report(df: DataFrame) -> DataFrame:
     """Checks of a ranked table: its shape, its cells, ranks 1..n without a gap, falling scores.
 
-    One row per check with the number of offending rows.
+    One row per check with the number of offending rows. A column of the wrong type offends in
+    every row; the checks of the order then use what its values say as numbers.
     """
     spark = df.sparkSession
     if df.columns != RANKED_COLUMNS:
@@ -314,8 +290,9 @@ def ranked_table_report(df: DataFrame) -> DataFrame:
             [("columns", 1)], "check STRING, offending BIGINT"
         )
     types = {f.name: f.dataType for f in df.schema.fields}
-    p, place, cid = F.col("churn_probability"), F.col("rank"), F.col("customer_id")
-    finite = ~F.isnan(p) & (F.abs(p) != float("inf"))
+    p = _as_number("churn_probability", types["churn_probability"], "DOUBLE")
+    cid = F.col("customer_id")
+    usable = p.isNotNull() & ~F.isnan(p) & (p >= 0) & (p <= 1)
     everything = F.lit(True)
     nothing = F.lit(False)
     cells = {
@@ -326,24 +303,27 @@ def ranked_table_report(df: DataFrame) -> DataFrame:
         "flag_not_boolean": nothing
         if isinstance(types["in_top_k"], T.BooleanType)
         else everything,
-        "probability_range": ~finite | (p < 0) | (p > 1),
+        "probability_range": F.col("churn_probability").isNotNull() & ~F.coalesce(usable, nothing)
+        if isinstance(types["churn_probability"], _NUMBERS)
+        else everything,
     }
     sums = [count_where(bad).alias(check) for check, bad in cells.items()]
     sums.append((F.count("*") == 0).cast("bigint").alias("no_rows"))
     names = [*cells, "no_rows"]
     checks = df.agg(*sums).unpivot([], names, "check", "offending")
-    # One row per rank first: a rank that many rows share is a single row from here on.
+    # One row per rank first: a rank that many rows share is a single row from here on. Ranges of
+    # ranks in the partitions' order, so that sparse ranks spread like dense ones.
     per_rank = store(
-        df.groupBy("rank").agg(
-            F.count("*").alias("n"),
-            F.min("churn_probability").alias("low"),
-            F.max("churn_probability").alias("high"),
-        ),
+        df.select(_as_number("rank", types["rank"], "BIGINT").alias("rank"), p.alias("p"))
+        .where("rank IS NOT NULL")
+        .groupBy("rank")
+        .agg(F.count("*").alias("n"), F.min("p").alias("low"), F.max("p").alias("high"))
+        .repartitionByRange("rank")
+        .withColumn("block", F.spark_partition_id()),
         "ranks",
     )
-    block = F.floor((place - 1) / _RANK_BLOCK)
     inside = Window.partitionBy("block").orderBy("rank")
-    steps = per_rank.withColumn("block", block).select(
+    steps = per_rank.select(
         "*", F.lag("rank").over(inside).alias("prev"), F.lag("low").over(inside).alias("prev_low")
     )
     edges = steps.groupBy("block").agg(
@@ -352,7 +332,7 @@ def ranked_table_report(df: DataFrame) -> DataFrame:
         F.min_by("high", "rank").alias("high"),
         F.max_by("low", "rank").alias("low"),
     )
-    over = Window.orderBy("block")  # one row per million ranks
+    over = Window.orderBy("block")  # one row per partition
     edges = edges.select(
         "rank",
         "high",
@@ -420,12 +400,12 @@ def check_metrics(metrics: Mapping[str, object]) -> None:
 def metrics_record_report(records: DataFrame, keys: Iterable[str] = METRIC_KEYS) -> DataFrame:
     """Problems of ``(record, name, value)`` rows.
 
-    A key may be missing or unexpected, a number not finite or not whole, the text wrong.
+    A key may be missing, unexpected or repeated, a number not finite or not whole, the text wrong.
     """
     keys = list(keys)
     number = F.expr("try_cast(value AS DOUBLE)")
     finite = number.isNotNull() & ~F.isnan(number) & (F.abs(number) != math.inf)
-    known = F.col("name").isin(keys)
+    known = F.coalesce(F.col("name").isin(keys), F.lit(False))
     problem = (
         F.when(~known, "unexpected")
         .when(
@@ -436,12 +416,16 @@ def metrics_record_report(records: DataFrame, keys: Iterable[str] = METRIC_KEYS)
         .when(F.col("name").isin(WHOLE_KEYS) & (number != F.floor(number)), "not_whole")
     )
     wrong = records.select("record", "name", problem.alias("problem")).where("problem IS NOT NULL")
-    have = records.select("record", "name").where(known).groupBy("record").agg(
-        F.collect_set("name").alias("have")  # at most the known keys
+    counts = records.groupBy("record", "name").agg(F.count("*").alias("n"))
+    repeated = counts.where(known & (F.col("n") > 1)).select(
+        "record", "name", F.lit("repeated").alias("problem")
+    )
+    have = counts.groupBy("record").agg(
+        F.collect_set(F.when(known, F.col("name"))).alias("have")  # at most the known keys
     )
     missing = have.select(
         "record",
         F.explode(F.array_except(F.array(*[F.lit(k) for k in keys]), "have")).alias("name"),
         F.lit("missing").alias("problem"),
     )
-    return wrong.unionByName(missing)
+    return wrong.unionByName(missing).unionByName(repeated)

@@ -2,8 +2,8 @@
 
 Rows are ordered by a hash of their id. Per label, a histogram of the leading
 hash digits tells in which slice of the order each boundary lies; only the rows
-of those slices (one in 4,096 for each boundary) are ranked to find the exact
-boundary. The assignment is then a plain expression over a few boundaries.
+of those slices are ranked to find the exact boundary, and the number of digits
+follows the number of rows, so a slice stays small. The assignment is then a plain expression over a few boundaries.
 """
 
 from __future__ import annotations
@@ -19,22 +19,12 @@ from pyspark.sql import functions as F
 from tenura.functions import hash_order
 from tenura.sources.workspace import store
 
-MAX_LABELS = 64
-_SLICE_DIGITS = 3  # leading hex digits of the hash
+_SLICE_ROWS = 50_000  # rows of a slice that one task ranks, about
 
 
-def _histogram(keyed: DataFrame) -> dict:
-    """Rows per label and slice: at most 4,096 numbers per label."""
-    most = MAX_LABELS * 16**_SLICE_DIGITS
-    counts = keyed.groupBy("label", "slice").agg(F.count("*").alias("n"))
-    found: dict = {}
-    for row in counts.limit(most + 1).collect():
-        found.setdefault(row.label, {})[row.slice] = row.n
-    if len(found) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} labels; not a class label")
-    if None in found:
-        raise ValueError("rows without a label cannot be stratified")
-    return found
+def _slice_digits(rows: int) -> int:
+    """Leading hex digits of the hash that make slices of about ``_SLICE_ROWS`` rows."""
+    return max(3, math.ceil(math.log(max(rows, 1) / _SLICE_ROWS, 16)))
 
 
 def boundaries(
@@ -54,27 +44,31 @@ def boundaries(
             F.col(label).alias("label"),
             F.col(id_column).alias("id"),
             hash_order(F.col(id_column), salt).alias("h"),
-        ).withColumn("slice", F.substring("h", 1, _SLICE_DIGITS)),
+        ),
         "keys",
     )
-    histogram = _histogram(keyed)
-    wanted = ranks_for({v: sum(slices.values()) for v, slices in histogram.items()})
-    hits = []
-    for value, ranks in wanted.items():
-        for rank in sorted({r for r in ranks if r >= 1}):
-            before = 0
-            for piece, n in sorted(histogram[value].items()):
-                if before < rank <= before + n:
-                    hits.append((value, piece, rank, rank - before))
-                before += n
-    if not hits:
+    counts = {r.label: r.n for r in keyed.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if None in counts:
+        raise ValueError("rows without a label cannot be stratified")
+    wanted = [
+        (value, rank)
+        for value, ranks in ranks_for(counts).items()
+        for rank in sorted({r for r in ranks if r >= 1})
+    ]
+    if not wanted:
         return {}
     label_type = df.schema[label].dataType.simpleString()
-    # One row per boundary: labels times parts, both bounded.
-    near = F.broadcast(
-        spark.createDataFrame(
-            hits, f"label {label_type}, slice STRING, target BIGINT, nth_here BIGINT"
-        )
+    keyed = keyed.withColumn(
+        "slice", F.substring("h", 1, _slice_digits(sum(counts.values())))
+    )
+    slices = keyed.groupBy("label", "slice").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("label").orderBy("slice"))
+    ranks = spark.createDataFrame(wanted, f"label {label_type}, target BIGINT")
+    near = (
+        slices.select("label", "slice", (upto - F.col("n")).alias("before"), upto.alias("upto"))
+        .join(ranks, "label")
+        .where("before < target AND target <= upto")
+        .select("label", "slice", "target", (F.col("target") - F.col("before")).alias("nth_here"))
     )
     nth = F.row_number().over(Window.partitionBy("label", "target").orderBy("h", "id"))
     cuts = (
@@ -170,14 +164,20 @@ def repeated_folds(
     return reduce(DataFrame.unionByName, parts)
 
 
-def split_report(df: DataFrame, label: str, part: str = "part") -> DataFrame:
-    """Rows, positives and positive rate of every part."""
+def split_report(
+    df: DataFrame, label: str, part: str = "part", tolerance: float = 0.01
+) -> DataFrame:
+    """Rows, positives and positive rate of every part, and whether the rate is near the overall."""
     hit = F.col(label).cast("double")
-    return df.groupBy(part).agg(
+    parts = df.groupBy(part).agg(
         F.count("*").alias("n_rows"),
         F.sum(hit).cast("bigint").alias("positives"),
         F.avg(hit).alias("positive_rate"),
     )
+    overall = df.agg(F.avg(hit)).scalar()
+    return parts.withColumn(
+        "within_tolerance", F.abs(F.col("positive_rate") - overall) <= tolerance
+    )
 
 
 def disjoint_check(df: DataFrame, id_column: str, part: str = "part") -> DataFrame:

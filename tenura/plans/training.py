@@ -19,6 +19,7 @@ from tenura.sources import registry
 from tenura.sources.workspace import store
 
 HEURISTIC = "business_heuristic"
+RECORDED_FOLDS = 5
 
 
 @dataclass(frozen=True)
@@ -101,8 +102,15 @@ def compare_out_of_fold(
     return metrics.evaluate(store(rows, "scores"))
 
 
-def training_metrics(scores: DataFrame, k: float = metrics.DEFAULT_K) -> dict:
-    """The headline record of out-of-fold scores ``(customer_id, y, score)``."""
+def training_metrics(
+    scores: DataFrame, k: float = metrics.DEFAULT_K, folds: int = RECORDED_FOLDS
+) -> dict:
+    """The headline record of out-of-fold scores ``(customer_id, y, score)``.
+
+    The record says that five folds were used, so scores of other folds are refused.
+    """
+    if folds != RECORDED_FOLDS:
+        raise ValueError(f"the record states {RECORDED_FOLDS} folds, the scores have {folds}")
     named = metrics.require_complete(scores).select(
         F.lit("model").alias("candidate"), F.col(ID).alias("id"), "y", "score"
     )
@@ -197,7 +205,7 @@ def train_and_publish(
     scores = store(
         models.out_of_fold_scores(found.best, prepared.frame, folds, inner_folds, seed), "oof"
     )
-    record = training_metrics(scores)
+    record = training_metrics(scores, folds=folds)
     fingerprint = registry.table_fingerprint(
         prepared.features, [ID, "part", *encoding.input_columns(features)]
     ).first()

@@ -105,8 +105,16 @@ def load_run(spark: SparkSession, registry_path: str, run_id: str | None = None)
     if not exists(spark, registry_path):
         raise LookupError(f"no registry at {registry_path}")
     runs = read_registry(spark, registry_path, MODEL_ROW)
-    chosen = select_run(runs, run_id)
-    row = runs.where((F.col("run_id") == chosen) & F.col("complete")).first()
+    lost: list[str] = []
+    while True:  # newest first, until a run still has its model
+        chosen = select_run(runs, run_id, lost)
+        rows = runs.where((F.col("run_id") == chosen) & F.col("complete")).limit(2).collect()
+        if len(rows) > 1:
+            raise ValueError(f"run {chosen} is registered more than once")
+        row = rows[0]
+        if exists(spark, f"{row.model_path}/metadata"):
+            break
+        lost.append(chosen)
     specs = schema_from_text(row.input_schema)
     if schema_hash(spark, specs) != row.input_schema_hash:
         raise ValueError(f"the input schema of run {chosen} does not match its hash")
@@ -119,11 +127,15 @@ def load_run(spark: SparkSession, registry_path: str, run_id: str | None = None)
     return LoadedRun(chosen, PipelineModel.load(row.model_path), specs, health)
 
 
-def run_problem() -> Column:
-    """Why a registry row ``(run_id, complete)`` is not a usable run, or NULL."""
-    return F.when(~is_run_id(F.col("run_id")), "not a run id").when(
+def run_problem(lost: Sequence[str] = ()) -> Column:
+    """Why a registry row ``(run_id, complete)`` is not a usable run, or NULL.
+
+    ``lost`` names runs whose model files are gone.
+    """
+    problem = F.when(~is_run_id(F.col("run_id")), "not a run id").when(
         ~F.coalesce(F.col("complete"), F.lit(False)), "incomplete"
     )
+    return problem.when(F.col("run_id").isin(list(lost)), "model gone") if lost else problem
 
 
 def run_report(registry: DataFrame) -> DataFrame:
@@ -133,35 +145,41 @@ def run_report(registry: DataFrame) -> DataFrame:
     )
 
 
-def latest_valid_run(registry: DataFrame, run_id: str | None = None) -> DataFrame:
+def latest_valid_run(
+    registry: DataFrame, run_id: str | None = None, lost: Sequence[str] = ()
+) -> DataFrame:
     """One row: the requested run, or the highest usable id; never another than requested."""
-    usable = registry.where(run_problem().isNull())
+    usable = registry.where(run_problem(lost).isNull())
     if run_id is not None:
         usable = usable.where(F.col("run_id") == run_id)
     return usable.agg(F.max("run_id").alias("run_id"), F.count("*").alias("usable_rows"))
 
 
-def select_run(registry: DataFrame, run_id: str | None = None) -> str:
-    found = latest_valid_run(registry, run_id).first().run_id
+def select_run(
+    registry: DataFrame, run_id: str | None = None, lost: Sequence[str] = ()
+) -> str:
+    found = latest_valid_run(registry, run_id, lost).first().run_id
     if found is None:
         raise LookupError(f"no usable run {run_id!r}" if run_id else "no usable run")
     return found
 
 
 def table_fingerprint(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row: rows and two order-insensitive sums over a hash of every row."""
-    text = F.concat_ws(
-        "|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns]
-    )
-    hashed = df.select(F.md5(text).alias("h"))
+    """One row: rows and four order-insensitive sums over a hash of every row.
 
-    def part(start):
-        number = F.conv(F.substring("h", start, 8), 16, 10).cast("decimal(38,0)")
-        return F.coalesce(F.sum(number), F.lit(0)).cast("string")
+    Every value enters with its length, a NULL without one, so no two rows share a text.
+    """
+    cells = []
+    for c in columns:
+        text = F.col(c).cast("string")
+        cells.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("N")))
+    hashed = df.select(F.md5(F.concat_ws(";", *cells)).alias("h"))
 
-    return hashed.agg(
-        F.count("*").alias("n_rows"), part(1).alias("sum_high"), part(9).alias("sum_low")
-    )
+    def part(i):
+        number = F.conv(F.substring("h", 8 * i + 1, 8), 16, 10).cast("decimal(38,0)")
+        return F.coalesce(F.sum(number), F.lit(0)).cast("string").alias(f"sum_{i + 1}")
+
+    return hashed.agg(F.count("*").alias("n_rows"), *[part(i) for i in range(4)])
 
 
 def schema_fingerprint(schema: DataFrame) -> DataFrame:
@@ -169,8 +187,8 @@ def schema_fingerprint(schema: DataFrame) -> DataFrame:
 
     The schema has one row per column, so its text fits in one value.
     """
-    line = F.concat_ws(
-        ":", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sorted(schema.columns)]
+    line = F.to_json(
+        F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sorted(schema.columns)])
     )
     lines = F.array_join(F.sort_array(F.collect_list(line)), "\n")
     return schema.agg(F.count("*").alias("columns"), F.sha2(lines, 256).alias("schema_hash"))

@@ -7,7 +7,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from catalog.modeling import example_record
-from tenura.operators import encoding, metrics, models, quality, selection, tuning
+from tenura.operators import encoding, metrics, models, profile, quality, sampling, selection, tuning
 from tenura.plans import scoring, training
 from tenura.sources import outputs, registry
 
@@ -277,6 +277,41 @@ def test_fingerprints_do_not_depend_on_order(spark):
     assert a == b and a != c
 
 
+def test_fingerprints_tell_rows_and_schemas_apart(spark):
+    kind = "a STRING, b STRING"
+    prints = {
+        tuple(registry.table_fingerprint(spark.createDataFrame([row], kind), ["a", "b"]).first())
+        for row in [("x|y", "z"), ("x", "y|z"), (None, "z"), ("N", "z"), ("\\N", "z"), ("x;1:y", "z")]
+    }
+    assert len(prints) == 6
+    lists = [("a", "b"), ("a|b",), ('a","b',)]
+    specs = [[quality.InputColumn("c", quality.CATEGORICAL, False, v)] for v in lists]
+    assert len({registry.schema_hash(spark, s) for s in specs}) == 3
+
+
+def test_parameters_are_compared_by_value(spark):
+    def frame(**values):
+        return training.parameter_frame(spark, values)
+
+    selection.require_equal_parameters(frame(a=1, b=0.5), frame(a=1.0, b=0.50))
+    for other in (frame(a=True, b=0.5), frame(a=2, b=0.5), frame(a=1)):
+        with pytest.raises(ValueError):
+            selection.require_equal_parameters(frame(a=1, b=0.5), other)
+
+
+def test_more_labels_and_classes_than_any_limit(spark):
+    df = spark.range(7_000).selectExpr("CAST(id AS STRING) AS id", "CAST(id % 70 AS INT) AS label")
+    parts = sampling.stratified_split(df, "id", "label", 0.2).groupBy("label", "part").count()
+    assert {(r.part, r["count"]) for r in parts.collect()} == {("test", 20), ("train", 80)}
+    folds = sampling.stratified_folds(df, "id", "label", 5).groupBy("label", "fold").count()
+    assert {r["count"] for r in folds.collect()} == {20}
+    wide = spark.range(4_500).selectExpr("CAST(id % 1500 AS STRING) AS c", "id AS v")
+    bins = profile.histogram(wide, "v", 3, "c").groupBy("class").sum("n_rows").collect()
+    assert len(bins) == 1500 and {r[1] for r in bins} == {3}
+    many = spark.range(5_000).selectExpr("concat('v', id) AS c")
+    assert len(encoding.fit_categories(many, ["c"])["c"]) == 5000
+
+
 def test_dominance(spark):
     def evaluation(rows):
         return spark.createDataFrame(

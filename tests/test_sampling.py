@@ -73,12 +73,6 @@ def test_too_few_rows_for_the_folds(spark):
         sampling.stratified_folds(df, "id", "y", 5)
 
 
-def test_an_id_is_not_a_label(spark):
-    df = spark.range(200).selectExpr("CAST(id AS STRING) AS id", "id AS y")
-    with pytest.raises(ValueError, match="not a class label"):
-        sampling.stratified_split(df, "id", "y")
-
-
 def test_rows_without_a_label_are_an_error(spark):
     df = spark.createDataFrame([("a", True), ("b", None)], "id STRING, y BOOLEAN")
     with pytest.raises(ValueError, match="without a label"):
