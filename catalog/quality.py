@@ -13,27 +13,27 @@ from tenura.operators.quality import BOOLEAN, CATEGORICAL, DECIMAL, INTEGER, Inp
 
 ID = "customer_id"
 SPECS = [
-    InputColumn("flag", BOOLEAN),
-    InputColumn("count", INTEGER),
-    InputColumn("amount", DECIMAL),
-    InputColumn("plan", CATEGORICAL, allowed=("Basic", "Premium")),
-    InputColumn("extra_service", CATEGORICAL, True, ("Cable", "DSL"), ("No Extra",)),
+    InputColumn("opted_in", BOOLEAN),
+    InputColumn("visits", INTEGER),
+    InputColumn("balance", DECIMAL),
+    InputColumn("tier", CATEGORICAL, allowed=("Silver", "Gold")),
+    InputColumn("device", CATEGORICAL, True, ("Phone", "Tablet"), ("No Device",)),
 ]
 SPEC = {s.name: s for s in SPECS}
 
 _INPUT = {
-    ID: "CASE WHEN k % 997 = 5 THEN NULL WHEN k % 997 = 6 THEN '  ' WHEN k % 997 = 7 THEN 'C1' "
-    "ELSE concat('C', CAST(k AS {text})) END",
-    "flag": "CAST(CASE WHEN k % 499 = 1 THEN 2 WHEN k % 499 = 2 THEN NULL ELSE k % 2 END AS {int})",
-    "count": "CASE WHEN k % 601 = 1 THEN o_custkey + CAST(0.5 AS DOUBLE) "
+    ID: "CASE WHEN k % 997 = 5 THEN NULL WHEN k % 997 = 6 THEN '  ' WHEN k % 997 = 7 THEN 'K1' "
+    "ELSE concat('K', CAST(k AS {text})) END",
+    "opted_in": "CAST(CASE WHEN k % 499 = 1 THEN 2 WHEN k % 499 = 2 THEN NULL ELSE k % 2 END AS {int})",
+    "visits": "CASE WHEN k % 601 = 1 THEN o_custkey + CAST(0.5 AS DOUBLE) "
     "WHEN k % 601 = 2 THEN CAST('NaN' AS DOUBLE) "
     "WHEN k % 601 = 3 THEN CAST('Infinity' AS DOUBLE) ELSE CAST(o_custkey AS DOUBLE) END",
-    "amount": "CASE WHEN k % 701 = 1 THEN NULL WHEN k % 701 = 2 THEN CAST('-Infinity' AS DOUBLE) "
+    "balance": "CASE WHEN k % 701 = 1 THEN NULL WHEN k % 701 = 2 THEN CAST('-Infinity' AS DOUBLE) "
     "ELSE o_totalprice END",
-    "plan": "CASE WHEN k % 809 = 1 THEN 'Gold' WHEN k % 809 = 2 THEN NULL WHEN k % 2 = 0 "
-    "THEN 'Basic' ELSE 'Premium' END",
-    "extra_service": "CASE WHEN k % 907 = 1 THEN 'No Extra' WHEN k % 907 = 2 THEN 'Satellite' "
-    "WHEN k % 3 = 0 THEN NULL WHEN k % 3 = 1 THEN 'Cable' ELSE 'DSL' END",
+    "tier": "CASE WHEN k % 809 = 1 THEN 'Bronze' WHEN k % 809 = 2 THEN NULL WHEN k % 2 = 0 "
+    "THEN 'Silver' ELSE 'Gold' END",
+    "device": "CASE WHEN k % 907 = 1 THEN 'No Device' WHEN k % 907 = 2 THEN 'Laptop' "
+    "WHEN k % 3 = 0 THEN NULL WHEN k % 3 = 1 THEN 'Phone' ELSE 'Tablet' END",
 }
 _ORDERS = "(SELECT *, o_orderkey AS k FROM orders)"
 INPUT_SQL = "input AS (SELECT " + ", ".join(
@@ -52,11 +52,11 @@ def typed_input(spark, sf_dir):
     """The same table with columns of the wrong types."""
     wrong = {
         ID: "k",
-        "flag": "CAST(k % 2 AS STRING)",
-        "count": "CAST(o_custkey AS STRING)",
-        "amount": "o_totalprice > 1000",
-        "plan": "k % 2",
-        "extra_service": "IF(k % 3 = 0, NULL, o_totalprice)",
+        "opted_in": "CAST(k % 2 AS STRING)",
+        "visits": "CAST(o_custkey AS STRING)",
+        "balance": "o_totalprice > 1000",
+        "tier": "k % 2",
+        "device": "IF(k % 3 = 0, NULL, o_totalprice)",
     }
     orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "k")
     return orders.selectExpr(*[f"{e} AS `{c}`" for c, e in wrong.items()])
@@ -70,17 +70,17 @@ def _offending(rule, column, where, id_sql=ID):
 _WHERE = {
     ("id_missing", ID): f"{ID} IS NULL",
     ("id_blank", ID): f"trim({ID}) = ''",
-    ("null_not_allowed", "flag"): "flag IS NULL",
-    ("bad_boolean", "flag"): "flag NOT IN (0, 1)",
-    ("nan", "count"): 'isnan("count")',
-    ("infinite", "count"): 'isinf("count")',
-    ("not_whole", "count"): 'NOT isnan("count") AND NOT isinf("count") AND "count" <> floor("count")',
-    ("null_not_allowed", "amount"): "amount IS NULL",
-    ("infinite", "amount"): "isinf(amount)",
-    ("null_not_allowed", "plan"): "plan IS NULL",
-    ("unseen_category", "plan"): "plan NOT IN ('Basic', 'Premium')",
-    ("sentinel", "extra_service"): "extra_service = 'No Extra'",
-    ("unseen_category", "extra_service"): "extra_service NOT IN ('Cable', 'DSL', 'No Extra')",
+    ("null_not_allowed", "opted_in"): "opted_in IS NULL",
+    ("bad_boolean", "opted_in"): "opted_in NOT IN (0, 1)",
+    ("nan", "visits"): 'isnan("visits")',
+    ("infinite", "visits"): 'isinf("visits")',
+    ("not_whole", "visits"): 'NOT isnan("visits") AND NOT isinf("visits") AND "visits" <> floor("visits")',
+    ("null_not_allowed", "balance"): "balance IS NULL",
+    ("infinite", "balance"): "isinf(balance)",
+    ("null_not_allowed", "tier"): "tier IS NULL",
+    ("unseen_category", "tier"): "tier NOT IN ('Silver', 'Gold')",
+    ("sentinel", "device"): "device = 'No Device'",
+    ("unseen_category", "device"): "device NOT IN ('Phone', 'Tablet', 'No Device')",
 }
 _DUPLICATE = f"""SELECT 'id_duplicate' AS rule, '{ID}' AS "column",
   CAST(sum(n) AS BIGINT) AS offending, min({ID}) AS first_id
@@ -103,25 +103,25 @@ def _rule_query(name, rule, columns):
 
 _rule_query("dq_id_missing", "id_missing", [ID])
 _rule_query("dq_id_blank", "id_blank", [ID])
-_rule_query("dq_null_not_allowed", "null_not_allowed", ["flag", "amount", "plan"])
-_rule_query("dq_nan", "nan", ["count"])
-_rule_query("dq_infinite", "infinite", ["count", "amount"])
-_rule_query("dq_sentinel", "sentinel", ["extra_service"])
-_rule_query("dq_unseen_category", "unseen_category", ["plan", "extra_service"])
-_rule_query("dq_not_whole", "not_whole", ["count"])
-_rule_query("dq_bool_domain", "bad_boolean", ["flag"])
+_rule_query("dq_null_not_allowed", "null_not_allowed", ["opted_in", "balance", "tier"])
+_rule_query("dq_nan", "nan", ["visits"])
+_rule_query("dq_infinite", "infinite", ["visits", "balance"])
+_rule_query("dq_sentinel", "sentinel", ["device"])
+_rule_query("dq_unseen_category", "unseen_category", ["tier", "device"])
+_rule_query("dq_not_whole", "not_whole", ["visits"])
+_rule_query("dq_bool_domain", "bad_boolean", ["opted_in"])
 
 
 @query(
     "dq_columns",
     """SELECT rule, "column", count(*) AS n_rows FROM orders, (VALUES
-  ('missing_column', 'plan'), ('extra_column', 'is_voluntary_churn'),
-  ('duplicate_column', 'amount')) AS p(rule, "column") GROUP BY ALL""",
+  ('missing_column', 'tier'), ('extra_column', 'is_voluntary_churn'),
+  ('duplicate_column', 'balance')) AS p(rule, "column") GROUP BY ALL""",
 )
 def dq_columns(spark, sf_dir):
     df = scoring_input(spark, sf_dir)
     wrong = df.select(
-        ID, "count", "flag", "amount", "amount", "extra_service", F.lit(True).alias("is_voluntary_churn")
+        ID, "visits", "opted_in", "balance", "balance", "device", F.lit(True).alias("is_voluntary_churn")
     )
     problems = quality.column_problems(wrong.columns, [ID, *SPEC])
     rows = [F.struct(F.lit(r).alias("rule"), F.lit(c).alias("column")) for r, c in problems]
@@ -160,7 +160,7 @@ def dq_report(spark, sf_dir):
   true AS is_first FROM orders WHERE o_totalprice < 0 HAVING count(*) = 0""",
 )
 def dq_empty_table(spark, sf_dir):
-    none_left = scoring_input(spark, sf_dir).where("amount < 0 AND amount > -1e300")
+    none_left = scoring_input(spark, sf_dir).where("balance < 0 AND balance > -1e300")
     return quality.report(none_left, ID, SPECS)
 
 
@@ -185,13 +185,13 @@ def _typed_sql(rule, column, where="true"):
 
 @query(
     "dq_category_not_text",
-    _typed_sql("category_not_text", "plan")
+    _typed_sql("category_not_text", "tier")
     + " UNION ALL "
-    + _typed_sql("category_not_text", "extra_service", "o_orderkey % 3 <> 0"),
+    + _typed_sql("category_not_text", "device", "o_orderkey % 3 <> 0"),
 )
 def dq_category_not_text(spark, sf_dir):
     return quality.value_report(
-        typed_input(spark, sf_dir), ID, [SPEC["plan"], SPEC["extra_service"]]
+        typed_input(spark, sf_dir), ID, [SPEC["tier"], SPEC["device"]]
     ).where("rule = 'category_not_text'")
 
 
@@ -199,15 +199,15 @@ def dq_category_not_text(spark, sf_dir):
     "dq_text_for_number",
     " UNION ALL ".join(
         [
-            _typed_sql("text_for_number", "count"),
-            _typed_sql("bad_boolean", "flag"),
-            _typed_sql("boolean_for_number", "amount"),
+            _typed_sql("text_for_number", "visits"),
+            _typed_sql("bad_boolean", "opted_in"),
+            _typed_sql("boolean_for_number", "balance"),
         ]
     ),
 )
 def dq_text_for_number(spark, sf_dir):
     return quality.value_report(
-        typed_input(spark, sf_dir), ID, [SPEC["flag"], SPEC["count"], SPEC["amount"]]
+        typed_input(spark, sf_dir), ID, [SPEC["opted_in"], SPEC["visits"], SPEC["balance"]]
     ).where("rule <> 'id_not_text'")
 
 

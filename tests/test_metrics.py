@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 from tenura.functions import top_k_count
 from tenura.operators import metrics
 
-Y = [0, 1, 1, 0, 1, 0, 0, 0, 1, 0]
-SCORE = [5, 9, 7, 3, 8, 2, 4, 1, 6, 0]
+Y = [1, 0, 0, 1, 0, 1, 0, 0]
+SCORE = [8, 7, 3, 6, 1, 2, 5, 4]
 
 
 def frame(spark, y, score, candidate="m"):
@@ -15,23 +15,23 @@ def frame(spark, y, score, candidate="m"):
 
 def test_rates_at_half(spark):
     row = metrics.sensitivity(frame(spark, Y, SCORE), [0.5]).first()
-    assert (row.precision, row.lift) == (0.8, 2.0)
-    assert (row.tp, row.fp, row.tn, row.fn) == (4, 1, 5, 0)
-    assert row.recall == 1.0
-    assert row.f1 == pytest.approx(1.6 / 1.8)
+    assert (row.precision, row.lift) == (0.5, pytest.approx(4 / 3))
+    assert (row.tp, row.fp, row.tn, row.fn) == (2, 2, 3, 1)
+    assert row.recall == pytest.approx(2 / 3)
+    assert row.f1 == pytest.approx(4 / 7)
 
 
 def test_order_of_k_is_kept(spark):
-    rows = metrics.sensitivity(frame(spark, Y, SCORE), [0.5, 0.3, 0.8]).orderBy("k_order")
-    assert [r.k_frac for r in rows.collect()] == [0.5, 0.3, 0.8]
+    rows = metrics.sensitivity(frame(spark, Y, SCORE), [0.25, 0.75, 0.5]).orderBy("k_order")
+    assert [r.k_frac for r in rows.collect()] == [0.25, 0.75, 0.5]
 
 
 def test_k_is_at_least_one_row(spark):
-    row = metrics.sensitivity(frame(spark, [1, 0, 0], [5, 1, 2]), [0.1]).first()
+    row = metrics.sensitivity(frame(spark, [0, 1, 0], [2, 7, 4]), [0.2]).first()
     assert (row.k, row.precision) == (1, 1.0)
 
 
-@pytest.mark.parametrize("fraction", [0, -0.1, 1.5, True])
+@pytest.mark.parametrize("fraction", [0, -0.5, 2, True])
 def test_bad_k(spark, fraction):
     with pytest.raises(ValueError):
         metrics.sensitivity(frame(spark, Y, SCORE), [fraction])
@@ -40,13 +40,14 @@ def test_bad_k(spark, fraction):
 @pytest.mark.parametrize(
     ("n", "fraction", "k"),
     [
-        (1408, 0.10, 141),
-        (5629, 0.10, 563),
-        (25, 0.10, 2),
-        (1, 0.10, 1),
-        (3, 0.10, 1),
-        (10, 1.0, 10),
-        (10, 0.25, 2),
+        (1500, 0.10, 150),
+        (333, 0.10, 33),
+        (35, 0.10, 4),
+        (45, 0.10, 4),
+        (1, 0.20, 1),
+        (2, 0.20, 1),
+        (8, 1.0, 8),
+        (6, 0.25, 2),
     ],
 )
 def test_top_k_count(spark, n, fraction, k):
@@ -54,8 +55,8 @@ def test_top_k_count(spark, n, fraction, k):
 
 
 def test_brier(spark):
-    df = frame(spark, [1, 0, 1, 0], [0.9, 0.1, 0.6, 0.4])
-    assert metrics.evaluate(df, [0.5]).first().brier_score == pytest.approx(0.085)
+    df = frame(spark, [0, 1, 1, 0, 1], [0.2, 0.7, 0.5, 0.1, 1.0])
+    assert metrics.evaluate(df, [0.5]).first().brier_score == pytest.approx(0.078)
 
 
 def test_average_precision_by_hand_with_ties(spark):
@@ -85,7 +86,7 @@ def test_baseline_has_no_delta(spark):
     compared = metrics.compare(metrics.evaluate(both, [0.5]), "base")
     rows = {r.candidate: r for r in compared.collect()}
     assert rows["base"].precision_delta is None
-    assert rows["m"].precision_delta == pytest.approx(0.8 - rows["base"].precision)
+    assert rows["m"].precision_delta == pytest.approx(0.5 - rows["base"].precision)
     lines = {r.candidate: r for r in metrics.comparison_lines(compared).collect()}
     assert lines["base"].lift_delta == "n/a"
     assert lines["m"].precision_delta.startswith("+")
