@@ -140,7 +140,7 @@ MIX_SQL = """
              generate_series(1, m) AS g(j)
     ), counted AS (
         SELECT doc_id, text, lang, source, n_chars,
-               sum(len(list_filter(cs, c -> c <= u)))::INT AS copies
+               sum(len(list_filter(cs, lambda c: c <= u)))::INT AS copies
         FROM uniform GROUP BY ALL
     )
     SELECT doc_id, text, lang, source, n_chars, copy::INT AS copy,
