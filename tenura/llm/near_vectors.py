@@ -26,7 +26,7 @@ from tenura.llm.frames import column, forget, written
 
 #: Vectors in a block.
 BLOCK = 4096
-#: Centres of the top net at most, and the sample of vectors they are chosen from.
+#: Centres of the top net at most, and about how many vectors they are chosen from.
 CENTRES, SAMPLE = 64, 2048
 #: Halving radii of the nets inside a block, as chords.
 RADII = (1.0, 0.5, 0.25, 0.125, 0.0625)
@@ -289,10 +289,12 @@ def _join(cosine: float):
 
 def _centres(vectors: DataFrame) -> np.ndarray:
     """A net over a bounded sample: each centre the furthest from those before it."""
-    rows = vectors.orderBy(F.xxhash64("rep")).limit(SAMPLE).select("vector").collect()
+    total = vectors.count()
+    every = F.pmod(F.xxhash64("rep"), F.lit(max(1, total // SAMPLE))) == 0
+    rows = vectors.where(every).orderBy("rep").select("vector").collect() or vectors.take(1)
     unit = _matrix(pa.array([list(r["vector"]) for r in rows], pa.list_(pa.float64())))
     chosen, nearest = [0], unit @ unit[0]
-    wanted = min(CENTRES, max(1, len(unit)), max(1, vectors.count() // (8 * BLOCK)))
+    wanted = min(CENTRES, max(1, len(unit)), max(1, total // (8 * BLOCK)))
     while len(chosen) < wanted and nearest.min() < 1 - RADII[-1] ** 2 / 2:
         chosen.append(int(nearest.argmin()))
         nearest = np.maximum(nearest, unit @ unit[chosen[-1]])
