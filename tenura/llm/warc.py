@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from tenura.llm.frames import column, file_system, publish, shared_uri, written
 
 REVISIT_BYTES = 1000
-#: The dictionary is fitted on this many whole payloads at most, none longer than the next number.
+#: The dictionary is fitted on about this many distinct whole payloads (one in so many by a hash, at
+#: most twice the number), none longer than the next number.
 SAMPLES, SAMPLE_BYTES = 400, 1 << 16
 DICTIONARY_BYTES = 112_640
 #: A file is closed when it holds this many bytes.
@@ -181,9 +182,13 @@ def write_archives(
         .where("n > 1 AND last IS NOT NULL")
         .select("digest", "last")
     )
-    samples = rows.where(size.between(1, SAMPLE_BYTES)).select("digest", "html")
-    samples = samples.orderBy("digest").limit(SAMPLES).collect()
-    dictionary = fit_dictionary([r["html"].encode() for r in samples]) if samples else b""
+    every = max(1, pages.count() // SAMPLES)
+    chosen = rows.where(size.between(1, SAMPLE_BYTES)).where(
+        F.pmod(F.xxhash64("digest"), F.lit(every)) == 0
+    )
+    samples = chosen.groupBy("digest").agg(F.min("html").alias("html")).collect()
+    samples = [r["html"].encode() for r in sorted(samples)[: 2 * SAMPLES]]
+    dictionary = fit_dictionary(samples) if samples else b""
     linked = rows.join(repeated, "digest", "left").select(
         "page_id",
         "url",
