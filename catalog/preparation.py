@@ -569,11 +569,11 @@ encoded AS (SELECT customer_id, part, {listed} FROM split CROSS JOIN fitted)"""
 
 
 @query(
-    "preprocess_model_inputs",
+    "preprocess_pipeline",
     f"WITH {FEATURE_SQL}, {split_sql('feat')}, {_encoded_sql('round({}, 6) + 0.0')} "
     "SELECT * FROM encoded",
 )
-def preprocess_model_inputs(spark, sf_dir):
+def preprocess_pipeline(spark, sf_dir):
     split = split_features(spark, sf_dir)
     model = encoding.fit_preprocessor(split.where("part = 'train'").drop("part"))
     encoded = encoding.assemble(model, split, ["customer_id", "part"])

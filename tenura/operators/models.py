@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, PipelineModel, Transformer
@@ -23,6 +24,7 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from tenura.operators.sampling import stratified_folds
 from tenura.sources.workspace import store
@@ -31,6 +33,7 @@ ID = "customer_id"
 WEIGHT = "weight"
 MARGIN = "rawPrediction"
 PROBABILITY = "probability"
+PARALLEL_FITS = 4  # independent fits that run side by side; one alone leaves cores idle
 MAX_TREE_DEPTH = 30  # Spark's limit; stands for unlimited depth
 
 
@@ -132,9 +135,33 @@ def model_frame(df: DataFrame) -> DataFrame:
     return store(df.repartition(ID).sortWithinPartitions(ID), "model")
 
 
-def class_weights(df: DataFrame, label: str = "label") -> dict[float, float]:
+def in_parallel(tasks: Sequence[Callable], threads: int | None = None) -> list:
+    """Results of independent fits, a few at a time, in the order of the tasks."""
+    with ThreadPool(min(threads or PARALLEL_FITS, max(1, len(tasks)))) as pool:
+        return pool.map(lambda task: task(), [inheritable_thread_target(t) for t in tasks])
+
+
+def label_counts(frame: DataFrame, label: str = "label") -> dict[float, int]:
+    """Rows per class; a label has two, so a third is enough to see that it is none."""
+    return {r[0]: r[1] for r in frame.groupBy(label).count().limit(3).collect()}
+
+
+def fold_counts(frame: DataFrame, folds: int, label: str = "label") -> list[dict[float, int]]:
+    """For every fold the rows per class outside it, all from one aggregation."""
+    rows = frame.groupBy("fold", label).count().collect()
+    out: list[dict[float, int]] = [{} for _ in range(folds)]
+    for f in range(folds):
+        for row in rows:
+            if row[0] != f:
+                out[f][row[1]] = out[f].get(row[1], 0) + row[2]
+    return out
+
+
+def class_weights(
+    df: DataFrame, label: str = "label", counts: dict[float, int] | None = None
+) -> dict[float, float]:
     """Rows over twice the rows of the class, per class."""
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().limit(3).collect()}
+    counts = label_counts(df, label) if counts is None else counts
     if len(counts) != 2:
         raise ValueError(f"{label} must have two classes, got {sorted(counts)}")
     total = sum(counts.values())
@@ -148,10 +175,14 @@ def with_weight(df: DataFrame, weights: dict[float, float], label: str = "label"
     return df.withColumn(WEIGHT, chosen)
 
 
-def fit(candidate: Candidate, frame: DataFrame) -> Model:
-    estimator = candidate.build(frame.count())
+def fit(
+    candidate: Candidate, frame: DataFrame, counts: dict[float, int] | None = None
+) -> Model:
+    """Fit on all rows of ``frame``; ``counts`` are its rows per class, if known."""
+    counts = label_counts(frame) if counts is None else counts
+    estimator = candidate.build(sum(counts.values()))
     if candidate.balanced:
-        frame = with_weight(frame, class_weights(frame))
+        frame = with_weight(frame, class_weights(frame, counts=counts))
         estimator = estimator.setWeightCol(WEIGHT)
     return estimator.fit(frame)
 
@@ -231,11 +262,16 @@ def fit_calibrated(candidate: Candidate, frame: DataFrame, folds: int) -> Pipeli
 
     The result averages the calibrated models; nothing is fitted on all rows.
     """
-    stages, vectors, slopes, intercepts = [], [], [], []
-    for f in range(folds):
-        model = fit(candidate, frame.where(F.col("fold") != f))
+    counts = fold_counts(frame, folds)
+
+    def one(f: int):
+        model = fit(candidate, frame.where(F.col("fold") != f), counts[f])
         held_out = predict(model, frame.where(F.col("fold") == f), ["label"], candidate.score)
-        sigmoid = fit_sigmoid(held_out)
+        return model, fit_sigmoid(held_out)
+
+    stages, vectors, slopes, intercepts = [], [], [], []
+    fitted = in_parallel([partial(one, f) for f in range(folds)])
+    for f, (model, sigmoid) in enumerate(fitted):
         model.setRawPredictionCol(f"_raw_{f}").setProbabilityCol(f"_prob_{f}")
         model.setPredictionCol(f"_pred_{f}")
         stages.append(model)
@@ -262,18 +298,22 @@ def out_of_fold_scores(
     With ``inner_folds`` the model of each fold is a calibrated ensemble.
     """
     keep = [ID, "fold", F.col("label").cast("int").alias("y")]
-    parts = []
-    for f in range(folds):
+    counts = fold_counts(frame, folds)
+
+    def one(f: int) -> DataFrame:
         train, held_out = frame.where(F.col("fold") != f), frame.where(F.col("fold") == f)
         if inner_folds:
             inner = stratified_folds(
                 train.withColumnRenamed("fold", "outer_fold"), ID, "label", inner_folds, seed
             )
-            model = fit_calibrated(candidate, inner, inner_folds)
-            parts.append(calibrated_scores(model, held_out, keep))
-        else:
-            parts.append(predict(fit(candidate, train), held_out, keep))
-    return reduce(DataFrame.unionByName, parts)
+            return calibrated_scores(fit_calibrated(candidate, inner, inner_folds), held_out, keep)
+        return predict(fit(candidate, train, counts[f]), held_out, keep)
+
+    # Each calibrated model fits its own folds side by side already.
+    threads = 1 if inner_folds else None
+    return reduce(
+        DataFrame.unionByName, in_parallel([partial(one, f) for f in range(folds)], threads)
+    )
 
 
 def fixed_logistic_score(coefficients: dict[str, float], intercept: float) -> Column:
