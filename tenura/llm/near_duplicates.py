@@ -4,8 +4,9 @@ A document is the set of its distinct word shingles. Every document carries ``PL
 tokens of its set. A node of a tree holds the documents that share the tokens chosen on the way
 to it; the node's name alone decides which one or two tokens are chosen next (1/threshold on
 average, so a pair at the threshold keeps one common path per level). Nodes of at most ``LEAF``
-documents are compared exhaustively on full sets; larger ones are compared in random blocks and
-branch. Independent trees, taken in ``ROUNDS``, raise the recall. Equal sets are one class from the
+documents are compared exhaustively on full sets. A larger one in which most documents are linked
+already is compared exhaustively too, its few others against all in blocks; the rest are compared
+in random blocks and branch. Independent trees, taken in ``ROUNDS``, raise the recall. Equal sets are one class from the
 start, and a node whose documents are linked already is done, so a large group is not compared
 again and again.
 """
@@ -276,7 +277,7 @@ def near_duplicates(
         classes, [*sets, "rep"], "left_semi"
     )
     tokens, token_path = written(
-        tokens.dropDuplicates(["rep"]).select("rep", "n_shingles", "tokens", *_NODES), "tokens"
+        tokens.select("rep", "n_shingles", "tokens", *_NODES), "tokens"
     )
     labels, paths = _tree_labels(spark, tokens, texts, width, percent, seed)
     of_class = classes.join(labels, "rep", "left").select(
@@ -327,7 +328,7 @@ def _tree_labels(spark, tokens, texts, width, percent, seed):
                 forget(spark, label_path)
                 labels, label_path = better, better_path
             forget(spark, found_path)
-            large = rows.where("blocks > 1")
+            large = rows.where("NOT whole")
             if large.isEmpty():
                 break
             rows = (
@@ -340,44 +341,66 @@ def _tree_labels(spark, tokens, texts, width, percent, seed):
 
 
 def _dealt(rows: DataFrame, depth: int) -> DataFrame:
-    """Rows with the block that compares them: a random one, at the last depth all pairs of them."""
+    """Rows with the block that compares them.
+
+    In a node compared whole, documents of the commonest label get one block and all others every
+    block. Else the block is random, and at the last depth every pair of blocks is one.
+    """
     own = F.pmod(F.xxhash64("rep", F.lit(depth)), "blocks").cast("int")
-    dealt = rows.select("node", "rep", "label", "blocks", own.alias("own"))
-    block = F.col("own")
-    if depth == LAST_DEPTH:
-        pairs = (
-            "transform(sequence(0, blocks - 1), "
-            "other -> least(own, other) * blocks + greatest(own, other))"
-        )
-        block = F.explode(F.expr(pairs))
-    return dealt.select("node", "rep", "label", block.alias("block"))
+    dealt = rows.select("node", "rep", "label", "blocks", "whole", "major", own.alias("own"))
+    every = "sequence(0, blocks - 1)"
+    pairs = f"transform({every}, other -> least(own, other) * blocks + greatest(own, other))"
+    apart = pairs if depth == LAST_DEPTH else "array(own)"
+    blocks = f"IF(whole, IF(blocks > 1 AND label <> major, {every}, array(own)), {apart})"
+    return dealt.select("node", "rep", "label", F.explode(F.expr(blocks)).alias("block"))
 
 
 def _open(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """``node, rep, n_shingles, label, blocks`` of nodes that hold two components or more.
+    """``node, rep, n_shingles, label, blocks, whole, major`` of nodes with two components or more.
 
     Of nodes with equal members one stays. ``blocks`` is the number of parts of a node that one
-    task can compare; small nodes have one.
+    task can compare, ``major`` its commonest label. A node is compared ``whole`` when the
+    documents of other labels fit into half a block, or all into one.
     """
-    rows = (
-        rows.distinct()
-        .join(labels, "rep", "left")
-        .select("node", "rep", "n_shingles", F.coalesce("label", "rep").alias("label"))
+    rows = rows.join(labels, "rep", "left").select(
+        "node", "rep", "n_shingles", F.coalesce("label", "rep").alias("label")
+    )
+    scrambled = F.xxhash64("rep")
+    per_label = rows.groupBy("node", "label").agg(
+        F.count("*").alias("n"),
+        F.sum("n_shingles").alias("mass"),
+        F.sum(scrambled.bitwiseAND(F.lit(0xFFFFFFFF))).alias("x"),
+        F.sum(F.shiftrightunsigned(scrambled, 32)).alias("y"),
+    )
+    share = F.greatest(F.col("size") / LEAF, F.col("mass") / LEAF_SHINGLES)
+    others = F.greatest(
+        (F.col("size") - F.col("most")) / LEAF, (F.col("mass") - F.col("most_mass")) / LEAF_SHINGLES
     )
-    parts = F.greatest(F.col("size") / LEAF, F.col("mass") / LEAF_SHINGLES)
     nodes = (
-        rows.groupBy("node")
+        per_label.groupBy("node")
         .agg(
-            F.count("*").alias("size"),
-            F.sum("n_shingles").alias("mass"),
-            F.min("label").alias("low"),
-            F.max("label").alias("high"),
-            F.bit_xor(F.xxhash64("rep")).alias("x"),
-            F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y"),
+            F.sum("n").alias("size"),
+            F.sum("mass").alias("mass"),
+            F.max("n").alias("most"),
+            F.max_by("mass", "n").alias("most_mass"),
+            F.max_by("label", "n").alias("major"),
+            F.count("*").alias("labels"),
+            F.sum("x").alias("x"),
+            F.sum("y").alias("y"),
         )
-        .where("low < high")
+        .where("labels > 1")
+        .withColumn("share", share)
+        .withColumn("others", others)
         .groupBy("size", "mass", "x", "y")
-        .agg(F.min("node").alias("node"))
-        .select("node", F.ceil(parts).cast("int").alias("blocks"))
+        .agg(F.min_by(F.struct("node", "share", "others", "major"), "node").alias("kept"))
+        .select("kept.*")
+        .withColumn("whole", (F.col("share") <= 1) | (F.col("others") <= 0.5))
+    )
+    # A block of a node compared whole also holds all documents of the other labels.
+    room = F.when(F.col("whole") & (F.col("share") > 1), 1 - F.col("others")).otherwise(1.0)
+    nodes = nodes.select(
+        "node", "major", "whole", F.ceil(F.col("share") / room).cast("int").alias("blocks")
+    )
+    return rows.join(nodes, "node").select(
+        "node", "rep", "n_shingles", "label", "blocks", "whole", "major"
     )
-    return rows.join(nodes, "node").select("node", "rep", "n_shingles", "label", "blocks")
