@@ -106,7 +106,7 @@ class TextEncoder:
     """
 
     #: Distinct pieces held, about 50 bytes each, before the encoder starts anew.
-    HELD = 3_000_000
+    HELD = 800_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -244,7 +244,7 @@ def _write(vocabulary: str, end_id: int, folder: str):
             )
 
         for batch in batches:
-            for piece in pieces(batch, "text", 1 << 22):
+            for piece in pieces(batch, "text"):
                 own, counts = encoder(column(piece, "text"))
                 docs += column(piece, "doc_id").to_pylist()
                 lengths.append(counts + 1)
