@@ -285,6 +285,23 @@ def test_passages_are_found_and_nothing_else(spark):
     assert fuzzy.fuzzy_passages(df.limit(0)).count() == 0
 
 
+def spans_of(spark, texts, doc):
+    """Spans that one document has with earlier ones: start, words, earlier document."""
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts], "doc_id long, text string")
+    rows = fuzzy.fuzzy_passages(df).where(f"doc_id = {doc}").collect()
+    return sorted((r["start"], r["n_words"], r["first_doc_id"]) for r in rows)
+
+
+def test_two_passages_around_own_text_are_both_found(spark):
+    draw = random.Random(7)
+    fresh = lambda n: [f"o{draw.getrandbits(48)}" for _ in range(n)]
+    for size, between in ((60, 100), (200, 150), (200, 1000)):
+        head, foot = fresh(size), fresh(size)
+        texts = [(i, head + fresh(between) + foot) for i in (1, 2)]
+        wanted = [(0, size, 1), (size + between, size, 1)]
+        assert spans_of(spark, texts, 2) == wanted
+
+
 def test_pipeline_stages_against_their_inputs(spark, sf_dir):
     import corpus_pipeline
     from test_near_duplicates import expected
