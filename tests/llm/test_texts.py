@@ -302,6 +302,18 @@ def test_two_passages_around_own_text_are_both_found(spark):
         assert spans_of(spark, texts, 2) == wanted
 
 
+def test_every_place_of_a_passage_is_reported(spark):
+    draw = random.Random(9)
+    fresh = lambda n: [f"o{draw.getrandbits(48)}" for _ in range(n)]
+    passage = fresh(60)
+    twice = fresh(80) + passage + fresh(300) + passage + fresh(20)
+    assert spans_of(spark, [(1, fresh(30) + passage), (2, twice)], 2) == [(80, 60, 1), (440, 60, 1)]
+    lines = [passage[i : i + 12] for i in range(0, 60, 12)]
+    apart = lambda some: [w for line in some for w in line + fresh(90)]
+    texts = [(1, apart(lines[::-1]) + passage + fresh(9)), (2, apart(lines[::-1]) + passage)]
+    assert spans_of(spark, texts, 2) == [(510, 60, 1)]
+
+
 def test_pipeline_stages_against_their_inputs(spark, sf_dir):
     import corpus_pipeline
     from test_near_duplicates import expected
