@@ -314,6 +314,17 @@ def test_every_place_of_a_passage_is_reported(spark):
     assert spans_of(spark, texts, 2) == [(510, 60, 1)]
 
 
+def test_passages_with_many_words_changed_are_found(spark):
+    draw = random.Random(10)
+    fresh = lambda n: [f"o{draw.getrandbits(48)}" for _ in range(n)]
+    for every in (6, 7, 10):
+        passage = fresh(60)
+        other = [w if i % every != every - 1 else f"x{i}" for i, w in enumerate(passage)]
+        texts = [(1, fresh(70) + passage + fresh(40)), (2, fresh(20) + other + fresh(90))]
+        ((start, size, first),) = spans_of(spark, texts, 2)
+        assert start == 20 and 55 <= size <= 60 and first == 1
+
+
 def test_pipeline_stages_against_their_inputs(spark, sf_dir):
     import corpus_pipeline
     from test_near_duplicates import expected
