@@ -325,6 +325,20 @@ def test_passages_with_many_words_changed_are_found(spark):
         assert start == 20 and 55 <= size <= 60 and first == 1
 
 
+def test_passages_are_found_behind_other_documents_of_their_seeds(spark):
+    draw = random.Random(11)
+    fresh = lambda n: [f"o{draw.getrandbits(48)}" for _ in range(n)]
+    passage = fresh(60)
+    halves = [(1, fresh(40) + passage[:30]), (2, passage[30:] + fresh(40))]
+    both = [(i, fresh(10 * i) + passage + fresh(30)) for i in (3, 4, 5)]
+    for doc in (4, 5):
+        assert spans_of(spark, halves + both, doc) == [(10 * doc, 60, 3)]
+    lines = [passage[i : i + 12] for i in range(0, 60, 12)]
+    early = [(i, fresh(60) + lines[i % 5] + fresh(60)) for i in range(1, 21)]
+    both = [(i, fresh(25) + passage + fresh(30)) for i in (30, 31)]
+    assert spans_of(spark, early + both, 31) == [(25, 60, 30)]
+
+
 def test_pipeline_stages_against_their_inputs(spark, sf_dir):
     import corpus_pipeline
     from test_near_duplicates import expected
