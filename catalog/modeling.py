@@ -179,7 +179,7 @@ def compare_out_of_fold(spark, sf_dir):
 def tuning_evidence(spark, sf_dir):
     """Score spread and plateau of a real search."""
     found = tuning.search(
-        prepared(spark, sf_dir).frame, DRAW_LOGISTIC, budget=3, folds=FOLDS
+        prepared(spark, sf_dir).frame, DRAW_LOGISTIC, budget=30, folds=FOLDS
     )
     evidence = selection.search_evidence(found.results)
     plateau = selection.search_plateau(found.results)

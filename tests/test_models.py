@@ -329,3 +329,18 @@ def test_training_metrics_reject_incomplete_scores(spark):
     with pytest.raises(ValueError, match="pair up"):
         training.training_metrics(df)
     assert metrics.DEFAULT_K == 0.10
+
+
+def test_tuning_evidence_draws_the_whole_budget(monkeypatch, spark, sf_dir):
+    from catalog import modeling
+
+    class Asked(Exception):
+        pass
+
+    def search(frame, draw, budget, folds):
+        raise Asked(budget)
+
+    monkeypatch.setattr(modeling.tuning, "search", search)
+    with pytest.raises(Asked) as asked:
+        modeling.tuning_evidence(spark, sf_dir)
+    assert asked.value.args == (30,)
