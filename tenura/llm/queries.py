@@ -11,6 +11,7 @@ from tenura.llm.fuzzy_passages import fuzzy_passages
 from tenura.llm.near_duplicates import near_duplicates
 from tenura.llm.near_vectors import near_vectors
 from tenura.llm.periodic_runs import periodic_runs, run_digests, with_planted_periods
+from tenura.llm.ranked_search import SEARCH_SQL, ranked_search
 from tenura.llm.sharding import shard_documents
 from tenura.llm.site_quality import site_quality
 from tenura.llm.token_files import read_token_files, write_token_files
@@ -75,6 +76,10 @@ def op10_fuzzy_passages(spark, sf_dir):
     return fuzzy_passages(_table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark, sf_dir):
+    return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op13_periodic_runs(spark, sf_dir):
     documents = with_planted_periods(_table(spark, sf_dir, "documents"))
     return run_digests(periodic_runs(documents))
@@ -91,7 +96,8 @@ QUERIES = {
     "op8_minimax_shards": op8_minimax_shards,
     "op9_toxicity": op9_toxicity,
     "op10_fuzzy_passages": op10_fuzzy_passages,
+    "op11_ranked_search": op11_ranked_search,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
-ORACLES = {"op7_poisson_mix": mixing.MIX_SQL}
+ORACLES = {"op7_poisson_mix": mixing.MIX_SQL, "op11_ranked_search": SEARCH_SQL}
