@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tenura.llm import mixing
 from tenura.llm.decontamination import find_contamination
 from tenura.llm.fuzzy_passages import fuzzy_passages
+from tenura.llm.maxent import maxent_scores
 from tenura.llm.near_duplicates import near_duplicates
 from tenura.llm.near_vectors import near_vectors
 from tenura.llm.periodic_runs import periodic_runs, run_digests, with_planted_periods
@@ -80,6 +81,10 @@ def op11_ranked_search(spark, sf_dir):
     return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_maxent_scores(spark, sf_dir):
+    return maxent_scores(_table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark, sf_dir):
     documents = with_planted_periods(_table(spark, sf_dir, "documents"))
     return run_digests(periodic_runs(documents))
@@ -97,6 +102,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_fuzzy_passages": op10_fuzzy_passages,
     "op11_ranked_search": op11_ranked_search,
+    "op12_maxent_scores": op12_maxent_scores,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
