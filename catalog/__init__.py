@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["preparation", "profiles", "ranking", "quality", "sampling", "modeling", "outputs"]
+_MODULES = [
+    "preparation", "profiles", "ranking", "quality", "sampling", "modeling", "fitted", "outputs"
+]
 
 
 def load():

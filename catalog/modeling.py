@@ -7,11 +7,11 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
-from catalog.preparation import INPUTS, features, kind, schema_sql
+from catalog.preparation import FEATURES, INPUTS, encoded_sql, features, kind, schema_sql
 from catalog.registry import query, r6
 from catalog.sql import FEATURE_SQL, TARGET_SQL, print_sql, split_sql, sums_sql
 from tenura.functions import run_id_of
-from tenura.operators import encoding, metrics, models, quality, sampling, selection, tuning
+from tenura.operators import encoding, metrics, models, nodes, quality, sampling, selection, tuning
 from tenura.plans import scoring, training
 from tenura.plans.prepare import ID
 from tenura.sources import outputs, registry
@@ -59,18 +59,66 @@ def fixed_logistic_score(spark, sf_dir):
     return features(spark, sf_dir).select(ID, r6(score).alias("score"))
 
 
-def _fit_and_score(candidate):
+#: Added before means are rounded to three places, so that no share of a few thousand rows lies on the edge.
+SHIFT = 0.000123456
+
+
+def r3(column):
+    return F.round(F.col(column) + F.lit(SHIFT), 3) + F.lit(0.0)
+
+
+def _moments_sql() -> str:
+    cells = ["{'feature': '(intercept)', 'observed': avg(y)}"]
+    cells += [
+        f"{{'feature': '{name}', 'observed': avg(f{i:02d} * y)}}"
+        for i, name in enumerate(FEATURES, start=1)
+    ]
+    return f"""WITH {FEATURE_SQL}, {split_sql("feat")}, {encoded_sql("({})")},
+own AS (SELECT e.*, CAST(s.is_voluntary_churn AS DOUBLE) AS y FROM encoded e
+  JOIN split s USING (customer_id) WHERE e.part = 'train'),
+moments AS (SELECT unnest([{", ".join(cells)}]) AS m FROM own)
+SELECT m.feature AS feature, round(m.observed + {SHIFT}::DOUBLE, 3) + 0.0 AS observed,
+  round(m.observed + {SHIFT}::DOUBLE, 3) + 0.0 AS fitted FROM moments"""
+
+
+@query("logistic_regression", _moments_sql())
+def logistic_regression(spark, sf_dir):
+    """The fit on all features: at its optimum, the fitted moments are those of the rows."""
+    ready = prepared(spark, sf_dir)
+    model = models.fit(models.logistic_regression(max_iter=1000, tol=1e-12), ready.frame)
+    names = encoding.feature_names(ready.preprocessor)
+    moments = models.first_order(model, ready.frame, 1.0, names)
+    return moments.select("feature", r3("observed").alias("observed"), r3("fitted").alias("fitted"))
+
+
+def _agrees(scored, walked):
+    """Scored rows whose score the walk over the node rows gives as well."""
+    same = (F.abs(F.col("score") - F.col("walked")) < 1e-9).alias("same")
+    walked = walked.select(ID, F.col("score").alias("walked"))
+    return scored.join(walked, ID).select(ID, "label", same)
+
+
+def _label_sql(part: str) -> str:
+    return f"""WITH {TARGET_SQL}, {split_sql("tgt")}
+SELECT customer_id, CAST(is_voluntary_churn AS DOUBLE) AS label, true AS same
+FROM split WHERE part = '{part}'"""
+
+
+def _fit_and_walk(candidate):
+    """Fit on all training rows; their scores by the model and by its node rows."""
+
     def run(spark, sf_dir):
-        ready = prepared(spark, sf_dir)
-        model = models.fit(candidate, ready.frame)
-        return models.predict(model, ready.frame, [ID]).select(ID, r6("score").alias("score"))
+        frame = prepared(spark, sf_dir).frame
+        model = models.fit(candidate, frame)
+        table = nodes.node_table(model)
+        walked = nodes.walk(table, frame, [ID], nodes.is_boosted(model), model.getMaxDepth())
+        return _agrees(models.predict(model, frame, [ID, "label"]), walked)
 
     return run
 
 
-query("logistic_regression")(_fit_and_score(LOGISTIC))
-query("random_forest")(_fit_and_score(FOREST))
-query("boosted_trees")(_fit_and_score(BOOSTED))
+query("random_forest", _label_sql("train"))(_fit_and_walk(FOREST))
+query("boosted_trees", _label_sql("train"))(_fit_and_walk(BOOSTED))
 
 
 @query("predict_probability")
@@ -134,12 +182,15 @@ def platt_calibration(spark, sf_dir):
     )
 
 
-@query("calibrated_ensemble")
+@query("calibrated_ensemble", _label_sql("test"))
 def calibrated_ensemble(spark, sf_dir):
+    """Held-out scores of five calibrated forests, by the models and by their node rows."""
     ready = prepared(spark, sf_dir)
     model = models.fit_calibrated(FOREST, ready.frame, FOLDS)
-    test = encoding.assemble(ready.preprocessor, ready.part("test"), [ID])
-    return models.calibrated_scores(model, test, [ID]).select(ID, r6("score").alias("score"))
+    labelled = ready.part("test").withColumn("label", F.col(encoding.TARGET).cast("double"))
+    test = store(encoding.assemble(ready.preprocessor, labelled, [ID, "label"]), "test")
+    walked = nodes.walk_calibrated(model, test, ID, models.MAX_TREE_DEPTH)
+    return _agrees(models.calibrated_scores(model, test, [ID, "label"]), walked)
 
 
 @query("out_of_fold_scores")
@@ -198,7 +249,7 @@ def holdout_evaluation(spark, sf_dir):
     return evaluation.select("candidate", "k_frac", "k", "tp", *[r6(c).alias(c) for c in values])
 
 
-@query("model_save_load")
+@query("model_save_load", _label_sql("test"))
 def model_save_load(spark, sf_dir):
     """Held-out scores of the model in memory and of the saved and loaded one."""
     ready = prepared(spark, sf_dir)
@@ -206,14 +257,13 @@ def model_save_load(spark, sf_dir):
     whole = PipelineModel(stages=[*ready.preprocessor.stages, *fitted.stages])
     path = new_path(spark, "saved_model")
     whole.write().overwrite().save(path)
-    test = ready.part("test").drop(encoding.TARGET)
+    test = ready.part("test").withColumn("label", F.col(encoding.TARGET).cast("double")).drop(encoding.TARGET)
 
     def scores(model, name):
-        return model.transform(test).select(ID, F.col("churn_probability").alias(name))
+        return model.transform(test).select(ID, "label", F.col("churn_probability").alias(name))
 
-    both = scores(whole, "fitted").join(scores(PipelineModel.load(path), "loaded"), ID)
-    same = (F.col("fitted") == F.col("loaded")).alias("same")
-    return both.select(ID, r6("fitted").alias("fitted"), same)
+    both = scores(whole, "score").join(scores(PipelineModel.load(path), "loaded").drop("label"), ID)
+    return both.select(ID, "label", (F.col("score") == F.col("loaded")).alias("same"))
 
 
 def example_record():

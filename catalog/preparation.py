@@ -21,7 +21,7 @@ from tenura.functions import yes_no
 from tenura.operators import encoding, integrity, profile, quality, sampling
 from tenura.plans import prepare
 from tenura.sources import tables as sources
-from tenura.sources.workspace import new_path, replace_table, store
+from tenura.sources.workspace import new_path, read_table, replace_table, store
 
 
 def features(spark, sf_dir):
@@ -42,7 +42,7 @@ def outcome(spark, sf_dir):
 
 
 def _with(ctes: str, select: str) -> str:
-    return f"WITH {ctes}\n{select}"
+    return f"WITH {ctes}{select}" if select.lstrip().startswith(",") else f"WITH {ctes}\n{select}"
 
 
 _CSV = """
@@ -63,7 +63,10 @@ def scan_csv_typed(spark, sf_dir):
 
 @query("table_materialize", _with(TARGET_SQL, "SELECT * FROM tgt"))
 def table_materialize(spark, sf_dir):
-    return replace_table(outcome(spark, sf_dir), new_path(spark, "target"))
+    """A table that exists is replaced from a plan that reads it."""
+    path, rows = new_path(spark, "target"), outcome(spark, sf_dir)
+    replace_table(rows.where("NOT is_voluntary_churn"), path)
+    return replace_table(read_table(spark, path).unionByName(rows.where("is_voluntary_churn")), path)
 
 
 @query(
@@ -179,21 +182,29 @@ def target_label(spark, sf_dir):
     return outcome(spark, sf_dir)
 
 
-_ALLOWED = ", ".join(prepare.SERVICE_FEATURES)
+_ALLOWED = {
+    "demographics": prepare.DEMOGRAPHIC_FEATURES,
+    "location": prepare.LOCATION_FEATURES,
+    "services": prepare.SERVICE_FEATURES,
+}
 
 
 @query(
     "modeling_allow_list",
     _with(
         TARGET_SQL,
-        f"""SELECT customer_id, is_voluntary_churn, {_ALLOWED}
-FROM tgt JOIN cln_services USING (customer_id)""",
+        f"""SELECT customer_id, is_voluntary_churn, {", ".join(c for cs in _ALLOWED.values() for c in cs)}
+FROM tgt JOIN cln_demographics USING (customer_id) JOIN stg_location USING (customer_id)
+  JOIN cln_services USING (customer_id)""",
     ),
 )
 def modeling_allow_list(spark, sf_dir):
-    services = prepare.cleaned_tables({"services": raw_services(spark, sf_dir)})["services"]
-    allowed = [prepare.ID, prepare.TARGET, *prepare.SERVICE_FEATURES]
-    return outcome(spark, sf_dir).join(services, prepare.ID).select(*allowed)
+    """Of all customer tables the columns that a model may see; the others are never selected."""
+    cleaned = prepare.cleaned_tables(raw_tables(spark, sf_dir))
+    allowed = outcome(spark, sf_dir).select(prepare.ID, prepare.TARGET)
+    for name, columns in _ALLOWED.items():
+        allowed = allowed.join(cleaned[name].select(prepare.ID, *columns), prepare.ID)
+    return allowed
 
 
 @query(
@@ -460,11 +471,37 @@ def sentinel_fill(spark, sf_dir):
     )
 
 
-_HOT = {
+def kind(column):
+    booleans = {c for cs in prepare.YES_NO_COLUMNS.values() for c in cs}
+    booleans |= {
+        "is_month_to_month",
+        "internet_without_security",
+        "no_addons_despite_internet",
+        "is_tenure_censored",
+    }
+    decimals = {
+        "latitude",
+        "longitude",
+        "avg_monthly_long_distance_charges",
+        "monthly_charge",
+        "total_charges",
+        "total_refunds",
+        "total_long_distance_charges",
+        "total_revenue",
+    }
+    if column in encoding.CATEGORICAL_COLUMNS:
+        return "categorical"
+    return "boolean-like" if column in booleans else "decimal" if column in decimals else "integer-like"
+
+
+_LEVELS = {
     "internet_type": ["No Internet", "T0", "T1", "T2"],
+    "offer": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "No Offer"],
+    "gender": ["Female", "Male"],
     "contract": ["Month-to-Month", "One Year", "Two Year"],
     "payment_method": ["Bank Withdrawal", "Credit Card", "Mailed Check"],
 }
+_NUMERIC = [c for c in INPUTS if c not in (prepare.ID, *encoding.CATEGORICAL_COLUMNS)]
 
 
 @query(
@@ -473,82 +510,45 @@ _HOT = {
         FEATURE_SQL + "," + split_sql("feat"),
         "SELECT customer_id, "
         + ", ".join(
-            (
-                f"CAST(coalesce(internet_type, 'No Internet') = '{v}' AS INTEGER) AS \"{c}={v}\""
-                if c == "internet_type"
-                else f"CAST({c} = '{v}' AS INTEGER) AS \"{c}={v}\""
-            )
-            for c, vs in _HOT.items()
+            f"CAST(coalesce({c}, '{encoding.SENTINELS.get(c, '')}') = '{v}' AS INTEGER) AS \"{c}={v}\""
+            for c, vs in _LEVELS.items()
             for v in vs
         )
         + " FROM split",
     ),
 )
 def one_hot(spark, sf_dir):
-    split = split_features(spark, sf_dir, _HOT)
+    split = split_features(spark, sf_dir, list(_LEVELS))
     filled = encoding.fill_sentinels(split)
-    categories = encoding.fit_categories(filled.where("part = 'train'"), list(_HOT))
+    categories = encoding.fit_categories(filled.where("part = 'train'"), list(_LEVELS))
     return encoding.one_hot(filled, categories, ["customer_id"])
 
 
-_SCALED = ["age", "tenure_in_months", "monthly_charge", "total_charges", "under_30"]
-
-
 @query(
     "standard_scale",
     _with(
         FEATURE_SQL + "," + split_sql("feat"),
-        "SELECT customer_id, "
+        ", fitted AS (SELECT "
         + ", ".join(
-            f"round((CAST({c} AS DOUBLE) - (SELECT avg(CAST({c} AS DOUBLE)) FROM split "
-            f"WHERE part = 'train')) / (SELECT stddev_pop(CAST({c} AS DOUBLE)) FROM split "
-            f"WHERE part = 'train'), 6) + 0.0 AS {c}"
-            for c in _SCALED
+            f"avg(CAST({c} AS DOUBLE)) AS m_{c}, stddev_pop(CAST({c} AS DOUBLE)) AS s_{c}"
+            for c in _NUMERIC
         )
-        + " FROM split",
+        + " FROM split WHERE part = 'train') SELECT customer_id, "
+        + ", ".join(
+            f"round((CAST({c} AS DOUBLE) - m_{c}) / coalesce(nullif(s_{c}, 0), 1), 6) + 0.0 AS {c}"
+            for c in _NUMERIC
+        )
+        + " FROM split CROSS JOIN fitted",
     ),
 )
 def standard_scale(spark, sf_dir):
-    split = split_features(spark, sf_dir, _SCALED)
-    scaler = encoding.fit_scaler(split.where("part = 'train'"), _SCALED)
+    split = split_features(spark, sf_dir, _NUMERIC)
+    scaler = encoding.fit_scaler(split.where("part = 'train'"), _NUMERIC)
     scaled = encoding.scale(split, scaler, ["customer_id"])
-    return scaled.select("customer_id", *[r6(c).alias(c) for c in _SCALED])
-
-
-def kind(column):
-    booleans = {c for cs in prepare.YES_NO_COLUMNS.values() for c in cs}
-    booleans |= {
-        "is_month_to_month",
-        "internet_without_security",
-        "no_addons_despite_internet",
-        "is_tenure_censored",
-    }
-    decimals = {
-        "latitude",
-        "longitude",
-        "avg_monthly_long_distance_charges",
-        "monthly_charge",
-        "total_charges",
-        "total_refunds",
-        "total_long_distance_charges",
-        "total_revenue",
-    }
-    if column in encoding.CATEGORICAL_COLUMNS:
-        return "categorical"
-    return "boolean-like" if column in booleans else "decimal" if column in decimals else "integer-like"
-
-
-_LEVELS = {
-    "internet_type": ["No Internet", "T0", "T1", "T2"],
-    "offer": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "No Offer"],
-    "gender": ["Female", "Male"],
-    "contract": ["Month-to-Month", "One Year", "Two Year"],
-    "payment_method": ["Bank Withdrawal", "Credit Card", "Mailed Check"],
-}
-_NUMERIC = [c for c in INPUTS if c not in (prepare.ID, *encoding.CATEGORICAL_COLUMNS)]
+    return scaled.select("customer_id", *[r6(c).alias(c) for c in _NUMERIC])
 
 
-def _encoded_sql(number: str) -> str:
+def encoded_sql(number: str) -> str:
     """The encoded inputs as f01, f02, ... in output order; numbers in the given form."""
     cells = [
         f"CAST(coalesce({c}, '{encoding.SENTINELS.get(c, '')}') = '{v}' AS DOUBLE)"
@@ -570,7 +570,7 @@ encoded AS (SELECT customer_id, part, {listed} FROM split CROSS JOIN fitted)"""
 
 @query(
     "preprocess_pipeline",
-    f"WITH {FEATURE_SQL}, {split_sql('feat')}, {_encoded_sql('round({}, 6) + 0.0')} "
+    f"WITH {FEATURE_SQL}, {split_sql('feat')}, {encoded_sql('round({}, 6) + 0.0')} "
     "SELECT * FROM encoded",
 )
 def preprocess_pipeline(spark, sf_dir):
@@ -583,18 +583,18 @@ def preprocess_pipeline(spark, sf_dir):
     return values.selectExpr("customer_id", "part", *cells)
 
 
-_FEATURES = [f"{c}={v}" for c, levels in _LEVELS.items() for v in levels] + _NUMERIC
+FEATURES = [f"{c}={v}" for c, levels in _LEVELS.items() for v in levels] + _NUMERIC
 
 
 def _correlation_sql() -> str:
-    n = len(_FEATURES)
+    n = len(FEATURES)
     cells = ", ".join(
-        f"{{'a': '{_FEATURES[i]}', 'b': '{_FEATURES[j]}', "
+        f"{{'a': '{FEATURES[i]}', 'b': '{FEATURES[j]}', "
         f"'r': corr(f{i + 1:02d}, f{j + 1:02d})}}"
         for i in range(n)
         for j in range(i + 1, n)
     )
-    return f"""WITH {FEATURE_SQL}, {split_sql('feat')}, {_encoded_sql("({})")}
+    return f"""WITH {FEATURE_SQL}, {split_sql('feat')}, {encoded_sql("({})")}
 SELECT p.a AS a, p.b AS b, round(p.r, 6) AS r, abs(p.r) >= 1 - 1e-9 AS exact
 FROM (SELECT unnest([{cells}]) AS p FROM encoded WHERE part = 'train')
 WHERE isfinite(p.r) AND abs(p.r) >= 0.6"""

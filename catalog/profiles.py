@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.preparation import features, outcome
+from catalog.preparation import INPUTS, features, outcome
 from catalog.registry import query, r6
 from catalog.sql import FEATURE_SQL, TARGET_SQL
 from catalog.tables import raw_status, table
-from tenura.operators import integrity, profile
+from tenura.operators import encoding, integrity, profile
 from tenura.plans import prepare
 from tenura.plans.prepare import TARGET
 
@@ -152,8 +152,11 @@ def reach_fraction(spark, sf_dir):
 
 @query(
     "crosstab",
-    """SELECT * FROM (PIVOT (SELECT o_orderpriority, o_orderstatus FROM orders)
-  ON o_orderstatus USING count(*) GROUP BY o_orderpriority)""",
+    """WITH r AS (SELECT DISTINCT o_orderpriority FROM orders),
+c AS (SELECT DISTINCT o_orderstatus FROM orders WHERE o_orderstatus IS NOT NULL)
+SELECT r.o_orderpriority, c.o_orderstatus, (SELECT count(*) FROM orders o
+  WHERE o.o_orderpriority IS NOT DISTINCT FROM r.o_orderpriority AND o.o_orderstatus = c.o_orderstatus) AS n_rows
+FROM r, c""",
 )
 def crosstab(spark, sf_dir):
     return profile.crosstab(table(spark, sf_dir, "orders"), "o_orderpriority", "o_orderstatus")
@@ -274,35 +277,25 @@ def rule_metrics(spark, sf_dir):
     "leakage_separation_screen",
     _with(
         TARGET_SQL,
-        ", feat AS (SELECT * FROM tgt JOIN (SELECT customer_id, satisfaction_score, cltv "
-        "FROM cln_status) USING (customer_id)) SELECT *, rate_pct IN (0, 100) AS separates FROM ("
-        + _rates_sql(["satisfaction_score", "cltv"])
+        ", feat AS (SELECT s.*, is_voluntary_churn FROM tgt JOIN cln_status s USING (customer_id)) "
+        "SELECT *, rate_pct IN (0, 100) AS separates FROM ("
+        + _rates_sql(prepare.FORBIDDEN_COLUMNS)
         + ")",
     ),
 )
 def leakage_separation_screen(spark, sf_dir):
     status = prepare.cleaned_tables({"status": raw_status(spark, sf_dir)})["status"]
-    labelled = prepare.target(status).join(
-        status.select(prepare.ID, "satisfaction_score", "cltv"), prepare.ID
+    suspects = list(prepare.FORBIDDEN_COLUMNS)
+    labelled = prepare.target(status).select(prepare.ID, TARGET).join(
+        status.select(prepare.ID, *suspects), prepare.ID
     )
-    screen = profile.separation_screen(labelled, ["satisfaction_score", "cltv"], TARGET)
+    screen = profile.separation_screen(labelled, suspects, TARGET)
     return screen.select(
         "feature", "value", "n_rows", r6("rate_pct").alias("rate_pct"), "separates"
     )
 
 
-_CORRELATED = [
-    "age",
-    "under_30",
-    "tenure_in_months",
-    "num_addon_services",
-    "monthly_charge",
-    "total_charges",
-    "total_revenue",
-    "is_month_to_month",
-    "is_tenure_censored",
-    "number_of_referrals",
-]
+_CORRELATED = [c for c in INPUTS if c not in encoding.CATEGORICAL_COLUMNS]
 _PAIRS = [(a, b) for i, a in enumerate(_CORRELATED) for b in _CORRELATED[i + 1 :]]
 
 
@@ -310,14 +303,15 @@ _PAIRS = [(a, b) for i, a in enumerate(_CORRELATED) for b in _CORRELATED[i + 1 :
     "feature_correlation",
     _with(
         FEATURE_SQL,
-        "SELECT *, coalesce(abs(r) >= 0.6, false) AS strong, "
-        "coalesce(abs(r) >= 1 - 1e-9, false) AS exact FROM ("
-        + " UNION ALL ".join(
-            f"SELECT '{a}' AS a, '{b}' AS b, round(corr(CAST({a} AS DOUBLE), "
-            f"CAST({b} AS DOUBLE)), 6) + 0.0 AS r FROM feat"
+        ", p AS (SELECT unnest(["
+        + ", ".join(
+            f"{{'a': '{a}', 'b': '{b}', 'r': corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))}}"
             for a, b in _PAIRS
         )
-        + ")",
+        + "]) AS p FROM feat), found AS (SELECT p.a AS a, p.b AS b, "
+        "CASE WHEN isfinite(p.r) THEN p.r END AS r FROM p) "
+        "SELECT a, b, round(r, 6) + 0.0 AS r, coalesce(abs(r) >= 0.6, false) AS strong, "
+        "coalesce(abs(r) >= 1 - 1e-9, false) AS exact FROM found",
     ),
 )
 def feature_correlation(spark, sf_dir):
@@ -329,8 +323,12 @@ def feature_correlation(spark, sf_dir):
     "category_reason_crosstab",
     _with(
         TARGET_SQL,
-        """SELECT * FROM (PIVOT (SELECT churn_category, churn_reason FROM cln_status
-  WHERE customer_status = 'Churned') ON churn_reason USING count(*) GROUP BY churn_category)""",
+        """, churned AS (SELECT churn_category, churn_reason FROM cln_status WHERE customer_status = 'Churned'),
+r AS (SELECT DISTINCT churn_category FROM churned),
+c AS (SELECT DISTINCT churn_reason FROM churned WHERE churn_reason IS NOT NULL),
+n AS (SELECT churn_category, churn_reason, count(*) AS n_rows FROM churned GROUP BY ALL)
+SELECT r.churn_category, c.churn_reason, coalesce(n.n_rows, 0) AS n_rows FROM r CROSS JOIN c
+LEFT JOIN n ON n.churn_category IS NOT DISTINCT FROM r.churn_category AND n.churn_reason = c.churn_reason""",
     ),
 )
 def category_reason_crosstab(spark, sf_dir):

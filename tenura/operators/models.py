@@ -21,6 +21,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,7 +55,11 @@ def heuristic_score(flag: Column) -> Column:
 
 
 def logistic_regression(
-    C: float = 1.0, l1_ratio: float = 0.0, balanced: bool = False, max_iter: int = 100
+    C: float = 1.0,
+    l1_ratio: float = 0.0,
+    balanced: bool = False,
+    max_iter: int = 100,
+    tol: float = 1e-6,
 ) -> Candidate:
     """C is the inverse penalty on summed losses, so the mean-loss penalty is 1 / (C n)."""
 
@@ -64,6 +69,7 @@ def logistic_regression(
             elasticNetParam=l1_ratio,
             standardization=False,
             maxIter=max_iter,
+            tol=tol,
         )
 
     params = {"C": C, "l1_ratio": l1_ratio, "balanced": balanced}
@@ -187,6 +193,36 @@ def fit(
     return estimator.fit(frame)
 
 
+def first_order(model: Model, frame: DataFrame, C: float, names: Sequence[str]) -> DataFrame:
+    """How near a ridge logistic fit is to its optimum: ``feature, coefficient, observed, fitted``.
+
+    At the optimum of summed losses plus ``|w|^2 / (2 C)`` the mean of every feature over the positives,
+    ``observed``, equals ``fitted``, its mean under the fitted probabilities plus the pull of the penalty; their
+    difference is the gradient. Both are moments of one pass over the frame. The intercept, which has no
+    penalty, is the feature ``(intercept)``.
+    """
+    p = F.col("_p")
+    scored = model.transform(frame).select("features", "label", positive(PROBABILITY).alias("_p"))
+
+    def moments(weight: Column) -> Column:
+        return Summarizer.metrics("mean").summary(F.col("features"), weight)["mean"]
+
+    row = scored.agg(
+        moments(F.col("label")).alias("seen"),
+        moments(p).alias("fitted"),
+        F.avg("label").alias("rate"),
+        F.avg(p).alias("p"),
+        F.count("*").alias("n"),
+    ).first()
+    out = [("(intercept)", float(model.intercept), row.rate, row.p)]
+    for i, name in enumerate(names):
+        w = float(model.coefficients[i])
+        pull = w / (C * row.n)
+        out.append((name, w, float(row.seen[i]) * row.rate, float(row.fitted[i]) * row.p + pull))
+    columns = "feature STRING, coefficient DOUBLE, observed DOUBLE, fitted DOUBLE"
+    return frame.sparkSession.createDataFrame(out, columns)
+
+
 def positive(vector: str) -> Column:
     """The entry of the positive class."""
     return vector_to_array(F.col(vector))[1]

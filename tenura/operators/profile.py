@@ -34,29 +34,37 @@ def overall_rate(df: DataFrame, target: str) -> DataFrame:
     )
 
 
-def rates_by_value(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
-    """Per column and present value: rows and target rate in percent.
+def _by_single_column(
+    df: DataFrame, columns: Sequence[str], name: str, sums: Mapping[str, Column]
+) -> DataFrame:
+    """``name, value`` and sums per column and present value, by one grouping set per column.
 
-    The rows are reduced to one per combination of values before the columns
-    are unfolded, so a row is read and hashed once, not once per column.
+    A row is expanded to one per column and summed where it is read, so that the shuffle carries at
+    most one row per task, column and value, however many combinations of values there are.
     """
-    combined = df.groupBy(*columns).agg(
-        F.count(target).alias("n"), F.sum(F.col(target).cast("int")).alias("hits")
-    )
-    cells = F.array(
-        *[
-            F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"))
-            for c in columns
-        ]
+    plain = [f"_c{i}" for i in range(len(columns))]
+    rows = df.select(
+        *[F.col(c).cast("string").alias(p) for c, p in zip(columns, plain, strict=True)],
+        *[v.alias(f"_s{i}") for i, v in enumerate(sums.values())],
     )
-    return (
-        combined.select("n", "hits", F.inline(cells))
-        .where("value IS NOT NULL")
-        .groupBy("feature", "value")
-        .agg(
-            F.sum("n").alias("n_rows"),
-            _percent(ratio(F.sum("hits"), F.sum("n"))).alias("rate_pct"),
-        )
+    own = [
+        F.when(F.grouping(p) == 0, F.struct(F.lit(c).alias("name"), F.col(p).alias("text")))
+        for c, p in zip(columns, plain, strict=True)
+    ]
+    totals = [F.sum(f"_s{i}").alias(n) for i, n in enumerate(sums)]
+    grouped = rows.groupingSets([[p] for p in plain], *plain).agg(F.coalesce(*own).alias("_own"), *totals)
+    return grouped.select(
+        F.col("_own.name").alias(name), F.col("_own.text").alias("value"), *sums
+    ).where("value IS NOT NULL")
+
+
+def rates_by_value(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
+    """Per column and present value: rows and target rate in percent."""
+    hit = F.col(target).cast("int")
+    sums = {"n_rows": F.when(hit.isNotNull(), 1).otherwise(0), "hits": hit}
+    rates = _by_single_column(df, columns, "feature", sums)
+    return rates.select(
+        "feature", "value", "n_rows", _percent(ratio(F.col("hits"), F.col("n_rows"))).alias("rate_pct")
     )
 
 
@@ -80,12 +88,17 @@ def reach(df: DataFrame, rule: Column, target: str) -> DataFrame:
 
 
 def crosstab(df: DataFrame, row: str, column: str) -> DataFrame:
-    """Counts of row × column values; a combination without rows is 0.
+    """``row, column, n_rows``: counts of all present row values x present column values.
 
-    The columns are the values present, found by the pivot itself; NULL is none of them.
+    A combination without rows counts 0. NULL is a row value, but no column value. The result is long, so
+    neither axis has a limit and the driver sees no value.
     """
-    table = df.where(F.col(column).isNotNull()).groupBy(row).pivot(column).count()
-    return table.fillna(0, subset=[c for c in table.columns if c != row])
+    counts = store(df.groupBy(row, column).agg(F.count("*").alias("n_rows")), "counts")
+    columns = counts.where(F.col(column).isNotNull()).select(column).distinct()
+    spine = counts.select(row).distinct().crossJoin(columns)
+    found = counts.select(F.col(row).alias("_row"), F.col(column).alias("_column"), "n_rows")
+    same = F.col(row).eqNullSafe(F.col("_row")) & (F.col(column) == F.col("_column"))
+    return spine.join(found, same, "left").select(row, column, F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
 
 
 def present_by_group(df: DataFrame, group: str, column: str) -> DataFrame:
@@ -96,19 +109,7 @@ def present_by_group(df: DataFrame, group: str, column: str) -> DataFrame:
 
 def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The distinct present values of every column, as rows."""
-    cells = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
-            for c in columns
-        ]
-    )
-    combined = df.groupBy(*columns).agg(F.count("*").alias("n"))
-    return (
-        combined.select("n", F.inline(cells))
-        .where("value IS NOT NULL")
-        .groupBy("column", "value")
-        .agg(F.sum("n").alias("n_rows"))
-    )
+    return _by_single_column(df, columns, "column", {"n_rows": F.lit(1)})
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30, by: str | None = None) -> DataFrame:
@@ -191,7 +192,10 @@ def correlations(df: DataFrame, columns: Sequence[str], threshold: float = 0.6)
     takes several passes over the rows, so the few columns are written first.
     """
     numeric = store(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "numeric")
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(numeric)
+    # Around their means, so that large values lose no digits in the products.
+    means = numeric.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    centred = numeric.select(*[(F.col(c) - F.lit(means[c])).alias(c) for c in columns])
+    vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(centred)
     return vector_correlations(vectors, "v", columns, threshold)
 
 

@@ -13,6 +13,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+#: The file in a table's folder that names its current version.
+POINTER = "CURRENT"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -41,9 +43,50 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """Replace the Parquet table at ``path`` with the frame and read it back."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Make the frame the content of the table at ``path``, and read it back.
+
+    The rows are written beside the current version; then a pointer is renamed over the old one, which
+    readers see at once or not at all. So the frame may read the table that it replaces, a write that fails
+    leaves the table as it was, and readers that have begun keep the version before, the only one that is kept.
+    Schema and partitioning may change. One writer at a time.
+    """
+    spark = df.sparkSession
+    version, before = f"v-{uuid.uuid4().hex[:12]}", _version(spark, path)
+    df.write.parquet(f"{path}/{version}")
+    files, folder = _file_system(spark, path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    fresh = hadoop.Path(folder, f".{version}.tmp")
+    out = files.create(fresh, True)
+    out.write(bytearray(version, "ascii"))
+    out.close()
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.OVERWRITE
+    context = hadoop.FileContext.getFileContext(files.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(files.makeQualified(fresh), files.makeQualified(hadoop.Path(folder, POINTER)), options)
+    for status in files.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("v-") and name not in (version, before):
+            files.delete(status.getPath(), True)
+    return read_table(spark, path)
+
+
+def _version(spark: SparkSession, path: str) -> str | None:
+    files, folder = _file_system(spark, path)
+    pointer = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, POINTER)
+    if not files.exists(pointer):
+        return None
+    stream = files.open(pointer)
+    text = bytes(stream.readAllBytes()).decode("ascii")
+    stream.close()
+    return text
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a table that ``replace_table`` wrote."""
+    version = _version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no table at {path}")
+    return spark.read.parquet(f"{path}/{version}")
 
 
 def _file_system(spark: SparkSession, path: str):
