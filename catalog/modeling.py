@@ -148,7 +148,33 @@ DRAW_LOGISTIC = tuning.draw_logistic
 # of job overhead on one machine, so the two tree searches draw twice.
 query("tune_logistic")(_search(DRAW_LOGISTIC, budget=30))
 query("tune_forest")(_search(tuning.draw_forest))
-query("tune_boosted")(_search(tuning.draw_boosted, folds=2))
+
+
+@query("tune_boosted")
+def tune_boosted(spark, sf_dir):
+    """The first two fits of the search of 30 draws by five folds; a call with the same table goes on with the next."""
+    frame = prepared(spark, sf_dir).frame
+    path = new_path(spark, "boosted_search")
+    return _results(tuning.resumable_search(frame, tuning.draw_boosted, path, fits=2))
+
+
+@query(
+    "resumed_search",
+    "SELECT CAST(range // 2 AS INTEGER) AS config, CAST(range % 2 AS INTEGER) AS fold, true AS same FROM range(8)",
+)
+def resumed_search(spark, sf_dir):
+    """A search that is stopped twice and goes on, beside one that is not stopped."""
+    frame = prepared(spark, sf_dir, 2).frame
+    path = new_path(spark, "resumed_search")
+    for fits in (3, 2, None):
+        resumed = tuning.resumable_search(frame, DRAW_LOGISTIC, path, budget=4, folds=2, fits=fits)
+    whole = tuning.search(frame, DRAW_LOGISTIC, budget=4, folds=2)
+    unbroken = whole.results.select("config", "fold", F.col("score").alias("unbroken"))
+    best = F.lit(resumed.best.params == whole.best.params)
+    same = (F.abs(F.col("score") - F.col("unbroken")) < 1e-9) & best
+    return resumed.results.join(unbroken, ["config", "fold"]).select("config", "fold", same.alias("same"))
+
+
 
 
 @query(

@@ -127,14 +127,25 @@ def _id_rule(df: DataFrame, id_column: str) -> Column:
     return rule.when(is_blank(value), "id_blank")
 
 
+def _rules(df: DataFrame, id_column: str, specs: Sequence[InputColumn]) -> dict[str, Column]:
+    """For the id and every input the first rule that the value breaks."""
+    rules = {id_column: _id_rule(df, id_column)}
+    return rules | {s.name: _broken_rule(s, df.schema[s.name].dataType) for s in specs}
+
+
+def breaks_a_rule(df: DataFrame, id_column: str, specs: Sequence[InputColumn]) -> Column:
+    """Whether some value of the row breaks a rule; repeated ids are not looked for."""
+    rules = _rules(df, id_column, specs).values()
+    return F.exists(F.array(*rules), lambda rule: rule.isNotNull())
+
+
 def value_report(df: DataFrame, id_column: str, specs: Sequence[InputColumn]) -> DataFrame:
     """Per column and rule that some value breaks: rows, and the smallest id among them."""
-    rules = {id_column: _id_rule(df, id_column)}
-    rules |= {s.name: _broken_rule(s, df.schema[s.name].dataType) for s in specs}
+    rules = _rules(df, id_column, specs)
     cells = [F.struct(F.lit(c).alias("column"), r.alias("rule")) for c, r in rules.items()]
     # Rows that break nothing leave before the cells are unfolded. The array keeps the
     # rules of many columns in methods small enough to be compiled.
-    dirty = df.where(F.exists(F.array(*rules.values()), lambda rule: rule.isNotNull()))
+    dirty = df.where(breaks_a_rule(df, id_column, specs))
     cells = dirty.select(
         F.col(id_column).cast("string").alias("_id"), F.inline(F.array(*cells))
     ).where("rule IS NOT NULL")
@@ -257,14 +268,19 @@ def probability_report(inputs: DataFrame, scored: DataFrame, id_column: str, p:
 
 def probability_counts(scored: DataFrame, id_column: str, p: str) -> DataFrame:
     """One row, without a shuffle of rows: rows, bad probabilities, and the smallest bad id."""
+    return scored.agg(*probability_sums(id_column, p))
+
+
+def probability_sums(id_column: str, p: str) -> list[Column]:
+    """The aggregates of ``probability_counts``, for a table that is being written."""
     value = F.col(p)
     finite = value.isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))
     bad = ~F.coalesce(finite & value.between(0.0, 1.0), F.lit(False))
-    return scored.agg(
+    return [
         F.count("*").alias("n_rows"),
         count_where(bad).alias("bad"),
         F.min(F.when(bad, F.col(id_column))).alias("first_id"),
-    )
+    ]
 
 
 RANKED_COLUMNS = ["customer_id", "churn_probability", "rank", "in_top_k"]

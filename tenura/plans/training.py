@@ -22,6 +22,10 @@ HEURISTIC = "business_heuristic"
 RECORDED_FOLDS = 5
 
 
+class SearchUnfinished(RuntimeError):
+    """A training run whose search goes on in a later call."""
+
+
 @dataclass(frozen=True)
 class Prepared:
     """The split features, the fitted preprocessor and schema, and the training frame."""
@@ -186,9 +190,14 @@ def train_and_publish(
     reference: Mapping[str, object] | None = None,
     held_out_reference: str = "not evaluated",
     seed: int = 42,
+    search_path: str | None = None,
+    fits: int | None = None,
 ) -> str:
     """Train on the feature table, publish the model, record the run's metrics last.
 
+    With ``search_path`` the search keeps its fits there and makes at most ``fits`` in this call; if some are
+    left, the call ends with ``SearchUnfinished`` before anything is published, and a later call goes on.
+
     ``reference`` holds the parameters that the search must find again; any
     difference stops the run before anything is published.
     """
@@ -196,7 +205,12 @@ def train_and_publish(
     run_id = run_id_of(instant)
     registry.require_new_run(spark, registry_path, run_id, registry.MODEL_ROW)
     prepared = prepare(features, folds=folds, seed=seed)
-    found = tuning.search(prepared.frame, draw, budget, folds, seed)
+    if search_path is None:
+        found = tuning.search(prepared.frame, draw, budget, folds, seed)
+    else:
+        found = tuning.resumable_search(prepared.frame, draw, search_path, budget, folds, seed, fits)
+        if found.best is None:
+            raise SearchUnfinished(f"{found.left} fits are left; call again with the same search_path")
     if reference is not None:
         require_equal_parameters(
             parameter_frame(spark, found.best.params), parameter_frame(spark, reference)

@@ -64,16 +64,24 @@ def run_summary(
     ranked: DataFrame, fraction: float, model_run_id: str, scoring_run_id: str, health: dict
 ) -> DataFrame:
     """One row: how many customers were scored and flagged, by which model, and its health."""
+    counts = ranked.agg(
+        F.count("*").alias("customers_scored"),
+        count_where(F.col("in_top_k")).alias("customers_flagged"),
+    )
+    return summary_of(counts, fraction, model_run_id, scoring_run_id, health)
+
+
+def summary_of(
+    counts: DataFrame, fraction: float, model_run_id: str, scoring_run_id: str, health: dict
+) -> DataFrame:
+    """The same from a row ``customers_scored, customers_flagged`` that is known already."""
     require_run_id(model_run_id)
     require_run_id(scoring_run_id)
     check_health(health)
     metrics = F.struct(
         *[F.lit(v).alias(k) for k, v in health["training_cv_metrics"].items()]
     )
-    return ranked.agg(
-        F.count("*").alias("customers_scored"),
-        count_where(F.col("in_top_k")).alias("customers_flagged"),
-    ).select(
+    return counts.select(
         F.lit(CONTRACT_VERSION).alias("contract_version"),
         F.lit(check_fraction(fraction)).alias("k"),
         "customers_scored",

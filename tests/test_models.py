@@ -139,6 +139,50 @@ def test_search(ready):
         tuning.search(ready.frame, tuning.draw_logistic, objective="roc_auc")
 
 
+def test_a_stopped_search_goes_on(ready, tmp_path, monkeypatch):
+    whole = tuning.search(ready.frame, tuning.draw_logistic, budget=3, folds=2, seed=3)
+    path, made, fit = str(tmp_path / "fits"), [], tuning.fit
+
+    def failing(candidate, frame, counts):
+        made.append(candidate)
+        if len(made) == 4:
+            raise KeyboardInterrupt("stopped")
+        return fit(candidate, frame, counts)
+
+    monkeypatch.setattr(tuning, "fit", failing)
+    monkeypatch.setattr(tuning, "in_parallel", lambda tasks: [task() for task in tasks])
+    args = (ready.frame, tuning.draw_logistic, path, 3, 2, 3)
+    with pytest.raises(KeyboardInterrupt):
+        tuning.resumable_search(*args)
+    some = tuning.resumable_search(*args, fits=1)
+    assert (some.left, some.best, some.results.count()) == (2, None, 4)
+    done = tuning.resumable_search(*args)
+    assert len(made) == 7 and done.left == 0  # three, the lost one, one, two: none twice
+    assert done.best.params == whole.best.params
+    scores = {(r.config, r.fold): r.score for r in whole.results.collect()}
+    assert {(r.config, r.fold): r.score for r in done.results.collect()} == pytest.approx(scores)
+    again = tuning.resumable_search(*args)
+    assert len(made) == 7 and again.best.params == whole.best.params
+    # Rows of other data are not taken for done.
+    other = ready.frame.withColumn("label", 1 - F.col("label"))
+    assert tuning.resumable_search(other, *args[1:], fits=0).left == 6
+
+
+def test_training_goes_on_with_its_search(spark, sf_dir, tmp_path):
+    from catalog.preparation import features
+
+    def train(fits):
+        return training.train_and_publish(
+            features(spark, sf_dir), FIRST, *(f"{tmp_path}/{d}" for d in ("models", "registry", "runs")),
+            draw=lambda rng: tuning.draw_logistic(rng, max_iter=5), budget=2, inner_folds=None,
+            search_path=f"{tmp_path}/search", fits=fits,
+        )
+
+    with pytest.raises(training.SearchUnfinished, match="3 fits"):
+        train(7)
+    assert train(None) == RUN
+
+
 def test_search_spaces():
     rng = random.Random(0)
     for _ in range(50):
