@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tenura.llm.frames import column, file_system, pieces, publish, shared_uri, written
+from tenura.llm.tokens import ragged
 from tenura.llm.words import Words, text_bytes
 
 _MAGIC = b"RANKTOK1"
@@ -96,6 +97,33 @@ def decode_file(blob: bytes) -> tuple[list, np.ndarray, np.ndarray]:
     return named, lengths, ids.astype("<u4")
 
 
+class _Pieces:
+    """Ids of distinct pieces by the pieces' hashes, in order of the hashes."""
+
+    def __init__(self):
+        self.known = np.zeros(0, np.uint64)
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each of the sorted hashes stands or belongs, and whether it is there."""
+        at = np.searchsorted(self.known, hashes)
+        there = np.zeros(len(hashes), bool)
+        inside = at < len(self.known)
+        there[inside] = self.known[at[inside]] == hashes[inside]
+        return at, there
+
+    def add(self, at: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Merge new hashes, which belong at ``at``, with their ids on end."""
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        starts = self.used + np.cumsum(sizes) - sizes
+        self.used += len(ids)
+        self.known = np.insert(self.known, at, hashes)
+        self.starts, self.sizes = np.insert(self.starts, at, starts), np.insert(self.sizes, at, sizes)
+
+
 class TextEncoder:
     """``tokenizers`` over whole texts, each distinct run of white space with its word once.
 
@@ -105,7 +133,8 @@ class TextEncoder:
     go to the library whole.
     """
 
-    #: Distinct pieces held, about 50 bytes each, before the encoder starts anew.
+    #: Distinct pieces held, about 50 bytes each. Half of them fill a generation; then the one before is
+    #: dropped, and pieces of the last that come again move to the new one.
     HELD = 800_000
 
     def __init__(self, path: str):
@@ -121,9 +150,7 @@ class TextEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.known = np.zeros(0, np.uint64)
-        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.young, self.old = _Pieces(), _Pieces()
 
     def _encode(self, pieces: list[str]) -> list[np.ndarray]:
         """Ids of each piece; words after one space are put on lines and encoded at once."""
@@ -148,20 +175,19 @@ class TextEncoder:
                 out[i] = np.array(x.ids, np.uint32)
         return out
 
-    def _learn(self, hashes: np.ndarray, found: list[np.ndarray]) -> None:
-        sizes = np.array([len(x) for x in found], np.int64)
-        total = int(sizes.sum())
-        while self.used + total > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        if total:
-            self.ids[self.used : self.used + total] = np.concatenate(found)
-        starts = self.used + np.cumsum(sizes) - sizes
-        self.used += total
-        known = np.concatenate([self.known, hashes])
-        order = np.argsort(known, kind="stable")
-        self.known = known[order]
-        self.starts = np.concatenate([self.starts, starts])[order]
-        self.sizes = np.concatenate([self.sizes, sizes])[order]
+    def _learn(self, at: np.ndarray, hashes: np.ndarray, spell) -> None:
+        """Take pieces that the young generation lacks from the old one, or encode ``spell(some)`` of them."""
+        place, there = self.old.find(hashes)
+        found = self._encode(spell(~there)) if not there.all() else []
+        sizes = np.zeros(len(hashes), np.int64)
+        sizes[there] = self.old.sizes[place[there]]
+        sizes[~there] = [len(x) for x in found]
+        begins = np.cumsum(sizes) - sizes
+        ids = np.zeros(int(sizes.sum()), np.uint32)
+        ids[ragged(begins[there], sizes[there])] = self.old.ids[ragged(self.old.starts[place[there]], sizes[there])]
+        if found:
+            ids[ragged(begins[~there], sizes[~there])] = np.concatenate(found)
+        self.young.add(at, hashes, sizes, ids)
 
     def _segments(self, blob: np.ndarray, offsets: np.ndarray):
         space = ~self.words.inside[blob]
@@ -174,30 +200,29 @@ class TextEncoder:
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids on end and their number per text; null is empty."""
-        if len(self.known) > self.HELD:
-            self._reset()
+        if len(self.young.known) > self.HELD // 2:
+            self.old, self.young = self.young, _Pieces()
         blob, offsets = text_bytes(texts)
         starts, ends = self._segments(blob, offsets)
         hashes, first, which = np.unique(
             self.words.hashes(blob, starts, ends), return_index=True, return_inverse=True
         )
-        at = np.searchsorted(self.known, hashes)
-        fresh = np.ones(len(hashes), bool)
-        inside = at < len(self.known)
-        fresh[inside] = self.known[at[inside]] != hashes[inside]
+        at, there = self.young.find(hashes)
         whole = {
             i: text for i, text in enumerate(texts.to_pylist()) if text and self.odd(text)
         }
-        if fresh.any():
-            strings = [
-                blob[starts[f] : ends[f]].tobytes().decode() for f in first[np.flatnonzero(fresh)]
-            ]
-            self._learn(hashes[fresh], self._encode(strings))
-        at = np.searchsorted(self.known, hashes)[which.reshape(-1)]
-        sizes, begins = self.sizes[at], self.starts[at]
+        if not there.all():
+            new = first[~there]
+
+            def spell(some):
+                return [blob[starts[f] : ends[f]].tobytes().decode() for f in new[some]]
+
+            self._learn(at[~there], hashes[~there], spell)
+        at = np.searchsorted(self.young.known, hashes)[which.reshape(-1)]
+        sizes, begins = self.young.sizes[at], self.young.starts[at]
         stops = np.cumsum(sizes)
         total = int(stops[-1]) if len(stops) else 0
-        ids = self.ids[np.repeat(begins - (stops - sizes), sizes) + np.arange(total)]
+        ids = self.young.ids[np.repeat(begins - (stops - sizes), sizes) + np.arange(total)]
         edges = np.concatenate([[0], stops])[np.searchsorted(starts, offsets)]
         if not whole:
             return ids, np.diff(edges)
