@@ -56,6 +56,15 @@ def publish(uri: str, write) -> None:
     files.move(own, path)
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The frame with its columns named by number, and the new name of each old one.
+
+    Whatever an input calls its columns, they meet none that an operator adds.
+    """
+    names = {c: f"_in{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

@@ -11,10 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tenura.llm.frames import numbered, written
+
 #: Largest mean that one draw inverts; a larger rate is the sum of several independent draws.
 MEAN = 16.0
 #: Terms of the inverted distribution: at mean 16 the rest weighs less than 1e-40.
 TERMS = 100
+#: Sources, of about 1 kB each, up to which the table of rates is broadcast.
+CARRIED_SOURCES = 10_000
 
 
 def target_rates(
@@ -66,7 +70,9 @@ def poisson_copies(
     ``marked`` the input's own columns are all that is returned. A source without a rate, and an
     empty table, give no rows.
     """
-    kept = [c for c in documents.columns if not marked or c not in ("copy", "shuffle_key")]
+    rows, names = numbered(documents)
+    kept = {c: n for c, n in names.items() if not marked or c not in ("copy", "shuffle_key")}
+    own_id = names[id_column]
     cumulative = f"""
         aggregate(
             sequence(1, {TERMS}),
@@ -89,22 +95,26 @@ def poisson_copies(
     draw = f"""
         aggregate(
             transform(sequence(1, _draws), j -> conv(substr(md5(
-                concat_ws(':', {int(seed)}, j, `{id_column}`)), 1, 13), 16, 10) / 4503599627370496D),
+                concat_ws(':', {int(seed)}, j, {own_id})), 1, 13), 16, 10) / 4503599627370496D),
             0,
             (n, u) -> n + size(filter(_cumulative, c -> c <= u)))
     """
-    key = F.md5(F.concat_ws(":", F.lit("order"), F.lit(int(seed)), "_copy", F.col(id_column)))
+    key = F.md5(F.concat_ws(":", F.lit("order"), F.lit(int(seed)), "_copy", F.col(own_id)))
+    # One row per source, written so that its size is known: small, it goes to all tasks, and no text is
+    # shuffled by its source.
+    tables, _ = written(tables, "rates")
+    if tables.count() <= CARRIED_SOURCES:
+        tables = F.broadcast(tables)
     copies = (
-        documents.select(*[f"`{c}`" for c in kept])
-        .join(tables, F.col(source_column).eqNullSafe(F.col("_rate_source")))
+        rows.join(tables, F.col(names[source_column]).eqNullSafe(F.col("_rate_source")))
         .withColumn("_copies", F.expr(draw))
         .where("_copies > 0")
-        .select(*[f"`{c}`" for c in kept], F.explode(F.expr("sequence(1, _copies)")).alias("_copy"))
+        .select(*kept.values(), F.explode(F.expr("sequence(1, _copies)")).alias("_copy"))
         .withColumn("_key", key)
         .repartitionByRange("_key")
         .sortWithinPartitions("_key")
     )
-    own = [F.col(f"`{c}`") for c in kept]
+    own = [F.col(n).alias(c) for c, n in kept.items()]
     marks = [F.col("_copy").alias("copy"), F.col("_key").alias("shuffle_key")]
     return copies.select(*own, *(marks if marked else []))
 
