@@ -258,14 +258,44 @@ def near_duplicates(
     confirmed on full sets. ``component_id`` is the smallest id reachable, ``kept`` marks it.
 
     A null or empty text, or one of white space, has no shingles and is linked with nothing. A
-    null id has null ``component_id`` and is kept. Rows that repeat an id are each returned,
-    with that id's component. Other columns are ignored, whatever their names. No rows give
+    null id has null ``component_id`` and is kept. Rows that repeat an id are each returned; they are one
+    document with the links of all its texts. Other columns are ignored, whatever their names. No rows give
     no rows.
     """
-    spark = documents.sparkSession
     texts = documents.select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
     )
+    repeated = texts.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    if repeated.isEmpty():
+        return _by_id(texts, width, percent, seed)
+    # An id may have several texts: each text is a document of its own first, and those of one id are one.
+    texts = texts.withColumn("own", F.xxhash64("doc_id", "text"))
+    named = texts.where("doc_id IS NOT NULL").select("doc_id", "own")
+    found = _by_id(texts.where("doc_id IS NOT NULL").select(F.col("own").alias("doc_id"), "text"), width, percent, seed)
+    found, found_path = written(found.dropDuplicates(["doc_id"]), "texts_of_ids")
+    rows, rows_path = written(
+        named.join(
+            found.select(F.col("doc_id").alias("own"), "n_shingles", F.col("component_id").alias("part")), "own"
+        ).select("doc_id", "n_shingles", "part"),
+        "rows_of_ids",
+    )
+    least = rows.groupBy("doc_id").agg(F.min("part").alias("least"))
+    parts = components(rows.join(least, "doc_id").select(F.col("least").alias("a"), F.col("part").alias("b")))
+    whole = rows.join(parts.withColumnRenamed("id", "part").withColumnRenamed("component_id", "whole"), "part")
+    first = whole.groupBy("whole").agg(F.min("doc_id").alias("component_id"))
+    joined = whole.join(first, "whole").select(
+        "doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept")
+    )
+    result, _ = written(
+        joined.union(_by_id(texts.where("doc_id IS NULL").drop("own"), width, percent, seed)), "of_ids"
+    )
+    forget(result.sparkSession, found_path, rows_path)
+    return result
+
+
+def _by_id(texts: DataFrame, width: int, percent: int, seed: int) -> DataFrame:
+    """``near_duplicates`` of texts whose ids, where not null, are unique."""
+    spark = texts.sparkSession
     threshold = percent / 100
     signed, signed_path = written(
         texts.mapInArrow(_sign(width, threshold, seed), _SIGNED), "signed"
