@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenura.llm.frames import column, pieces, written
+from tenura.llm.frames import column, numbered, pieces, written
 from tenura.llm.words import Words, mix, text_bytes
 
 #: Labelled documents that the document model is fitted on at most, those of smallest hash.
@@ -193,12 +193,12 @@ def site_posteriors(scored: DataFrame) -> DataFrame:
 
 
 def _rated(documents, labels, id_column, text_column, host_column, path_column, label_column):
-    """The rows of ``documents`` with ``_q_document, _q_p_host, _q_p_path, _q_quality``."""
+    """The rows with ``_q_document, _q_p_host, _q_p_path, _q_quality``, and the names of their own columns."""
     model = fit_document_model(documents, labels, id_column, text_column, label_column)
-    host, path = F.col(f"`{host_column}`"), F.col(f"`{path_column}`")
-    text = F.col(f"`{text_column}`")
+    rows, names = numbered(documents)
+    host, path, text = (F.col(names[c]) for c in (host_column, path_column, text_column))
     scored = _scored(
-        documents.select(host.alias("host"), path.alias("path"), text.alias("_q_text")), model
+        rows.select(host.alias("host"), path.alias("path"), text.alias("_q_text")), model
     )
     sites = site_posteriors(scored.withColumnRenamed("_q_document", "p")).select(
         F.col("host").alias("_q_host"),
@@ -208,14 +208,14 @@ def _rated(documents, labels, id_column, text_column, host_column, path_column,
         F.col("p_path").alias("_q_p_path"),
     )
     same = host.eqNullSafe(F.col("_q_host")) & path.eqNullSafe(F.col("_q_path"))
-    rows = documents.withColumn("_q_text", text)
+    rows = rows.withColumn("_q_text", text)
 
     def odds(name: str):
         return F.ln(F.col(name)) - F.ln(1 - F.col(name))
 
     moved = odds("_q_document") + odds("_q_p_path") - odds("_q_global")
     rated = _scored(rows, model).join(sites, same, "left")
-    return rated.withColumn("_q_quality", 1 / (1 + F.exp(-moved)))
+    return rated.withColumn("_q_quality", 1 / (1 + F.exp(-moved))), names
 
 
 def site_quality(
@@ -239,8 +239,9 @@ def site_quality(
     """
     new = ("p_document", "p_host", "p_path", "quality", "keep")
     names = (id_column, text_column, host_column, path_column, label_column)
-    kept = [F.col(f"`{c}`") for c in documents.columns if c not in new]
-    return _rated(documents, labels, *names).select(
+    rated, own = _rated(documents, labels, *names)
+    kept = [F.col(n).alias(c) for c, n in own.items() if c not in new]
+    return rated.select(
         *kept,
         F.col("_q_document").alias("p_document"),
         F.col("_q_p_host").alias("p_host"),
@@ -262,7 +263,7 @@ def keep_good(
 ) -> DataFrame:
     """The rows of ``documents`` that ``site_quality`` keeps, with their own columns only."""
     names = (id_column, text_column, host_column, path_column, label_column)
-    rated = _rated(documents, labels, *names)
+    rated, own = _rated(documents, labels, *names)
     return rated.where(F.col("_q_quality") >= threshold).select(
-        *[F.col(f"`{c}`") for c in documents.columns]
+        *[F.col(n).alias(c) for c, n in own.items()]
     )
