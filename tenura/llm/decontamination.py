@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenura.llm.frames import column, pieces
+from tenura.llm.frames import column, pieces, written
 from tenura.llm.words import Words, shingles
 
 K1, B = 1.2, 0.75
@@ -30,8 +30,8 @@ BLOCK_ITEMS = 4
 #: Share of the threshold that the terms without postings of a block may reach together. More
 #: leaves fewer postings to read, less leaves fewer blocks to score; either way none is missed.
 COMMON = 0.35
-#: Items of one index; a larger benchmark is searched in several passes.
-INDEX_ITEMS = 20_000
+#: Items of one index, about; a larger benchmark is searched in several passes, with the same scores.
+INDEX_ITEMS = 10_000
 
 
 def question_and_answer(text: str) -> tuple[str, str]:
@@ -55,7 +55,20 @@ def _expand(first: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class BenchmarkIndex:
-    def __init__(self, items: list[tuple[int, str | None]], threshold: float, overlap: float, width: int):
+    """Items with their postings.
+
+    ``whole``: number, mean and largest length of all items of the benchmark that have words, and the terms of
+    these items, in order, with the number of all items that have them; without it the items are the benchmark.
+    """
+
+    def __init__(
+        self,
+        items: list[tuple[int, str | None]],
+        threshold: float,
+        overlap: float,
+        width: int,
+        whole: tuple[int, float, int, np.ndarray, np.ndarray] | None = None,
+    ):
         self.threshold, self.overlap, self.width = threshold, overlap, width
         reader = Words(space=False)
         texts = pa.array([t or "" for _, t in items], pa.string())
@@ -71,7 +84,11 @@ class BenchmarkIndex:
         self.terms, found = np.unique(
             np.concatenate([t for t, _ in distinct] or [np.zeros(0, np.uint64)]), return_counts=True
         )
-        idf = np.log1p((n - found + 0.5) / (found + 0.5))
+        every = n
+        if whole is not None:
+            every, mean, self.span, terms, held = whole
+            found = held[np.searchsorted(terms, self.terms)]
+        idf = np.log1p((every - found + 0.5) / (found + 0.5))
         item = np.repeat(np.arange(n), [len(t) for t, _ in distinct])
         term = np.searchsorted(self.terms, np.concatenate([t for t, _ in distinct] or [self.terms]))
         count = np.concatenate([c for _, c in distinct] or [np.zeros(0, np.int64)])
@@ -182,6 +199,21 @@ def _ragged(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return which, np.repeat(low - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def _item_terms(batches):
+    """Per item its number of words, and each distinct word's hash."""
+    reader = Words(space=False)
+    for batch in batches:
+        for piece in pieces(batch, "text"):
+            hashes, at = reader(pc.utf8_lower(column(piece, "text")))
+            distinct = [np.unique(hashes[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
+            offsets = np.cumsum([0, *(len(d) for d in distinct)])
+            terms = np.concatenate([np.zeros(0, np.uint64), *distinct]).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(terms))
+            yield pa.RecordBatch.from_arrays(
+                [column(piece, "part"), pa.array(np.diff(at)), lists], names=["part", "size", "terms"]
+            )
+
+
 def build_indexes(
     benchmark: DataFrame,
     id_column: str = "item_id",
@@ -189,23 +221,35 @@ def build_indexes(
     threshold: float = 0.6,
     overlap: float = 0.8,
     width: int = 5,
-) -> list[BenchmarkIndex]:
-    """Indexes of at most ``INDEX_ITEMS`` items each, in the order of a hash of the ids.
+):
+    """Indexes of about ``INDEX_ITEMS`` items each, one after the other; the driver holds one at a time.
 
-    Items with a null id, and null or wordless texts, match nothing. Rows that repeat an id are
-    indexed one by one under it.
+    Parts are dealt by a hash of the ids. The number of items, their mean and largest length and the frequencies of
+    terms are those of the whole benchmark, counted once, so scores do not depend on the parts. Items with a
+    null id, and null or wordless texts, match nothing. Rows that repeat an id are indexed one by one under it.
     """
     rows = benchmark.where(F.col(id_column).isNotNull() & F.col(text_column).isNotNull()).select(
         F.col(id_column).cast("long").alias("item"), F.col(text_column).alias("text")
     )
-    total = rows.count()
-    parts = max(1, -(-total // (INDEX_ITEMS // 2)))
-    indexes = []
+    parts = max(1, -(-rows.count() // INDEX_ITEMS))
+    if parts == 1:
+        own = sorted((r["item"], r["text"]) for r in rows.collect())
+        yield BenchmarkIndex(own, threshold, overlap, width)
+        return
+    rows, _ = written(rows.withColumn("part", F.pmod(F.xxhash64("item"), F.lit(parts)).cast("int")), "items")
+    counted, _ = written(rows.mapInArrow(_item_terms, "part int, size long, terms array<long>"), "item_terms")
+    counted = counted.where("size > 0")
+    total = counted.agg(F.count(F.lit(1)).alias("n"), F.avg("size").alias("mean"), F.max("size").alias("span")).first()
+    terms = counted.select("part", F.explode("terms").alias("term"))
+    frequencies, _ = written(terms.groupBy("term").agg(F.count(F.lit(1)).alias("held")), "frequencies")
     for part in range(parts):
-        own = rows.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == part).collect()
-        own = sorted((r["item"], r["text"]) for r in own)
-        indexes.append(BenchmarkIndex(own, threshold, overlap, width))
-    return indexes
+        own = sorted((r["item"], r["text"]) for r in rows.where(F.col("part") == part).collect())
+        here = terms.where(F.col("part") == part).select("term").distinct().join(frequencies, "term").toArrow()
+        hashes, held = (here[c].to_numpy() for c in ("term", "held"))
+        hashes = hashes.astype(np.int64).view(np.uint64)
+        order = np.argsort(hashes)
+        whole = (total["n"], total["mean"], total["span"] or 1, hashes[order], held[order])
+        yield BenchmarkIndex(own, threshold, overlap, width, whole)
 
 
 def _find(index: BenchmarkIndex):
@@ -245,10 +289,12 @@ def find_contamination(
     kind = (
         "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
     )
-    found = [rows.mapInArrow(_find(i), kind) for i in build_indexes(benchmark, **options)]
-    out = found[0]
-    for more in found[1:]:
-        out = out.union(more)
+    out = None
+    for index in build_indexes(benchmark, **options):
+        if out is not None:  # an index is let go with its pass
+            out, _ = written(out, "found")
+        found = rows.mapInArrow(_find(index), kind)
+        out = found if out is None else out.union(found)
     return out
 
 
@@ -269,6 +315,8 @@ def drop_contaminated(
     documents: DataFrame, benchmark: DataFrame, text_column: str = "text", **options
 ) -> DataFrame:
     """The rows of ``documents`` in which no item is found, with all their columns."""
-    for index in build_indexes(benchmark, **options):
+    for i, index in enumerate(build_indexes(benchmark, **options)):
+        if i:
+            documents, _ = written(documents, "clean")
         documents = documents.mapInArrow(_drop(index, text_column), documents.schema)
     return documents
