@@ -23,6 +23,8 @@ from tenura.llm.words import Words, mix, text_bytes
 
 #: Labelled documents of each class that the fit sees at most, those of smallest hash.
 FIT_ROWS = 3000
+#: Characters of the longest text to fit on.
+FIT_CHARS = 200_000
 WIDTH, STRIDE = 24, 16
 HIDDEN, WORD_SIZE, CHAR_SIZE, ATTENTION = 12, 8, 8, 8
 #: Length of the character grams of a word with its two borders, and the rows of their tables.
@@ -341,11 +343,19 @@ def fit_toxicity(
     id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "toxic",
+    fit_chars: int = FIT_CHARS,
 ) -> Network:
-    """Fit on at most ``FIT_ROWS`` labelled documents of each class that are not held out."""
+    """Fit on at most ``FIT_ROWS`` labelled documents of each class that are not held out.
+
+    They are drawn by a hash of their ids among the labelled documents of at most ``fit_chars`` characters,
+    whose texts the driver holds.
+    """
     usable = labels.where(F.col(id_column).isNotNull() & ~held_out(id_column)).select(
         F.col(id_column).alias("labelled"), F.col(label_column).cast("int").alias("y")
     )
+    size = F.coalesce(F.length(F.col(text_column)), F.lit(0))
+    short = documents.where(size <= fit_chars).select(F.col(id_column).alias("labelled")).distinct()
+    usable = usable.join(short, "labelled")
     chosen = None
     for y in (0, 1):
         part = usable.where(F.col("y") == y).orderBy(F.xxhash64("labelled"), "labelled").limit(FIT_ROWS)
@@ -353,7 +363,7 @@ def fit_toxicity(
     rows = (
         documents.select(F.col(id_column).alias("doc"), F.col(text_column).alias("text"))
         .join(F.broadcast(chosen), F.col("doc") == F.col("labelled"))
-        .where(F.length("text") <= 200_000)
+        .where(F.coalesce(F.length("text"), F.lit(0)) <= fit_chars)
         .select("doc", "text", "y")
         .toArrow()
         .sort_by([("doc", "ascending"), ("y", "ascending"), ("text", "ascending")])

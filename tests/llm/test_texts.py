@@ -50,6 +50,32 @@ def test_contamination_against_brute_force(spark, sf_dir):
     assert wanted and {(r["doc_id"], r["item_id"]) for r in found.collect()} == wanted
 
 
+def test_scores_do_not_depend_on_the_parts_of_a_benchmark(spark, sf_dir, monkeypatch):
+    from tenura.llm import decontamination
+
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    options = {"threshold": 0.4, "overlap": 0.0}
+    whole = {(r[0], r[1]): r[2] for r in find_contamination(docs, items, **options).collect()}
+    kept = {r["doc_id"] for r in drop_contaminated(docs, items).collect()}
+    monkeypatch.setattr(decontamination, "INDEX_ITEMS", 9)
+    parts = {(r[0], r[1]): r[2] for r in find_contamination(docs, items, **options).collect()}
+    assert whole and parts == pytest.approx(whole)
+    assert {r["doc_id"] for r in drop_contaminated(docs, items).collect()} == kept
+
+
+def test_long_texts_leave_their_places_in_the_fit_to_others(spark, monkeypatch):
+    from tenura.llm import toxicity
+
+    rows = [(i, "w " * (500 if i < 30 else 5), i % 2) for i in range(60)]
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(99, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows] + [(99, 0)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "FIT_ROWS", 8)
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels: (texts, labels))
+    texts, y = fit_toxicity(docs, labels, fit_chars=100)
+    assert len(texts) == 16 and y.sum() == 8
+    assert all(len(t or "") <= 100 for t in texts)
+
+
 def test_bounds_never_miss_an_item():
     draw = random.Random(4)
     words = [f"w{i}" for i in range(300)]
