@@ -25,11 +25,17 @@ def forget(spark: SparkSession, *paths: str) -> None:
 
 
 def shared_uri(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared one, for files that tasks write themselves."""
-    path = new_path(spark, name)
-    if "://" not in path and not path.startswith("file:"):
-        path = "file://" + path
-    return path
+    """A new folder below the shared one, for files that tasks write themselves.
+
+    Without a scheme the folder is on the default file system, as for Spark's own writers. One on the
+    machines' own disks is an error on a cluster.
+    """
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(new_path(spark, name))
+    uri = path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    if uri.startswith("file:") and not context.master.startswith("local"):
+        raise ValueError(f"{uri} is on each machine's own disk; set spark.checkpoint.dir to a shared folder")
+    return uri
 
 
 def file_system(uri: str):

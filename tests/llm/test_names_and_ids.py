@@ -92,3 +92,18 @@ def test_the_encoder_drops_old_pieces(monkeypatch):
         assert ids.tolist() == own * 2 and counts.tolist() == [len(own), 0, len(own)]
         assert len(encoder.young.known) <= 30 + 31
         assert (np.diff(encoder.young.known.astype(object)) > 0).all()
+
+
+def test_files_of_tasks_go_to_the_default_file_system(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    import pytest
+
+    from tenura.llm import frames
+
+    assert frames.shared_uri(spark, "files").startswith("file:")
+    context = spark.sparkContext
+    cluster = SimpleNamespace(master="yarn", _jvm=context._jvm, _jsc=context._jsc)
+    monkeypatch.setattr(frames, "new_path", lambda *_: "/work/files")
+    with pytest.raises(ValueError, match="own disk"):
+        frames.shared_uri(SimpleNamespace(sparkContext=cluster), "files")
