@@ -20,9 +20,11 @@ POINTER = "CURRENT"
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by the cluster; a temporary one only for a local master."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if configured:
+        if configured.startswith("file:") and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is on each machine's own disk; name a shared folder")
         return configured.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _local_folders:

@@ -31,6 +31,9 @@ def test_folder_named_by_the_cluster_is_used():
 def test_a_cluster_without_a_folder_is_an_error():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         workspace.shared_folder(session_of("yarn"))
+    with pytest.raises(ValueError, match="own disk"):
+        workspace.shared_folder(session_of("yarn", "file:///work"))
+    assert workspace.shared_folder(session_of("local-cluster[3,2,1024]", "file:///work")) == "file:///work"
 
 
 def test_a_table_is_replaced_from_itself(spark, tmp_path):
