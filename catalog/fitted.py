@@ -13,27 +13,16 @@ from pyspark.ml.feature import VectorSlicer
 from pyspark.sql import functions as F
 
 from catalog.modeling import FOLDS, prepared
-from catalog.registry import query
-from catalog.sql import FEATURE_SQL, hash_sql, split_sql
+from catalog.registry import query, r5
+from catalog.sql import FEATURE_SQL, evaluation_sql, hash_sql, r5_sql, split_sql
 from tenura.operators import encoding, metrics, models
 from tenura.operators.models import ID, MARGIN, PROBABILITY, Candidate
 from tenura.plans import training
 from tenura.sources.workspace import new_path, store
 
-#: Added before rounding to five places, so that no rate of few rows lies on the edge.
-SHIFT = 1.7e-6
 FLAG = "contract=Month-to-Month"
 
 
-def r5(column):
-    value = F.col(column) if isinstance(column, str) else column
-    return F.round(value + F.lit(SHIFT), 5) + F.lit(0.0)
-
-
-def _r5(sql: str) -> str:
-    return f"round({sql} + {SHIFT!r}::DOUBLE, 5) + 0.0"
-
-
 LOGISTIC = Candidate(
     "flag_logistic",
     lambda n: LogisticRegression(regParam=0.0, standardization=False, tol=1e-14, maxIter=1000),
@@ -84,7 +73,7 @@ calibrated AS (SELECT fold, flag, avg(CASE WHEN y = 1 THEN high ELSE low END) AS
 ensemble AS (SELECT flag, avg(p) AS p FROM calibrated GROUP BY flag)"""
 
 _BY_RATE = _ROWS + f"""
-SELECT customer_id, {_r5("rate")} AS score FROM test JOIN rates USING (flag)"""
+SELECT customer_id, {r5_sql("rate")} AS score FROM test JOIN rates USING (flag)"""
 
 
 def _scores_of(candidate):
@@ -104,7 +93,7 @@ query(
 classes AS (SELECT sum(y) AS ones, count(*) - sum(y) AS zeros FROM train),
 balanced AS (SELECT flag, (sum(y) / max(ones)) / (sum(y) / max(ones) + (count(*) - sum(y)) / max(zeros))
   AS rate FROM train, classes GROUP BY flag)
-SELECT customer_id, {_r5("rate")} AS score FROM test JOIN balanced USING (flag)""",
+SELECT customer_id, {r5_sql("rate")} AS score FROM test JOIN balanced USING (flag)""",
 )(_scores_of(FOREST))
 query(
     "flag_boosted",
@@ -116,7 +105,7 @@ steps AS (
   SELECT flag, rate, step + 1, margin + {BOOSTED.params["rate"]!r}::DOUBLE * 4
     * (rate / (1 + exp(2 * margin)) - (1 - rate) / (1 + exp(-2 * margin)))
   FROM steps WHERE step < {BOOSTED.params["trees"] - 1})
-SELECT customer_id, {_r5("1 / (1 + exp(-2 * margin))")} AS score
+SELECT customer_id, {r5_sql("1 / (1 + exp(-2 * margin))")} AS score
 FROM test JOIN steps USING (flag) WHERE step = {BOOSTED.params["trees"] - 1}""",
 )(_scores_of(BOOSTED))
 
@@ -125,7 +114,7 @@ FROM test JOIN steps USING (flag) WHERE step = {BOOSTED.params["trees"] - 1}""",
     "flag_calibration",
     _ROWS
     + f"""
-SELECT customer_id, y AS label, {_r5("p")} AS calibrated FROM train JOIN calibrated USING (fold, flag)
+SELECT customer_id, y AS label, {r5_sql("p")} AS calibrated FROM train JOIN calibrated USING (fold, flag)
 WHERE fold = 0""",
 )
 def flag_calibration(spark, sf_dir):
@@ -140,7 +129,7 @@ def flag_calibration(spark, sf_dir):
 
 @query(
     "flag_ensemble",
-    _ROWS + f"\nSELECT customer_id, {_r5('p')} AS score FROM test JOIN ensemble USING (flag)",
+    _ROWS + f"\nSELECT customer_id, {r5_sql('p')} AS score FROM test JOIN ensemble USING (flag)",
 )
 def flag_ensemble(spark, sf_dir):
     """Held-out scores of the mean of five calibrated models, saved and loaded in between."""
@@ -153,7 +142,7 @@ def flag_ensemble(spark, sf_dir):
 
 
 _OUT_OF_FOLD = f"""scored AS (SELECT customer_id AS id, fold, CAST(y AS INTEGER) AS y,
-  {_r5("rate")} AS score FROM train JOIN out_of_fold USING (fold, flag))"""
+  {r5_sql("rate")} AS score FROM train JOIN out_of_fold USING (fold, flag))"""
 
 
 def _out_of_fold(spark, sf_dir):
@@ -170,29 +159,14 @@ def flag_out_of_fold(spark, sf_dir):
     return _out_of_fold(spark, sf_dir).select(ID, "fold", "y", "score")
 
 
-def _evaluation_sql(fractions: str) -> str:
-    """Metrics of ``scored (candidate, id, y, score)`` per candidate and K."""
-    return f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY candidate ORDER BY score DESC, id) AS rank,
-  count(*) OVER (PARTITION BY candidate) AS n, sum(y) OVER (PARTITION BY candidate) AS positives FROM scored),
-sweep AS (SELECT unnest({fractions})::DOUBLE AS k_frac),
-at_k AS (SELECT candidate, k_frac, greatest(1, CAST(round_even(max(n) * k_frac, 0) AS BIGINT)) AS k,
-    max(n) AS n_rows, max(positives)::DOUBLE AS positives, avg(power(score - y, 2)) AS brier_score,
-    count(*) FILTER (WHERE y = 1 AND rank <= greatest(1, CAST(round_even(n * k_frac, 0) AS BIGINT))) AS tp
-  FROM ranked, sweep GROUP BY candidate, k_frac),
-groups AS (SELECT candidate, score, count(*) AS n, sum(y) AS p FROM scored GROUP BY candidate, score),
-totals AS (SELECT candidate, p, sum(n) OVER w AS cn, sum(p) OVER w AS cp,
-  sum(p) OVER (PARTITION BY candidate) AS tp FROM groups WINDOW w AS (PARTITION BY candidate ORDER BY score DESC)),
-precision AS (SELECT candidate, sum(p * cp::DOUBLE / cn) / max(tp) AS pr_auc FROM totals GROUP BY candidate)"""
-
-
 @query(
     "flag_cv_metrics",
     _ROWS
     + f""", {_OUT_OF_FOLD.replace("SELECT customer_id", "SELECT 'model' AS candidate, customer_id", 1)},
-{_evaluation_sql("[0.10]")}
-SELECT k_frac AS k, n_rows AS training_rows, {_r5("tp::DOUBLE / k")} AS precision_at_k,
-  {_r5("(tp::DOUBLE / k) / (positives / n_rows)")} AS lift_at_k, {_r5("pr_auc")} AS pr_auc,
-  {_r5("brier_score")} AS brier_score
+{evaluation_sql("[0.10]")}
+SELECT k_frac AS k, n_rows AS training_rows, {r5_sql("tp::DOUBLE / k")} AS precision_at_k,
+  {r5_sql("(tp::DOUBLE / k) / (positives / n_rows)")} AS lift_at_k, {r5_sql("pr_auc")} AS pr_auc,
+  {r5_sql("brier_score")} AS brier_score
 FROM at_k JOIN precision USING (candidate)""",
 )
 def flag_cv_metrics(spark, sf_dir):
@@ -215,10 +189,10 @@ scored AS (
   FROM test JOIN ensemble USING (flag)
   UNION ALL
   SELECT '{training.HEURISTIC}', customer_id, CAST(y AS INTEGER), CAST(flag AS DOUBLE) FROM test),
-{_evaluation_sql("[0.05, 0.10, 0.15, 0.20, 0.25]")}
-SELECT candidate, k_frac, k, tp, {_r5("tp::DOUBLE / k")} AS precision,
-  {_r5("tp / positives")} AS recall, {_r5("(tp::DOUBLE / k) / (positives / n_rows)")} AS lift,
-  {_r5("pr_auc")} AS pr_auc, {_r5("brier_score")} AS brier_score
+{evaluation_sql("[0.05, 0.10, 0.15, 0.20, 0.25]")}
+SELECT candidate, k_frac, k, tp, {r5_sql("tp::DOUBLE / k")} AS precision,
+  {r5_sql("tp / positives")} AS recall, {r5_sql("(tp::DOUBLE / k) / (positives / n_rows)")} AS lift,
+  {r5_sql("pr_auc")} AS pr_auc, {r5_sql("brier_score")} AS brier_score
 FROM at_k JOIN precision USING (candidate)""",
 )
 def flag_holdout_evaluation(spark, sf_dir):

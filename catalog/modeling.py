@@ -8,8 +8,16 @@ from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from catalog.preparation import FEATURES, INPUTS, encoded_sql, features, kind, schema_sql
-from catalog.registry import query, r6
-from catalog.sql import FEATURE_SQL, TARGET_SQL, print_sql, split_sql, sums_sql
+from catalog.registry import query, r5, r6
+from catalog.sql import (
+    FEATURE_SQL,
+    RECORD_SQL,
+    TARGET_SQL,
+    evaluation_sql,
+    print_sql,
+    split_sql,
+    sums_sql,
+)
 from tenura.functions import run_id_of
 from tenura.operators import encoding, metrics, models, nodes, quality, sampling, selection, tuning
 from tenura.plans import scoring, training
@@ -60,11 +68,11 @@ def fixed_logistic_score(spark, sf_dir):
 
 
 #: Added before means are rounded to three places, so that no share of a few thousand rows lies on the edge.
-SHIFT = 0.000123456
+MEAN_SHIFT = 0.000123456
 
 
 def r3(column):
-    return F.round(F.col(column) + F.lit(SHIFT), 3) + F.lit(0.0)
+    return F.round(F.col(column) + F.lit(MEAN_SHIFT), 3) + F.lit(0.0)
 
 
 def _moments_sql() -> str:
@@ -77,8 +85,8 @@ def _moments_sql() -> str:
 own AS (SELECT e.*, CAST(s.is_voluntary_churn AS DOUBLE) AS y FROM encoded e
   JOIN split s USING (customer_id) WHERE e.part = 'train'),
 moments AS (SELECT unnest([{", ".join(cells)}]) AS m FROM own)
-SELECT m.feature AS feature, round(m.observed + {SHIFT}::DOUBLE, 3) + 0.0 AS observed,
-  round(m.observed + {SHIFT}::DOUBLE, 3) + 0.0 AS fitted FROM moments"""
+SELECT m.feature AS feature, round(m.observed + {MEAN_SHIFT}::DOUBLE, 3) + 0.0 AS observed,
+  round(m.observed + {MEAN_SHIFT}::DOUBLE, 3) + 0.0 AS fitted FROM moments"""
 
 
 @query("logistic_regression", _moments_sql())
@@ -292,8 +300,12 @@ def model_save_load(spark, sf_dir):
     return both.select(ID, "label", (F.col("score") == F.col("loaded")).alias("same"))
 
 
+RECORDED = ["precision_at_k", "lift_at_k", "pr_auc", "brier_score"]
+
+
 def example_record():
-    return dict.fromkeys(["precision_at_k", "lift_at_k", "pr_auc", "brier_score"], 0.5) | {
+    """A record for tests."""
+    return dict.fromkeys(RECORDED, 0.5) | {
         "k": 0.1,
         "training_rows": 1,
         "estimate_type": quality.ESTIMATE_TYPE,
@@ -309,15 +321,23 @@ _PRINTED = [f"CAST(floor({c} * 10000) AS BIGINT)" if kind(c) == "decimal" else c
 s AS ({schema_sql("feat")}),
 l AS (SELECT CAST(to_json([allowed, "column", kind, CAST(nullable AS VARCHAR),
   CAST(position AS VARCHAR), reserved]) AS VARCHAR) AS line FROM s),
-h AS (SELECT md5({print_sql(_PRINTED)}) AS h FROM feat)
-SELECT '{RUN_ID}' AS run_id,
+h AS (SELECT md5({print_sql(_PRINTED)}) AS h FROM feat),
+scored AS (SELECT 'model' AS candidate, customer_id AS id, CAST(is_voluntary_churn AS INTEGER) AS y,
+  CAST(is_month_to_month AS DOUBLE) AS score FROM feat),
+{evaluation_sql("[0.10]")},
+record AS (SELECT {RECORD_SQL} FROM at_k JOIN precision USING (candidate))
+SELECT '{RUN_ID}' AS run_id, (SELECT precision_at_k FROM record) AS precision_at_k,
+  (SELECT lift_at_k FROM record) AS lift_at_k, (SELECT pr_auc FROM record) AS pr_auc,
+  (SELECT brier_score FROM record) AS brier_score,
   (SELECT sha256(string_agg(line, chr(10) ORDER BY line)) FROM l) AS input_schema_hash,
   '100' AS trees, '0.1' AS k, CAST(count(*) AS VARCHAR) AS n_rows,
   {sums_sql()}, true AS complete FROM h""",
 )
 def model_registry_row(spark, sf_dir):
-    """A published model's registry row; its hashes come from the feature table."""
+    """A registry row; its metrics are those of the rule of thumb, its hashes those of the feature table."""
     view = store(features(spark, sf_dir), "features")
+    rule = training.heuristic_rows(view, encoding.TARGET).withColumnRenamed("id", ID)
+    record = training.training_metrics(store(rule.select(ID, "y", "score"), "rule"))
     categories = encoding.fit_categories(
         encoding.fill_sentinels(view), encoding.CATEGORICAL_COLUMNS
     )
@@ -332,7 +352,7 @@ def model_registry_row(spark, sf_dir):
         "models/" + RUN_ID,
         specs,
         BOOSTED.params,
-        example_record(),
+        record,
         "not evaluated",
         fingerprint.asDict(),
     )
@@ -340,6 +360,7 @@ def model_registry_row(spark, sf_dir):
     registry.append_rows(row, path)
     return registry.read_registry(spark, path, registry.MODEL_ROW).select(
         "run_id",
+        *[r5(F.col("training_cv_metrics")[m].cast("double")).alias(m) for m in RECORDED],
         "input_schema_hash",
         F.col("hyperparameters")["trees"].alias("trees"),
         F.col("training_cv_metrics")["k"].alias("k"),
@@ -410,8 +431,10 @@ def _score_run(spark, model, specs, population, record):
     recorded = registry.read_registry(spark, f"{folder}/runs", registry.RUN_ROW)
     flagged = recorded.select(F.col("metrics")["customers_flagged"].cast("bigint")).scalar()
     listed = outputs.read_list(spark, f"{folder}/list")
-    return listed.withColumn("churn_probability", r6("churn_probability")).withColumn(
-        "customers_flagged", flagged
+    health = spark.read.json(f"{folder}/summary").select("model_health.training_cv_metrics.*")
+    stated = {m: r5(health.select(m).scalar()) for m in RECORDED}
+    return listed.withColumn("churn_probability", r6("churn_probability")).withColumns(
+        {"customers_flagged": flagged, **stated}
     )
 
 
@@ -426,15 +449,15 @@ def score_run(spark, sf_dir):
 _FIXED = "1.5D - 0.0625D * tenure_in_months - 0.25D * num_addon_services + 0.75D * is_mtm"
 _FIXED_SQL = f"""WITH {FEATURE_SQL}, {split_sql("feat")},
 p AS (
-  SELECT customer_id, 1.0::DOUBLE / (1.0::DOUBLE + exp(-(1.5::DOUBLE
+  SELECT customer_id, part, is_voluntary_churn, 1.0::DOUBLE / (1.0::DOUBLE + exp(-(1.5::DOUBLE
     - 0.0625::DOUBLE * tenure_in_months - 0.25::DOUBLE * num_addon_services
     + 0.75::DOUBLE * CAST(is_month_to_month AS INTEGER)))) AS churn_probability
-  FROM split WHERE part = 'test'),
+  FROM split),
 fixed AS (
   SELECT customer_id, round(churn_probability, 6) AS churn_probability,
     row_number() OVER w AS rank, row_number() OVER w
       <= greatest(1, CAST(round_even(count(*) OVER () * 0.1::DOUBLE, 0) AS BIGINT)) AS in_top_k
-  FROM p WINDOW w AS (ORDER BY p.churn_probability DESC, customer_id))
+  FROM p WHERE part = 'test' WINDOW w AS (ORDER BY p.churn_probability DESC, customer_id))
 """
 
 
@@ -448,6 +471,8 @@ def _fixed_model(spark, sf_dir):
         encoding.fill_sentinels(train), encoding.CATEGORICAL_COLUMNS
     )
     specs = encoding.input_schema(train, categories)
+    labelled = train.select(ID, F.col(encoding.TARGET).cast("int").alias("y"), "tenure_in_months",
+                            "num_addon_services", "is_month_to_month")
     z = _FIXED.replace("is_mtm", "CAST(is_month_to_month AS INT)")
     model = PipelineModel(
         stages=[
@@ -456,12 +481,13 @@ def _fixed_model(spark, sf_dir):
             )
         ]
     )
-    return model, specs, scoring.scoring_population(view, specs)
+    scores = model.transform(labelled).select(ID, "y", F.col("churn_probability").alias("score"))
+    return model, specs, scoring.scoring_population(view, specs), scores
 
 
 @query("score_batch_fixed", _FIXED_SQL + "SELECT * FROM fixed")
 def score_batch_fixed(spark, sf_dir):
-    model, specs, population = _fixed_model(spark, sf_dir)
+    model, specs, population, _ = _fixed_model(spark, sf_dir)
     ranked = scoring.score_batch(population, model, specs, 0.10)
     return ranked.withColumn("churn_probability", r6("churn_probability"))
 
@@ -469,9 +495,14 @@ def score_batch_fixed(spark, sf_dir):
 @query(
     "score_run_fixed",
     _FIXED_SQL
-    + """SELECT customer_id, churn_probability, rank,
-  CASE WHEN in_top_k THEN 'True' ELSE 'False' END AS in_top_k,
-  count(*) FILTER (WHERE in_top_k) OVER () AS customers_flagged FROM fixed""",
+    + f""", scored AS (SELECT 'model' AS candidate, customer_id AS id,
+  CAST(is_voluntary_churn AS INTEGER) AS y, churn_probability AS score FROM p WHERE part = 'train'),
+{evaluation_sql("[0.10]")}
+SELECT customer_id, churn_probability, rank, CASE WHEN in_top_k THEN 'True' ELSE 'False' END AS in_top_k,
+  count(*) FILTER (WHERE in_top_k) OVER () AS customers_flagged, record.*
+FROM fixed, (SELECT {RECORD_SQL} FROM at_k JOIN precision USING (candidate)) AS record""",
 )
 def score_run_fixed(spark, sf_dir):
-    return _score_run(spark, *_fixed_model(spark, sf_dir), example_record())
+    """Scored with known coefficients; the summary repeats their metrics on the training rows."""
+    model, specs, population, scores = _fixed_model(spark, sf_dir)
+    return _score_run(spark, model, specs, population, training.training_metrics(store(scores, "scores")))

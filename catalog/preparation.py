@@ -524,6 +524,40 @@ def one_hot(spark, sf_dir):
     return encoding.one_hot(filled, categories, ["customer_id"])
 
 
+_WIDE = ["p_name", "p_brand", "p_type"]
+
+
+@query(
+    "category_dictionary",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", {c} AS value, CAST(row_number() OVER (ORDER BY {c}) - 1 AS BIGINT) AS index,
+  count(*) AS n_rows FROM part WHERE {c} IS NOT NULL GROUP BY {c}"""
+        for c in _WIDE
+    ),
+)
+def category_dictionary(spark, sf_dir):
+    return encoding.category_dictionary(table(spark, sf_dir, "part"), _WIDE)
+
+
+@query(
+    "dictionary_encode",
+    "SELECT p_partkey, "
+    + ", ".join(
+        f"CASE WHEN {c} IN (SELECT {c} FROM part WHERE p_size <= 40) THEN (SELECT count(DISTINCT q.{c}) "
+        f"FROM part q WHERE q.p_size <= 40 AND q.{c} < part.{c}) END AS {c}_index"
+        for c in _WIDE[1:]
+    )
+    + " FROM part",
+)
+def dictionary_encode(spark, sf_dir):
+    """Numbers learned on some parts, looked up for all of them; one column by broadcast, one by shuffle."""
+    parts = table(spark, sf_dir, "part")
+    dictionary = store(encoding.category_dictionary(parts.where("p_size <= 40"), _WIDE[1:]), "dictionary")
+    some = encoding.encode_categories(parts, dictionary, ["p_brand"])
+    every = encoding.encode_categories(some, dictionary, ["p_type"], carried=0)
+    return every.select("p_partkey", "p_brand_index", "p_type_index")
+
+
 @query(
     "standard_scale",
     _with(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from catalog.registry import query, r6
@@ -11,6 +13,7 @@ from tenura.functions import top_k_count
 from tenura.operators import metrics, quality, selection
 from tenura.operators.ranking import flag_top, rank_scores
 from tenura.plans import scoring
+from tenura.sources.workspace import store
 
 BASELINE = "business_heuristic"
 
@@ -530,33 +533,50 @@ def reference_param_check(spark, sf_dir):
     return selection.compare_parameters(parameters("A"), parameters("R"))
 
 
+_FAULTS = """CASE WHEN rank % 500 = 0 THEN rank - 1 ELSE rank END AS r,
+  CASE WHEN id % 1000 = 7 THEN 1.5 WHEN id % 1000 = 11 THEN NULL ELSE score END AS p,
+  id % 1000 IN (11, 13) AS missing, id % 1000 = 17 AS blank, id % 1000 = 7 AS outside"""
+
+
 @query(
     "dq_ranked_table",
-    f"""WITH {RANKED_SQL}
-SELECT c AS "check", CAST(n AS BIGINT) AS offending FROM (
-  SELECT 'missing_value' AS c, 0 AS n UNION ALL SELECT 'id_blank', 0
-  UNION ALL SELECT 'id_not_text', 0 UNION ALL SELECT 'rank_not_integer', 0
-  UNION ALL SELECT 'flag_not_boolean', 0
-  UNION ALL SELECT 'probability_range', count(*) FILTER (WHERE id % 1000 = 7) FROM scored
-  UNION ALL SELECT 'no_rows', 0
-  UNION ALL SELECT 'rank_repeated', count(*) - count(DISTINCT r) FROM (
-    SELECT CASE WHEN rank % 500 = 0 THEN rank - 1 ELSE rank END AS r FROM ranked)
-  UNION ALL SELECT 'rank_gap', count(*) FILTER (WHERE rank % 500 = 0 AND rank < n_rows)
-    FROM ranked
-  UNION ALL (
-    WITH p AS (SELECT CASE WHEN rank % 500 = 0 THEN rank - 1 ELSE rank END AS r,
-      CASE WHEN id % 1000 = 7 THEN 1.5 ELSE score END AS p FROM ranked),
-    u AS (SELECT r, min(p) AS low, max(p) AS high FROM p GROUP BY r)
-    SELECT 'probability_rises', count(*) FROM (
-      SELECT high, lag(low) OVER (ORDER BY r) AS before FROM u) WHERE high > before))""",
+    f"""WITH {RANKED_SQL},
+f AS (SELECT rank, n_rows, {_FAULTS} FROM ranked),
+u AS (SELECT r, min(p) AS low, max(p) AS high FROM f GROUP BY r),
+rises AS (SELECT count(*) AS n FROM (SELECT high, lag(low) OVER (ORDER BY r) AS before FROM u)
+  WHERE high > before)
+SELECT 'cells' AS "case", c AS "check", CAST(n AS BIGINT) AS offending FROM (
+  SELECT 'missing_value' AS c, count(*) FILTER (WHERE missing) AS n FROM f
+  UNION ALL SELECT 'id_blank', count(*) FILTER (WHERE blank) FROM f
+  UNION ALL SELECT 'probability_range', count(*) FILTER (WHERE outside) FROM f
+  UNION ALL SELECT 'rank_repeated', count(*) - count(DISTINCT r) FROM f
+  UNION ALL SELECT 'rank_gap', count(*) FILTER (WHERE rank % 500 = 0 AND rank < n_rows) FROM f
+  UNION ALL SELECT 'probability_rises', n FROM rises)
+UNION ALL SELECT 'types', c, (SELECT count(*) FROM scored) FROM (
+  SELECT unnest(['id_not_text', 'rank_not_integer', 'flag_not_boolean', 'probability_range']) AS c)
+UNION ALL SELECT 'empty', 'no_rows', 1""",
 )
 def dq_ranked_table(spark, sf_dir):
-    ranked = rank_scores(scored(spark, sf_dir), "score", "id")
+    """Checks that fail on a table with faulty cells, on one of other types, and on an empty one."""
+    ranked = store(rank_scores(scored(spark, sf_dir), "score", "id"), "ranked")
     moved = F.when(F.col("rank") % 500 == 0, F.col("rank") - 1).otherwise(F.col("rank"))
+    turn = F.col("id") % 1000
+    p = F.when(turn == 7, 1.5).when(turn != 11, F.col("score"))
     broken = ranked.select(
-        F.col("id").cast("string").alias("customer_id"),
-        F.when(F.col("id") % 1000 == 7, 1.5).otherwise(F.col("score")).alias("churn_probability"),
+        F.when(turn == 17, " ").otherwise(F.col("id").cast("string")).alias("customer_id"),
+        p.alias("churn_probability"),
         moved.alias("rank"),
-        (F.col("rank") <= 10).alias("in_top_k"),
+        F.when(turn != 13, F.col("rank") <= 10).alias("in_top_k"),
+    )
+    typed = ranked.select(
+        F.col("id").alias("customer_id"),
+        F.col("score").cast("string").alias("churn_probability"),
+        F.col("rank").cast("double").alias("rank"),
+        (F.col("rank") <= 10).cast("string").alias("in_top_k"),
     )
-    return quality.ranked_table_report(broken)
+    cases = {"cells": broken, "types": typed, "empty": broken.limit(0)}
+    reports = [
+        quality.ranked_table_report(df).where("offending > 0").select(F.lit(name).alias("case"), "check", "offending")
+        for name, df in cases.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), reports)

@@ -27,3 +27,11 @@ def r6(column: str | Column) -> Column:
     """Rounded to six places, as the SQL side does; negative zero becomes zero."""
     value = F.col(column) if isinstance(column, str) else column
     return F.round(value, 6) + F.lit(0.0)
+
+
+def r5(column: str | Column) -> Column:
+    """Rounded to five places off the edge, as the SQL side does."""
+    from catalog.sql import SHIFT
+
+    value = F.col(column) if isinstance(column, str) else column
+    return F.round(value + F.lit(SHIFT), 5) + F.lit(0.0)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from catalog.preparation import outcome
 from catalog.registry import query, r6
 from catalog.sql import TARGET_SQL, hash_sql, split_sql
@@ -41,6 +43,26 @@ def stratified_kfold(spark, sf_dir):
     return sampling.repeated_folds(labelled(spark, sf_dir), ID, TARGET, folds=5, repeats=2)
 
 
+@query(
+    "fold_matrix",
+    f"""WITH {TARGET_SQL},
+outer_folds AS (SELECT customer_id, is_voluntary_churn, {hash_sql("customer_id", 42)} AS h,
+  CAST((row_number() OVER w - 1) * 5 // count(*) OVER (PARTITION BY is_voluntary_churn) AS INTEGER) AS fold
+  FROM tgt WINDOW w AS (PARTITION BY is_voluntary_churn ORDER BY {hash_sql("customer_id", 42)}, customer_id)),
+inner_folds AS (SELECT customer_id, f, CAST((row_number() OVER w - 1) * 5
+    // count(*) OVER (PARTITION BY f, is_voluntary_churn) AS INTEGER) AS inner_fold
+  FROM outer_folds, (SELECT unnest(range(5)) AS f) WHERE fold <> f
+  WINDOW w AS (PARTITION BY f, is_voluntary_churn ORDER BY h, customer_id))
+SELECT customer_id, is_voluntary_churn, fold,
+  string_agg(CAST(inner_fold AS VARCHAR), ',' ORDER BY f) AS inner_folds
+FROM outer_folds JOIN inner_folds USING (customer_id) GROUP BY ALL""",
+)
+def fold_matrix(spark, sf_dir):
+    """Folds, and the folds of the other rows inside of each, listed without the row's own."""
+    rows = sampling.fold_matrix(labelled(spark, sf_dir), ID, TARGET)
+    return rows.select(ID, TARGET, "fold", F.array_join("inner", ",").alias("inner_folds"))
+
+
 @query(
     "split_report",
     _SPLIT

@@ -141,3 +141,32 @@ def sums_sql(h: str = "h") -> str:
         f"CAST(sum(('0x' || substr({h}, {8 * i + 1}, 8))::BIGINT) AS VARCHAR) AS sum_{i + 1}"
         for i in range(4)
     )
+
+
+#: Added before rounding to five places, so that no rate of few rows lies on the edge.
+SHIFT = 1.7e-6
+
+
+def r5_sql(value: str) -> str:
+    return f"round({value} + {SHIFT!r}::DOUBLE, 5) + 0.0"
+
+
+def evaluation_sql(fractions: str) -> str:
+    """Metrics of ``scored (candidate, id, y, score)`` per candidate and K."""
+    return f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY candidate ORDER BY score DESC, id) AS rank,
+  count(*) OVER (PARTITION BY candidate) AS n, sum(y) OVER (PARTITION BY candidate) AS positives FROM scored),
+sweep AS (SELECT unnest({fractions})::DOUBLE AS k_frac),
+at_k AS (SELECT candidate, k_frac, greatest(1, CAST(round_even(max(n) * k_frac, 0) AS BIGINT)) AS k,
+    max(n) AS n_rows, max(positives)::DOUBLE AS positives, avg(power(score - y, 2)) AS brier_score,
+    count(*) FILTER (WHERE y = 1 AND rank <= greatest(1, CAST(round_even(n * k_frac, 0) AS BIGINT))) AS tp
+  FROM ranked, sweep GROUP BY candidate, k_frac),
+groups AS (SELECT candidate, score, count(*) AS n, sum(y) AS p FROM scored GROUP BY candidate, score),
+totals AS (SELECT candidate, p, sum(n) OVER w AS cn, sum(p) OVER w AS cp,
+  sum(p) OVER (PARTITION BY candidate) AS tp FROM groups WINDOW w AS (PARTITION BY candidate ORDER BY score DESC)),
+precision AS (SELECT candidate, sum(p * cp::DOUBLE / cn) / max(tp) AS pr_auc FROM totals GROUP BY candidate)"""
+
+
+#: The record of a training run from ``at_k`` and ``precision``, as rows of one candidate.
+RECORD_SQL = f"""{r5_sql("tp::DOUBLE / k")} AS precision_at_k,
+  {r5_sql("(tp::DOUBLE / k) / (positives / n_rows)")} AS lift_at_k, {r5_sql("pr_auc")} AS pr_auc,
+  {r5_sql("brier_score")} AS brier_score"""

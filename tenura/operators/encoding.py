@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tenura.operators.profile import distinct_values
 from tenura.operators.quality import BOOLEAN, CATEGORICAL, DECIMAL, INTEGER, InputColumn
+from tenura.operators.ranking import with_rank
 
 ID = "customer_id"
 TARGET = "is_voluntary_churn"
@@ -31,6 +32,9 @@ SENTINELS = {"internet_type": "No Internet", "offer": "No Offer"}
 CATEGORICAL_COLUMNS = ["internet_type", "offer", "gender", "contract", "payment_method"]
 EXCLUDED_COLUMNS = [ID, "country", "state", "city", "zip_code"]
 
+#: Values of a column, of some 100 bytes each, up to which its dictionary is broadcast.
+CARRIED_VALUES = 100_000
+
 # The kind of a model input by its type.
 KINDS = {"boolean": BOOLEAN, "int": INTEGER, "double": DECIMAL, "string": CATEGORICAL}
 
@@ -59,6 +63,34 @@ def fit_categories(train: DataFrame, columns: Sequence[str]) -> dict[str, list[s
     return {c: sorted(r.value for r in rows if r.column == c) for c in columns}
 
 
+def category_dictionary(train: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column, value, index, n_rows``: every present value numbered from 0 in its column, in text order.
+
+    A table, for columns with more values than the driver should hold: values are summed per column where they
+    are read and numbered by a distributed rank.
+    """
+    values = distinct_values(train, columns)
+    ranked = with_rank(values, [F.col("value").asc()], ["column"], "rank", "n_values")
+    return ranked.select("column", "value", (F.col("rank") - 1).alias("index"), "n_rows")
+
+
+def encode_categories(
+    df: DataFrame, dictionary: DataFrame, columns: Sequence[str], carried: int = CARRIED_VALUES
+) -> DataFrame:
+    """Add ``<column>_index`` per column: the dictionary's number, NULL for an absent or unknown value.
+
+    One left join per column; the values of a column go to all tasks if there are at most ``carried``.
+    """
+    sizes = {r["column"]: r["n"] for r in dictionary.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    for c in columns:
+        own = dictionary.where(F.col("column") == c).select(
+            F.col("value").alias(f"_{c}_value"), F.col("index").alias(f"{c}_index")
+        )
+        own = F.broadcast(own) if sizes.get(c, 0) <= carried else own
+        df = df.join(own, F.col(c).cast("string") == F.col(f"_{c}_value"), "left").drop(f"_{c}_value")
+    return df
+
+
 def one_hot(df: DataFrame, categories: Mapping[str, Sequence[str]], keep: Sequence[str]):
     """One 0/1 column per known category; an unknown value has none set."""
     encoded = [

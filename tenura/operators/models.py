@@ -23,7 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
@@ -190,7 +190,18 @@ def fit(
     if candidate.balanced:
         frame = with_weight(frame, class_weights(frame, counts=counts))
         estimator = estimator.setWeightCol(WEIGHT)
-    return estimator.fit(frame)
+    return _without_summary(estimator.fit(frame), frame.sparkSession)
+
+
+def _without_summary(model: Model, spark: SparkSession) -> Model:
+    """The model without the summary of its training.
+
+    The summary refers to the session, which travels with the model to every task and cannot, once something has
+    been observed in that session.
+    """
+    if getattr(model, "hasSummary", False):
+        model._java_obj.setSummary(spark.sparkContext._jvm.scala.Option.empty())
+    return model
 
 
 def first_order(model: Model, frame: DataFrame, C: float, names: Sequence[str]) -> DataFrame:
@@ -331,7 +342,8 @@ def out_of_fold_scores(
 ) -> DataFrame:
     """Every row scored by a model that never saw it: ``customer_id, fold, y, score``.
 
-    With ``inner_folds`` the model of each fold is a calibrated ensemble.
+    With ``inner_folds`` the model of each fold is a calibrated ensemble, over the frame's ``inner`` folds if it
+    has as many.
     """
     keep = [ID, "fold", F.col("label").cast("int").alias("y")]
     counts = fold_counts(frame, folds)
@@ -339,9 +351,11 @@ def out_of_fold_scores(
     def one(f: int) -> DataFrame:
         train, held_out = frame.where(F.col("fold") != f), frame.where(F.col("fold") == f)
         if inner_folds:
-            inner = stratified_folds(
-                train.withColumnRenamed("fold", "outer_fold"), ID, "label", inner_folds, seed
-            )
+            if inner_folds == folds and "inner" in frame.columns:
+                inner = train.withColumn("fold", F.col("inner")[f]).drop("inner")
+            else:
+                outer = train.withColumnRenamed("fold", "outer_fold")
+                inner = stratified_folds(outer, ID, "label", inner_folds, seed)
             return calibrated_scores(fit_calibrated(candidate, inner, inner_folds), held_out, keep)
         return predict(fit(candidate, train, counts[f]), held_out, keep)
 

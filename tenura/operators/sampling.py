@@ -153,6 +153,60 @@ def stratified_folds(
     return _with_passed(df, cuts, label, id_column, seed, fold)
 
 
+def fold_matrix(
+    df: DataFrame,
+    id_column: str,
+    label: str,
+    folds: int = 5,
+    inner_folds: int = 5,
+    seed: int = 42,
+    fold: str = "fold",
+    inner: str = "inner",
+) -> DataFrame:
+    """Add the fold, and for every outer fold the fold of the row among the rows outside of it.
+
+    ``inner[f]`` is what ``stratified_folds`` would give the row among the rows of the other folds, NULL for
+    rows of fold f. A fold is a stretch of the hash order, so the rank without it is the rank less its size if
+    it lies before: all boundaries are ranks of one order, found together, and the columns are looked up by how many of
+    them a row lies after.
+    """
+    plans: dict = {}
+
+    def ranks_for(counts):
+        if any(n < max(folds, 2) or n - -(-n // folds) < inner_folds for n in counts.values()):
+            raise ValueError(f"too few rows per label for {folds} by {inner_folds} folds: {counts}")
+        for value, n in counts.items():
+            outer = [-(-n * i // folds) for i in range(folds + 1)]
+            cuts = {}  # per outer fold, the boundaries among the other rows as ranks of all rows
+            for f in range(folds):
+                size = outer[f + 1] - outer[f]
+                own = [-(-(n - size) * j // inner_folds) for j in range(1, inner_folds)]
+                cuts[f] = [r if r <= outer[f] else r + size for r in own]
+            ranks = sorted({r for c in cuts.values() for r in c} | set(outer[1:-1]))
+            plans[value] = (outer, cuts, ranks, n)
+        return {value: plan[2] for value, plan in plans.items()}
+
+    cuts = boundaries(df, id_column, label, seed, ranks_for)
+    passed = _with_passed(df, cuts, label, id_column, seed, "_passed")
+    own_fold, own_inner = F.lit(None).cast("int"), F.lit(None).cast("array<int>")
+    for value, (outer, inside, ranks, n) in plans.items():
+        ends = [*ranks, n]  # the last rank that lies after so many boundaries
+        of = [sum(end > c for c in outer[1:-1]) for end in ends]
+        rows = [
+            F.array(
+                *[
+                    F.lit(None if f == own else sum(end > c for c in inside[f])).cast("int")
+                    for f in range(folds)
+                ]
+            )
+            for end, own in zip(ends, of, strict=True)
+        ]
+        here = F.col(label) == F.lit(value)
+        own_fold = F.when(here, F.array(*map(F.lit, of))[F.col("_passed")]).otherwise(own_fold)
+        own_inner = F.when(here, F.array(*rows)[F.col("_passed")]).otherwise(own_inner)
+    return passed.withColumns({fold: own_fold, inner: own_inner}).drop("_passed")
+
+
 def repeated_folds(
     df: DataFrame, id_column: str, label: str, folds: int = 5, repeats: int = 1, seed: int = 42
 ) -> DataFrame:

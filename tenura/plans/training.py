@@ -53,8 +53,9 @@ def prepare(
     schema = encoding.input_schema(train, encoding.fitted_categories(preprocessor))
     labelled = train.withColumn("label", F.col(encoding.TARGET).cast("double"))
     encoded = encoding.assemble(preprocessor, labelled, [ID, "label", "is_month_to_month"])
+    # The folds, and in the same pass the inner folds of all of them.
     frame = models.model_frame(
-        sampling.stratified_folds(encoded, ID, "label", folds, seed)
+        sampling.fold_matrix(encoded, ID, "label", folds, folds, seed)
     )
     return Prepared(table, preprocessor, schema, frame, folds)
 

@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import Window
@@ -91,3 +92,20 @@ def test_the_assignment_needs_no_shuffle(spark):
     plan = split._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert math.isclose(split.where("part = 'test'").count(), 200)
+
+
+def test_fold_matrix_holds_the_inner_folds_of_every_fold(spark):
+    draw = random.Random(4)
+    rows = [(f"id{i}", draw.random() < 0.3) for i in range(137)]
+    df = spark.createDataFrame(rows, "id STRING, y BOOLEAN")
+    for folds, inner_folds in ((5, 5), (3, 4)):
+        found = {r.id: r for r in sampling.fold_matrix(df, "id", "y", folds, inner_folds, 7).collect()}
+        plain = {r.id: r.fold for r in sampling.stratified_folds(df, "id", "y", folds, 7).collect()}
+        assert {k: r.fold for k, r in found.items()} == plain
+        for f in range(folds):
+            others = df.where(F.col("id").isin([k for k, v in plain.items() if v != f]))
+            inner = {r.id: r.fold for r in sampling.stratified_folds(others, "id", "y", inner_folds, 7).collect()}
+            assert {k: r.inner[f] for k, r in found.items() if r.fold != f} == inner
+            assert all(r.inner[f] is None for r in found.values() if r.fold == f)
+    with pytest.raises(ValueError, match="too few rows"):
+        sampling.fold_matrix(df.limit(4), "id", "y")
