@@ -39,9 +39,15 @@ def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     codes = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
     padded = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     padded[: len(ranks)] = codes
-    control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8)
-    each = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)
-    return control.tobytes(), each[np.arange(4) <= codes[:, None]].tobytes()
+    control = padded[0::4] | padded[1::4] << 2 | padded[2::4] << 4 | padded[3::4] << 6
+    ends = np.cumsum(codes.astype(np.int64) + 1)
+    starts = ends - codes - 1
+    data = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    data[starts] = ranks.astype(np.uint8)
+    for place in range(1, 4):
+        some = np.flatnonzero(codes >= place)
+        data[starts[some] + place] = (ranks[some] >> np.uint32(8 * place)).astype(np.uint8)
+    return control.tobytes(), data.tobytes()
 
 
 def unpack(control: np.ndarray, data: np.ndarray, count: int) -> np.ndarray:
@@ -59,11 +65,19 @@ def unpack(control: np.ndarray, data: np.ndarray, count: int) -> np.ndarray:
 
 def encode_file(doc_ids: list, lengths: np.ndarray, ids: np.ndarray) -> list[bytes]:
     """The parts of a file."""
-    values, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    if len(ids) and int(ids.max()) < 4 * len(ids) + (1 << 16):  # a table of all ids up to the largest
+        inverse = ids
+        counts = np.bincount(ids)
+        values = np.flatnonzero(counts)
+        counts = counts[values]
+        places = values
+    else:
+        values, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True)
+        inverse, places = inverse.reshape(-1), np.arange(len(values))
     order = np.lexsort((values, -counts))
-    rank_of = np.empty(len(values), np.uint32)
-    rank_of[order] = np.arange(len(values), dtype=np.uint32)
-    control, data = pack(rank_of[inverse.reshape(-1)])
+    rank_of = np.empty(int(places[-1]) + 1 if len(places) else 0, np.uint32)
+    rank_of[places[order]] = np.arange(len(values), dtype=np.uint32)
+    control, data = pack(rank_of[inverse])
     sizes = np.array([len(doc_ids), len(ids), len(values), len(data)], "<u8")
     return [
         _MAGIC,
@@ -124,6 +138,18 @@ class _Pieces:
         self.starts, self.sizes = np.insert(self.starts, at, starts), np.insert(self.sizes, at, sizes)
 
 
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct hashes in order, where each stands first, and the number of each hash among them."""
+    coded = pa.array(hashes).dictionary_encode()
+    which = coded.indices.to_numpy()
+    first = np.flatnonzero(np.diff(np.maximum.accumulate(which), prepend=-1))
+    distinct = hashes[first]
+    order = np.argsort(distinct)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return distinct[order], first[order], rank[which]
+
+
 class TextEncoder:
     """``tokenizers`` over whole texts, each distinct run of white space with its word once.
 
@@ -145,48 +171,66 @@ class TextEncoder:
         self.odd = re.compile(
             "[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f-\u2064\u3000\ufeff]"
         ).search
-        line = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.line = line[0] if len(line) == 1 else None
+        #: Bytes with which what ``odd`` looks for begins.
+        self.rare = np.zeros(256, bool)
+        self.rare[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3, 0xEF]] = True
+        #: Tokens that begin with a space, by id.
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.leads = np.zeros(max(names.values(), default=0) + 1, bool)
+        self.leads[[i for name, i in names.items() if name.startswith("\u0120")]] = True
         self._reset()
 
     def _reset(self) -> None:
         self.young, self.old = _Pieces(), _Pieces()
 
-    def _encode(self, pieces: list[str]) -> list[np.ndarray]:
-        """Ids of each piece; words after one space are put on lines and encoded at once."""
-        plain = [
-            i for i, p in enumerate(pieces)
-            if len(p) > 1 and p[0] == " " and p.find("\n") < 0 and not p[1].isspace()
-        ]
-        out: list = [None] * len(pieces)
-        for at in range(0, len(plain) if self.line is not None else 0, 2000):
+    def _encode(self, blob: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces on end and their number per piece.
+
+        Words after one space are put on end and encoded at once: each begins with the only token that
+        begins with a space.
+        """
+        second = blob[np.minimum(starts + 1, len(blob) - 1)]
+        plain = (blob[starts] == 0x20) & (ends - starts > 1) & self.words.inside[second]
+        rare = np.flatnonzero(self.rare[blob])
+        for i in np.flatnonzero(plain & (np.searchsorted(rare, starts) < np.searchsorted(rare, ends))):
+            plain[i] = not self.odd(blob[starts[i] : ends[i]].tobytes().decode())
+        sizes, parts, rest = np.zeros(len(starts), np.int64), [], [np.flatnonzero(~plain)]
+        plain = np.flatnonzero(plain)
+        for at in range(0, len(plain), 2000):
             some = plain[at : at + 2000]
-            text = "".join(pieces[i] + "\n" for i in some)
+            text = blob[ragged(starts[some], ends[some] - starts[some])].tobytes().decode()
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-            ends = np.flatnonzero(ids == self.line)
-            if len(ends) == len(some):
-                for i, a, b in zip(some, np.concatenate([[0], ends[:-1] + 1]), ends, strict=True):
-                    out[i] = ids[a:b]
-        rest = [i for i, x in enumerate(out) if x is None]
+            heads = np.flatnonzero(self.leads[ids])
+            if len(heads) != len(some) or heads[0]:
+                rest.append(some)
+                continue
+            sizes[some] = np.diff(heads, append=len(ids))
+            parts.append((some, ids))
+        rest = np.concatenate(rest)
         for at in range(0, len(rest), 4096):
             some = rest[at : at + 4096]
-            found = self.tokenizer.encode_batch([pieces[i] for i in some], add_special_tokens=False)
-            for i, x in zip(some, found, strict=True):
-                out[i] = np.array(x.ids, np.uint32)
-        return out
+            texts = [blob[starts[i] : ends[i]].tobytes().decode() for i in some]
+            found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            sizes[some] = [len(x) for x in found]
+            parts.append((some, np.concatenate(found).astype(np.uint32)))
+        begins = np.cumsum(sizes) - sizes
+        out = np.zeros(int(sizes.sum()), np.uint32)
+        for some, ids in parts:
+            out[ragged(begins[some], sizes[some])] = ids
+        return out, sizes
 
-    def _learn(self, at: np.ndarray, hashes: np.ndarray, spell) -> None:
-        """Take pieces that the young generation lacks from the old one, or encode ``spell(some)`` of them."""
+    def _learn(self, at, hashes, blob, starts, ends) -> None:
+        """Take pieces that the young generation lacks from the old one, or encode them."""
         place, there = self.old.find(hashes)
-        found = self._encode(spell(~there)) if not there.all() else []
+        found, lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if not there.all():
+            found, lengths = self._encode(blob, starts[~there], ends[~there])
         sizes = np.zeros(len(hashes), np.int64)
-        sizes[there] = self.old.sizes[place[there]]
-        sizes[~there] = [len(x) for x in found]
+        sizes[there], sizes[~there] = self.old.sizes[place[there]], lengths
         begins = np.cumsum(sizes) - sizes
         ids = np.zeros(int(sizes.sum()), np.uint32)
         ids[ragged(begins[there], sizes[there])] = self.old.ids[ragged(self.old.starts[place[there]], sizes[there])]
-        if found:
-            ids[ragged(begins[~there], sizes[~there])] = np.concatenate(found)
+        ids[ragged(begins[~there], lengths)] = found
         self.young.add(at, hashes, sizes, ids)
 
     def _segments(self, blob: np.ndarray, offsets: np.ndarray):
@@ -204,21 +248,16 @@ class TextEncoder:
             self.old, self.young = self.young, _Pieces()
         blob, offsets = text_bytes(texts)
         starts, ends = self._segments(blob, offsets)
-        hashes, first, which = np.unique(
-            self.words.hashes(blob, starts, ends), return_index=True, return_inverse=True
-        )
+        hashes, first, which = _distinct(self.words.hashes(blob, starts, ends))
         at, there = self.young.find(hashes)
-        whole = {
-            i: text for i, text in enumerate(texts.to_pylist()) if text and self.odd(text)
-        }
+        rare = np.flatnonzero(self.rare[blob])
+        rows = np.unique(np.searchsorted(offsets, rare, side="right") - 1)
+        whole = {int(i): text for i in rows if self.odd(text := texts[int(i)].as_py())}
         if not there.all():
             new = first[~there]
-
-            def spell(some):
-                return [blob[starts[f] : ends[f]].tobytes().decode() for f in new[some]]
-
-            self._learn(at[~there], hashes[~there], spell)
-        at = np.searchsorted(self.young.known, hashes)[which.reshape(-1)]
+            self._learn(at[~there], hashes[~there], blob, starts[new], ends[new])
+            at = np.searchsorted(self.young.known, hashes)
+        at = at[which]
         sizes, begins = self.young.sizes[at], self.young.starts[at]
         stops = np.cumsum(sizes)
         total = int(stops[-1]) if len(stops) else 0

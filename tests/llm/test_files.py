@@ -140,3 +140,32 @@ def test_archive_leads_with_the_dictionary_and_frames_stand_alone(spark):
     fields, block = warc.parse(text)
     assert frame.eof and fields["warc-type"] == "response" and block.startswith(b"HTTP/1.1 200 OK")
     assert fields["content-length"] == str(len(block))
+
+
+def test_the_library_sees_each_distinct_piece_once_and_nothing_between():
+    encoder = TextEncoder(vocabulary_path())
+    library, seen = encoder.tokenizer, []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **kw):
+            seen.extend(texts)
+            return library.encode_batch_fast(texts, **kw)
+
+        encode_batch = encode_batch_fast
+
+    words = [f"w{i}x'{i % 7}" for i in range(5000)] + ["café", "’s", "中文", "<|endoftext|>"]
+    text = "".join(f" {w}" for w in words)
+    encoder.tokenizer = Counting()
+    ids, counts = encoder(pa.array([text, text, None]))
+    own = library.encode(text, add_special_tokens=False).ids
+    assert ids.tolist() == own * 2 and counts.tolist() == [len(own), len(own), 0]
+    assert sum(map(len, seen)) == len(text) and len(seen) <= 4
+
+
+@pytest.mark.parametrize("most", [5, 70_000, 2**32 - 1])
+def test_files_hold_small_and_large_ids(most):
+    draw = np.random.default_rng(most)
+    ids = np.append(draw.integers(0, most, 3000, endpoint=True), most).astype(np.uint32)
+    parts = token_files.encode_file([1, None], np.array([3000, 1]), ids)
+    names, lengths, got = token_files.decode_file(b"".join(parts))
+    assert names == [1, None] and lengths.tolist() == [3000, 1] and got.tolist() == ids.tolist()
