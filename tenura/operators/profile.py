@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 from tenura.functions import count_where, ratio
 from tenura.sources.workspace import store
 
+_PAIRS_AT_ONCE = 5  # correlations in one aggregation; many more of them run as interpreted code
+
 
 def _percent(share: Column) -> Column:
     return 100.0 * share
@@ -188,27 +191,32 @@ def separation_screen(df: DataFrame, columns: Sequence[str], target: str) -> Dat
 def correlations(df: DataFrame, columns: Sequence[str], threshold: float = 0.6) -> DataFrame:
     """Pearson correlation of every pair of columns, with marks for strong and exact ones.
 
-    The matrix has one cell per pair of columns, whatever the number of rows; it
-    takes several passes over the rows, so the few columns are written first.
+    A pair is correlated over the rows that hold both values. The matrix has one cell per pair of
+    columns, whatever the number of rows; it takes several passes over the rows, so the few columns
+    are written first.
     """
     numeric = store(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "numeric")
     # Around their means, so that large values lose no digits in the products.
     means = numeric.agg(*[F.avg(c).alias(c) for c in columns]).first()
-    centred = numeric.select(*[(F.col(c) - F.lit(means[c])).alias(c) for c in columns])
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(centred)
+    centred = numeric.select(
+        *[(F.col(c) - F.lit(means[c]).cast("double")).alias(c) for c in columns]
+    )
+    assembler = VectorAssembler(inputCols=list(columns), outputCol="v", handleInvalid="keep")
+    vectors = assembler.transform(centred)
     return vector_correlations(vectors, "v", columns, threshold)
 
 
 def vector_correlations(
     df: DataFrame, vector: str, names: Sequence[str], threshold: float = 0.6
 ) -> DataFrame:
-    """The same for the entries of a vector column."""
+    """The same for the entries of a vector column; an entry that is NaN is missing."""
     matrix = Correlation.corr(df.select(vector), vector).first()[0].toArray()
+    found = _with_missing(df, vector, matrix)
     pairs = []
     for i, a in enumerate(names):
         for j in range(i + 1, len(names)):
-            r = float(matrix[i, j])
-            pairs.append((a, names[j], None if r != r else r))
+            r = found.get((i, j), float(matrix[i, j]))
+            pairs.append((a, names[j], None if r is None or r != r else r))
     out = df.sparkSession.createDataFrame(pairs, "a STRING, b STRING, r DOUBLE")
     size = F.abs(F.col("r"))
     return out.withColumns(
@@ -219,6 +227,38 @@ def vector_correlations(
     )
 
 
+def _pearson(a: Column, b: Column) -> Column:
+    """The correlation over the rows with both; NULL where one of them is constant, which ``corr`` divides by."""
+    x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
+def _with_missing(df: DataFrame, vector: str, matrix) -> dict[tuple[int, int], float | None]:
+    """The correlations of entries that some row lacks, by place, each over the rows that hold both."""
+    size = len(matrix)
+    # A missing entry leaves no number in its row of the matrix, and neither does a constant.
+    open_rows = [i for i in range(size) if all(matrix[i, j] != matrix[i, j] for j in range(size) if j != i)]
+    if not open_rows:
+        return {}
+    values = vector_to_array(F.col(vector))
+    lacks = df.agg(*[F.max(F.isnan(values[i])).alias(f"_{i}") for i in open_rows]).first()
+    missing = {i for i in open_rows if lacks[f"_{i}"]}
+    pairs = [(i, j) for i in range(size) for j in range(i + 1, size) if missing & {i, j}]
+    if not pairs:
+        return {}
+    v = F.col("v")
+    plain = df.select(values.alias("v")).select(
+        *[F.when(~F.isnan(v[i]), v[i]).alias(f"_{i}") for i in range(size)]
+    )
+    rows = store(plain, "plain")
+    found = {}
+    for at in range(0, len(pairs), _PAIRS_AT_ONCE):
+        some = pairs[at : at + _PAIRS_AT_ONCE]
+        cells = [_pearson(F.col(f"_{i}"), F.col(f"_{j}")).alias(f"r{n}") for n, (i, j) in enumerate(some)]
+        found |= dict(zip(some, rows.agg(*cells).first(), strict=True))
+    return found
+
+
 def label_combinations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Row counts of the combinations of restated labels, and whether each is one-to-one."""
     combos = df.groupBy(*columns).agg(F.count("*").alias("n_rows"))
