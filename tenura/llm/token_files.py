@@ -9,6 +9,7 @@ Layout of a file, all numbers little-endian::
     u32 []    ids per document, the end id included
     u8  []    control bytes, two bits per rank: its length less one, four ranks a byte
     u8  []    the ranks' bytes, one to four each
+    1 byte    a line feed, which Spark's writer adds
 
 The rank table counts every id of the file and travels with it, so a file is written in one pass,
 can be written again alone when its task is lost, and is read without anything else.
@@ -25,9 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tenura.llm.frames import column, file_system, pieces, publish, shared_uri, written
+from tenura.llm.frames import column, folders_of, pieces, read_files, write_files, written
 from tenura.llm.tokens import ragged
 from tenura.llm.words import Words, text_bytes
+from tenura.sources.workspace import new_path
 
 _MAGIC = b"RANKTOK1"
 #: A file is closed when it holds this many ids; a task's memory follows this number.
@@ -289,23 +291,16 @@ def _with_end(ids: np.ndarray, lengths: np.ndarray, end_id: int) -> np.ndarray:
     return np.insert(ids, np.cumsum(lengths), end_id).astype(np.uint32)
 
 
-def _write(vocabulary: str, end_id: int, folder: str):
+def _write(vocabulary: str, end_id: int):
     def run(batches):
-        from pyspark import TaskContext
-
-        encoder, part, number = worker_encoder(vocabulary), TaskContext.get().partitionId(), 0
+        encoder = worker_encoder(vocabulary)
         docs, lengths, ids, held = [], [], [], 0
 
         def close():
-            nonlocal docs, lengths, ids, held, number
-            path = f"{folder}/{part:06d}-{number:06d}.ids"
-            parts = encode_file(docs, np.concatenate(lengths), np.concatenate(ids))
-            publish(path, lambda out: [out.write(p) for p in parts])
-            row = [[part], [number], [path], [len(docs)], [held]]
-            docs, lengths, ids, held, number = [], [], [], 0, number + 1
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(row, _KINDS, strict=True)], names=_NAMES
-            )
+            nonlocal docs, lengths, ids, held
+            blob = b"".join(encode_file(docs, np.concatenate(lengths), np.concatenate(ids)))
+            docs, lengths, ids, held = [], [], [], 0
+            return pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], names=["content"])
 
         for batch in batches:
             for piece in pieces(batch, "text"):
@@ -322,11 +317,21 @@ def _write(vocabulary: str, end_id: int, folder: str):
     return run
 
 
-_NAMES = ["part", "number", "path", "documents", "ids"]
-_KINDS = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
 _MANIFEST = "part int, number int, path string, documents long, ids long"
 
 
+def _heads(batches):
+    """The manifest's rows, from the files' first bytes."""
+    for batch in batches:
+        heads = [np.frombuffer(c.as_buffer(), "<u8", 2, 8) for c in column(batch, "content")]
+        sizes = np.array(heads, np.int64).reshape(-1, 2)
+        named = [column(batch, n) for n in ("part", "number", "path")]
+        yield pa.RecordBatch.from_arrays(
+            [*named, pa.array(sizes[:, 0]), pa.array(sizes[:, 1])],
+            names=["part", "number", "path", "documents", "ids"],
+        )
+
+
 def write_token_files(
     documents: DataFrame,
     vocabulary: str,
@@ -342,21 +347,20 @@ def write_token_files(
     empty table writes no file.
     """
     spark = documents.sparkSession
-    folder = folder or shared_uri(spark, "token-files")
+    folder = folder or new_path(spark, "token-files")
     rows = documents.select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
     )
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    return written(ordered.mapInArrow(_write(vocabulary, end_id, folder), _MANIFEST), "manifest")[0]
+    files = write_files(ordered.mapInArrow(_write(vocabulary, end_id), "content binary"), folder)
+    return written(files.mapInArrow(_heads, _MANIFEST), "manifest")[0]
 
 
 def _read(digest: bool):
     def run(batches):
         for batch in batches:
-            for path, before in zip(*(column(batch, n).to_pylist() for n in ("path", "before"))):
-                files, name = file_system(path)
-                with files.open_input_stream(name, compression=None) as source:
-                    doc_ids, lengths, ids = decode_file(source.read())
+            for content, before in zip(column(batch, "content"), column(batch, "before").to_pylist()):
+                doc_ids, lengths, ids = decode_file(content.as_py())
                 ends = np.cumsum(lengths.astype(np.int64))
                 starts = ends - lengths
                 if digest:
@@ -387,8 +391,8 @@ def read_token_files(manifest: DataFrame, digest: bool = False) -> DataFrame:
     """
     in_order = Window.orderBy("part", "number")
     files = manifest.select("path", (F.sum("ids").over(in_order) - F.col("ids")).alias("before"))
-    count = max(1, manifest.count())
+    contents = read_files(manifest.sparkSession, folders_of(manifest)).select("path", "content")
     last = "ids_crc32 long" if digest else "ids array<long>"
-    return files.repartition(min(count, 10_000), "path").mapInArrow(
+    return contents.join(F.broadcast(files), "path").mapInArrow(
         _read(digest), f"doc_id long, start long, n_tokens long, {last}"
     )

@@ -1,7 +1,8 @@
 """WARC archives whose records are compressed one by one with a shared Zstandard dictionary.
 
 A file starts with a skippable frame that holds the dictionary; every record is a frame of its
-own. A payload of at least ``REVISIT_BYTES`` that occurs again is stored once, as the response
+own. A skippable frame ends the file: the number of records and the line feed that Spark's writer adds.
+A payload of at least ``REVISIT_BYTES`` that occurs again is stored once, as the response
 with the largest page id; its other records are revisits without payload.
 """
 
@@ -9,13 +10,15 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import io
 import struct
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenura.llm.frames import column, file_system, publish, shared_uri, written
+from tenura.llm.frames import column, folders_of, read_files, write_files, written
+from tenura.sources.workspace import new_path
 
 REVISIT_BYTES = 1000
 #: The dictionary is fitted on about this many distinct whole payloads (one in so many by a hash, at
@@ -26,6 +29,8 @@ DICTIONARY_BYTES = 112_640
 FILE_BYTES = 1 << 25
 # Fixed values of the formats.
 _SKIPPABLE = 0x184D2A5D
+#: The last frame without its line feed: mark, size with the line feed, number of records.
+_END = "<IIQ"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -114,27 +119,20 @@ _ROWS = (
 )
 
 
-def _write(folder: str, dictionary: bytes):
+def _write(dictionary: bytes):
     def run(batches):
         import zstandard
-        from pyspark import TaskContext
 
         packer = zstandard.ZstdCompressor(level=3, dict_data=_dictionary(dictionary))
-        part, number = TaskContext.get().partitionId(), 0
         lead = struct.pack("<II", _SKIPPABLE, len(dictionary)) + dictionary
         held, size = [], 0
         names = ("page_id", "url", "html", "digest", "response_id")
 
         def close():
-            nonlocal held, size, number
-            path = f"{folder}/{part:06d}-{number:06d}.warc.zst"
-            publish(path, lambda out: [out.write(x) for x in (lead, *held)])
-            row = pa.RecordBatch.from_arrays(
-                [pa.array([path]), pa.array([len(held)]), pa.array([size + len(lead)])],
-                names=["path", "records", "bytes"],
-            )
-            held, size, number = [], 0, number + 1
-            return row
+            nonlocal held, size
+            blob = b"".join((lead, *held, struct.pack(_END, _SKIPPABLE, 9, len(held))))
+            held, size = [], 0
+            return pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], names=["content"])
 
         for batch in batches:
             for page_id, url, html, digest, response_id in zip(
@@ -151,6 +149,17 @@ def _write(folder: str, dictionary: bytes):
     return run
 
 
+def _heads(batches):
+    """The manifest's rows, from the files' last bytes."""
+    for batch in batches:
+        blobs = [c.as_buffer() for c in column(batch, "content")]
+        records = [struct.unpack_from(_END, b, len(b) - struct.calcsize(_END))[2] for b in blobs]
+        yield pa.RecordBatch.from_arrays(
+            [column(batch, "path"), pa.array(records, pa.int64()), pa.array([len(b) + 1 for b in blobs], pa.int64())],
+            names=["path", "records", "bytes"],
+        )
+
+
 def write_archives(
     pages: DataFrame,
     id_column: str = "page_id",
@@ -166,7 +175,7 @@ def write_archives(
     Smaller payloads are always responses. Other columns are ignored; no rows write no file.
     """
     spark = pages.sparkSession
-    folder = folder or shared_uri(spark, "archives")
+    folder = folder or new_path(spark, "archives")
     payload = F.coalesce(F.col(html_column), F.lit(""))
     rows = pages.select(
         F.col(id_column).cast("long").alias("page_id"),
@@ -196,15 +205,15 @@ def write_archives(
         "digest",
         F.expr("nullif(last, page_id)").alias("response_id"),
     )
-    return written(linked.mapInArrow(_write(folder, dictionary), _MANIFEST), "archives")[0]
+    files = write_files(linked.mapInArrow(_write(dictionary), "content binary"), folder)
+    return written(files.mapInArrow(_heads, _MANIFEST), "archives")[0]
 
 
 def _read(batches):
     for batch in batches:
-        for path in column(batch, "path").to_pylist():
-            files, name = file_system(path)
+        for path, content in zip(column(batch, "path").to_pylist(), column(batch, "content"), strict=True):
             rows = []
-            with files.open_input_stream(name, compression=None) as source:
+            with io.BytesIO(content.as_py()[: -struct.calcsize(_END)]) as source:
                 for blob in _frames(source, _dictionary):
                     fields, block = parse(blob)
                     head, _, payload = block.partition(b"\r\n\r\n")
@@ -234,5 +243,5 @@ def read_archives(manifest: DataFrame) -> DataFrame:
     Of a response, size and digest are those of the payload found; of a revisit, those that its
     HTTP header and WARC header give for the payload it refers to.
     """
-    count = max(1, manifest.count())
-    return manifest.select("path").repartition(min(count, 10_000), "path").mapInArrow(_read, _ROWS)
+    contents = read_files(manifest.sparkSession, folders_of(manifest)).select("path", "content")
+    return contents.join(F.broadcast(manifest.select("path")), "path").mapInArrow(_read, _ROWS)

@@ -169,3 +169,47 @@ def test_files_hold_small_and_large_ids(most):
     parts = token_files.encode_file([1, None], np.array([3000, 1]), ids)
     names, lengths, got = token_files.decode_file(b"".join(parts))
     assert names == [1, None] and lengths.tolist() == [3000, 1] and got.tolist() == ids.tolist()
+
+
+def test_files_are_written_and_read_by_spark(spark, monkeypatch):
+    """On a file system that only Spark reaches, the tasks cannot open a path themselves."""
+    import zstandard
+
+    from tenura.llm import frames
+    from tenura.sources import workspace
+
+    context = spark.sparkContext
+    plain = workspace.new_path(spark, "store").removeprefix("file:")
+    hadoop, mounted = context._jsc.hadoopConfiguration(), "fs.viewfs.mounttable.files.link./in"
+    context._jvm.java.io.File(plain).mkdirs()
+    hadoop.set(mounted, f"file:{plain}")
+    try:
+        for module in (token_files, warc):
+            monkeypatch.setattr(module, "new_path", lambda _, name: f"viewfs://files/in/{name}")
+        monkeypatch.setattr(token_files, "FILE_IDS", 100)
+        docs = spark.createDataFrame([(i, "some words " * i) for i in range(40)], "doc_id long, text string")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+        manifest = write_token_files(docs.repartition(3), vocabulary_path())
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        paths = [r["path"] for r in manifest.collect()]
+        assert len(paths) > 3 and all(p.startswith("viewfs://files/in/") for p in paths)
+        assert sorted(r["doc_id"] for r in read_token_files(manifest).collect()) == list(range(40))
+        assert [r["documents"] for r in manifest.orderBy("part", "number").limit(1).collect()][0] > 0
+        pages = spark.createDataFrame(
+            [(i, f"u{i}", f"<p>{i}" + "\nword\xe9" * 300) for i in range(30)], "page_id long, url string, html string"
+        )
+        archives = write_archives(pages)
+        assert archives.agg({"records": "sum"}).first()[0] == 30
+        assert sorted(r["page_id"] for r in read_archives(archives).collect()) == list(range(30))
+        # A file with its line feed is whole Zstandard frames, and as long as the manifest says.
+        row = archives.first()
+        blob = spark.read.format("binaryFile").load(row["path"]).first()["content"]
+        assert len(blob) == row["bytes"] and blob.endswith(b"\n")
+        last, count = blob[-17:], int.from_bytes(blob[-9:-1], "little")
+        assert zstandard.ZstdDecompressor().decompressobj().decompress(last) == b"" and count == row["records"]
+    finally:
+        hadoop.unset(mounted)
+    any_bytes = spark.createDataFrame([(bytearray(range(256)),), (bytearray(b"\xff\n"),)], "content binary")
+    files = frames.write_files(any_bytes.coalesce(1), workspace.new_path(spark, "bytes"))
+    got = [(r["part"], r["number"], bytes(r["content"])) for r in files.orderBy("part", "number").collect()]
+    assert got == [(0, 0, bytes(range(256))), (0, 1, b"\xff\n")]
